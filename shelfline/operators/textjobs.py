@@ -132,10 +132,14 @@ def answer_questions(parsed: DataFrame, records: DataFrame, latest: DataFrame, t
         F.struct((-F.col("growth")).alias("g"), "product_name", "platform"))), lambda s: s["product_name"]), ", ")
     ).scalar()
 
-    asked = parsed.join(smallest, parsed["product"] == smallest["product_name"], "left").drop("product_name")
+    # Most texts name no product.  Their join key is made from the id, so they match nothing and
+    # spread over all partitions instead of meeting in the one of the null key.
+    key = F.coalesce("product", F.concat(F.lit("\u0000"), "question_id"))
     number = F.regexp_extract("pack", r"^(\d+)", 1).try_cast("int")
+    asked = parsed.withColumn("product_name", key).join(smallest, "product_name", "left")
     asked = asked.withColumn("pack_size", F.coalesce(number, "smallest"))
-    joined = asked.join(per_product.withColumnRenamed("product_name", "product"), ["product", "pack_size"], "left")
+    asked = asked.withColumn("_pack", F.coalesce("pack_size", F.lit(-1)))
+    joined = asked.join(per_product.withColumnRenamed("pack_size", "_pack"), ["product_name", "_pack"], "left")
     compared = F.filter("r.platforms", lambda p: F.coalesce(
         F.array_contains(F.col("platforms_named"), p["platform"]), F.lit(True)))
     answer = (F.when(F.col("intent") == "check_delivery", fastest)

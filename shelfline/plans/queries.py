@@ -63,10 +63,10 @@ def _rounded(df: DataFrame, *columns: str, places: int = 4) -> DataFrame:
 @query
 def write_roundtrip(spark, sf):
     path = new_folder(spark, "unified")
-    rows = T.unified_listings(spark, sf).withColumn("period", F.date_format("snapshot_time", "yyyy-MM"))
-    Z.write_zone(rows, path, ("period", "platform"))
+    rows = T.unified_listings(spark, sf).withColumn("year", F.year("snapshot_time"))
+    Z.write_zone(rows, path, ("year", "platform"))
     back = Z.read_zone(spark, path)
-    return back.groupBy("period", "platform").agg(
+    return back.groupBy("year", "platform").agg(
         F.count(F.lit(1)).alias("n"), F.sum("units_ordered").alias("units"),
         A.exact_sum("revenue_inr", 2).alias("revenue"))
 
@@ -74,10 +74,10 @@ def write_roundtrip(spark, sf):
 @query
 def partition_pruned_scan(spark, sf):
     path = new_folder(spark, "prices")
-    rows = A.price_analytics(T.enriched(spark, sf)).withColumn("period", F.date_format("date", "yyyy-MM"))
-    Z.write_zone(rows, path, ("period", "platform"))
-    june = Z.read_zone(spark, path).filter("period = '1999-06' and platform = 'beta'")
-    return june.groupBy("date").agg(F.sum("record_count").alias("n"), F.min("min_price").alias("min_price"))
+    rows = A.price_analytics(T.listings(spark, sf)).withColumn("year", F.year("date"))
+    Z.write_zone(rows, path, ("year", "platform"))
+    kept = Z.read_zone(spark, path).filter("year = 1999 and platform = 'beta'")
+    return kept.groupBy("date").agg(F.sum("record_count").alias("n"), F.min("min_price").alias("min_price"))
 
 
 @query
@@ -594,7 +594,7 @@ def return_rate_7d(spark, sf):
 
 @query
 def p95_value(spark, sf):
-    return U.value_percentile(T.read_events(spark, sf))
+    return _rounded(U.value_percentile(T.read_events(spark, sf)), "p_value")
 
 
 @query

@@ -35,7 +35,8 @@ def compact(spark: SparkSession, source: str, target: str, order: tuple[str, ...
 
 
 def file_count(spark: SparkSession, path: str):
-    return spark.read.parquet(path).select(F.count_distinct(F.input_file_name())).scalar()
+    files = spark.read.parquet(path).select(F.input_file_name().alias("file")).distinct()
+    return files.agg(F.count(F.lit(1))).scalar()
 
 
 def sample_rows(df: DataFrame, n: int = fv.SAMPLE_ROWS, key: str = "record_id") -> DataFrame:

@@ -16,11 +16,14 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def stream_of(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """A table's files as a stream.  The schema is that of the files, read once."""
+    """A table's files as a stream.  The schema is that of the files, read once.
+
+    The path is given as a pattern that matches only itself: a stream source takes a plain path
+    for a folder, while a pattern may match a single file too."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 @contextmanager
