@@ -32,7 +32,7 @@ def main() -> None:
     names = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if names == "all" else (names.split(",") if names else HEADLINE)
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus)) if cpus != "*" else 8)
-    spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()  # start the executors before the clock
+    QUERIES["platform_scorecard"](spark, sf_dir).collect()  # load classes before the clock starts
     seconds = {}
     for name in names:
         times = []

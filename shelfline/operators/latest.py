@@ -94,23 +94,27 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: st
                       *[F.col(f"_hit.{v}").alias(f"ref_{v}") for v in values])
 
 
-def series_gaps(df: DataFrame, keys: list[str], platforms: tuple[str, ...], first: Column, last: Column,
-                time: Column, step_seconds: int) -> DataFrame:
-    """Grid steps between ``first`` and ``last`` at which a series was not observed, as ranges.
-
-    A series is every known key on every platform, seen there or not.  Only observed steps and two
-    end marks per series are sorted; the grid itself is never built, so the cost follows the data
-    and not the number of empty cells.
+def series_gaps(df: DataFrame, keys: list[str], platforms: tuple[str, ...], step_seconds: int,
+                time: str = "snapshot_time", first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """Grid steps at which a series was not observed, as ranges of epoch steps.
+
+    A series is every known key on every platform, seen there or not; the grid runs from ``first``
+    to ``last``, by default over the observed steps.  Only observed steps and two end marks per
+    series are sorted; the grid itself is never built, so the cost follows the data and not the
+    number of empty cells.
     """
-    step = (F.unix_timestamp(time) / step_seconds).cast("bigint")
-    seen = df.select(*keys, "platform", step.alias("step")).distinct()
-    lowest = (F.unix_timestamp(first) / step_seconds).cast("bigint")
-    highest = (F.unix_timestamp(last) / step_seconds).cast("bigint")
+    def step(c):
+        return F.floor(F.unix_timestamp(c) / step_seconds)
+
+    seen = df.select(*keys, "platform", step(time).alias("step")).distinct()
+    lowest = seen.agg(F.min("step")).scalar() if first is None else step(first)
+    highest = seen.agg(F.max("step")).scalar() if last is None else step(last)
+    inside = seen if first is None and last is None else seen.filter(F.col("step").between(lowest, highest))
+    # Same input as above, so its shuffle is reused.
     series = seen.select(*keys).distinct().withColumn("platform", F.explode(F.array(*map(F.lit, platforms))))
     marks = series.withColumn("step", F.explode(F.array(lowest - 1, highest + 1)))
     order = Window.partitionBy(*keys, "platform").orderBy("step")
-    steps = seen.filter(F.col("step").between(lowest, highest)).unionByName(marks)
-    gaps = steps.withColumn("next", F.lead("step").over(order)).filter("next > step + 1")
+    gaps = inside.unionByName(marks).withColumn("next", F.lead("step").over(order)).filter("next > step + 1")
     return gaps.select(*keys, "platform", (F.col("step") + 1).alias("gap_first"),
                        (F.col("next") - 1).alias("gap_last"),
                        (F.col("next") - F.col("step") - 1).alias("missing"))

@@ -43,12 +43,12 @@ def with_defaults(latest: DataFrame, availability: DataFrame) -> DataFrame:
     })
 
 
-def impute_rating(df: DataFrame) -> DataFrame:
-    """Missing rating -> average rating of the platform.
+def impute_rating(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Missing rating -> average rating of the platform, over ``history`` if given.
 
     The averages are one row per platform, read as a scalar map, so the listings are not shuffled
     and a platform that holds most rows is no hot key."""
-    means = df.groupBy("platform").agg(
+    means = (df if history is None else history).groupBy("platform").agg(
         (F.sum(F.rint(F.col("rating") * 10).cast("bigint")) / F.count("rating") / F.lit(10.0)).alias("mean"))
     lookup = means.agg(F.map_from_entries(F.collect_list(F.struct("platform", "mean")))).scalar()
     return df.withColumn("rating", F.coalesce(F.col("rating"), F.element_at(lookup, F.col("platform"))))
@@ -113,7 +113,7 @@ def recommend(scored: DataFrame) -> DataFrame:
 
 def answer_text(records: DataFrame, names: DataFrame, location: str, product: str = "product_name",
                 pack: Column | None = None) -> DataFrame:
-    """Adds ``answer``: the recommendation as a sentence; says so where there is no record."""
+    """Adds ``sentence``: the recommendation in words; says so where there is no record."""
     def entry_of(platform: str) -> Column:
         return F.get(F.filter("platforms", lambda p: p["platform"] == F.col(platform)), F.lit(0))
 
@@ -133,10 +133,10 @@ def answer_text(records: DataFrame, names: DataFrame, location: str, product: st
                   rating=F.format_string("%.1f", F.bround(best["rating"], 1)))
     cheaper = _fill(fv.ANSWER_CHEAPER, platform=F.coalesce("_low", "best_price_platform"),
                     price=whole(cheap["price"]))
-    none = _fill(fv.ANSWER_NONE, product=F.col(product))
+    none = _fill(fv.ANSWER_NONE, product=F.coalesce(product, F.lit("that product")))
     text = F.when(F.col("recommended_platform").isNull(), none).when(
         F.col("best_price_platform") == F.col("recommended_platform"), found).otherwise(F.concat(found, cheaper))
-    return rows.withColumn("answer", text).drop("_won", "_low")
+    return rows.withColumn("sentence", text).drop("_won", "_low")
 
 
 def _fill(wording: str, **values: Column) -> Column:

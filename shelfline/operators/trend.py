@@ -55,7 +55,8 @@ def label_trend(df: DataFrame, up: float = fv.TREND_UP, down: float = fv.TREND_D
 
 def trend_labels(df: DataFrame) -> DataFrame:
     """Labelled days that have both averages."""
-    return label_trend(rolling_demand(df)).na.drop(subset=["rolling_avg_7d", "rolling_avg_prev_7d"])
+    return label_trend(rolling_demand(df)).filter(
+        "rolling_avg_7d is not null and rolling_avg_prev_7d is not null")
 
 
 def label_distribution(labels: DataFrame) -> DataFrame:

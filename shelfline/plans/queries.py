@@ -253,11 +253,7 @@ def weekend_premium(spark, sf):
 
 @query
 def slot_gaps(spark, sf):
-    rows = T.listings(spark, sf)
-    ends = rows.agg(F.min("snapshot_time").alias("first"), F.max("snapshot_time").alias("last"))
-    first, last = ends.select(F.date_trunc("day", "first")).scalar(), ends.select(F.date_trunc("day", "last")).scalar()
-    gaps = LT.series_gaps(rows, ["category"], T.PLATFORMS, first, last,
-                          F.date_trunc("day", "snapshot_time"), 86400)
+    gaps = LT.series_gaps(T.listings(spark, sf), ["category"], T.PLATFORMS, 86400)
     return gaps.select("category", "platform", F.date_from_unix_date(F.col("gap_first").cast("int")).alias("gap_first"),
                        F.date_from_unix_date(F.col("gap_last").cast("int")).alias("gap_last"), "missing")
 
@@ -499,7 +495,7 @@ def comparison_record(spark, sf):
 def response_text(spark, sf):
     records = S.recommend(S.score_platforms(_scorable(spark, sf)))
     out = S.answer_text(records, D.platform_names(spark, T.DISPLAY_NAMES), T.LOCATION)
-    return out.select("product_name", "pack_size", "pack_unit", "answer")
+    return out.select("product_name", "pack_size", "pack_unit", F.col("sentence").alias("answer"))
 
 
 @query

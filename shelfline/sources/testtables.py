@@ -33,7 +33,11 @@ def listings(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None
     """Listing rows without the calendar and weather columns; ``lineitem`` may be a stream."""
     if lineitem is None:
         lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_size")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        "p_partkey", F.col("p_name").alias("product_name"),
+        F.substring_index("p_name", " ", 1).alias("category"),
+        F.col("p_size").cast("int").alias("pack_size"),
+        F.when(F.col("p_partkey") % 2 == 0, "g").otherwise("ml").alias("pack_unit"))
     rows = lineitem.select(*_LINEITEM).join(part, F.col("l_partkey") == F.col("p_partkey"))
     hour = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 5) % 24).cast("int")
     minute = (F.lit(15) * ((F.col("l_orderkey") + F.col("l_partkey")) % 4)).cast("int")
@@ -47,10 +51,7 @@ def listings(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None
         .alias("snapshot_time"),
         hour.alias("hour_of_day"),
         F.lit(LOCATION).alias("location"),
-        F.col("p_name").alias("product_name"),
-        F.split_part("p_name", F.lit(" "), F.lit(1)).alias("category"),
-        F.col("p_size").cast("int").alias("pack_size"),
-        F.when(F.col("p_partkey") % 2 == 0, "g").otherwise("ml").alias("pack_unit"),
+        "product_name", "category", "pack_size", "pack_unit",
         F.when(F.col("l_suppkey") % 3 == 0, "alpha").when(F.col("l_suppkey") % 3 == 1, "beta")
         .otherwise("gamma").alias("platform"),
         F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).alias("mrp_cents"),

@@ -18,7 +18,8 @@ def write_zone(df: DataFrame, path: str, partitions: tuple[str, ...] = PARTITION
     out = df.withColumn("date", F.to_date("snapshot_time")) if "date" in partitions and "date" not in df.columns else df
     if partitions:
         out = out.hint("rebalance", *partitions)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
 def read_zone(spark: SparkSession, path: str) -> DataFrame:
