@@ -79,9 +79,10 @@ def value_percentile(events: DataFrame, fraction: float = 0.95) -> DataFrame:
 
 
 def late_rows(events: DataFrame, arrival: str, batch_minutes: int = 60, delay_minutes: int = 30) -> DataFrame:
-    """Rows that a stream reading one arrival slot per batch would find behind its watermark.
+    """Audit of late data: rows behind the watermark, were each arrival slot one stream batch.
 
     The watermark of a batch is the newest event time of all earlier batches, less the delay.
+    (Stateful operators compare with the batch before, so they may still take some of these.)
     One maximum per batch is enough to find it, so the running maximum sorts batches, not rows.
     """
     slot = F.floor(F.unix_micros(arrival) / (batch_minutes * 60_000_000))

@@ -479,7 +479,7 @@ questions AS (
     WHEN 1 THEN concat('Lowest price for ', p_size, ' g ', p_name, ' please')
     WHEN 2 THEN concat('How long until ', p_name, ' arrives on Gamma?')
     WHEN 3 THEN 'What is popular this week?'
-    WHEN 4 THEN concat(p_name, ': Alpha or the Mart, then Beta?')
+    WHEN 4 THEN concat(p_name, ': Alpha or Gamma?')
     WHEN 5 THEN concat('side  by side ', upper(p_name), ' ', p_size, 'pcs')
     WHEN 6 THEN concat('Any budget ', split_part(p_name, ' ', 1), ' things')
     ELSE concat('I need ', p_name, ' ', p_size, ' kg') END FROM part)"""

@@ -142,7 +142,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Lowest price for "), size, F.lit(" g "), name, F.lit(" please")),
         F.concat(F.lit("How long until "), name, F.lit(" arrives on Gamma?")),
         F.lit("What is popular this week?"),
-        F.concat(name, F.lit(": Alpha or the Mart, then Beta?")),
+        F.concat(name, F.lit(": Alpha or Gamma?")),
         F.concat(F.lit("side  by side "), F.upper(name), F.lit(" "), size, F.lit("pcs")),
         F.concat(F.lit("Any budget "), F.split_part(name, F.lit(" "), F.lit(1)), F.lit(" things")),
         F.concat(F.lit("I need "), name, F.lit(" "), size, F.lit(" kg")),

@@ -14,12 +14,13 @@ def frame(spark, texts):
 @pytest.mark.parametrize("text,intent", [
     ("Where should we get bread?", "recommend"), ("Which is the CHEAPEST 1 kg of rice?", "find_cheapest"),
     ("How quick is it?", "check_delivery"), ("What's trending on gamma", "trending"),
-    ("alpha or beta for crisps", "compare"), ("mart or beta for crisps", "recommend"), ("hello", "recommend"),
+    ("alpha or gamma for crisps", "compare"), ("mart or alpha for crisps", "recommend"), ("hello", "recommend"),
     # Plain substrings, as specified: 'fast' in breakfast, 'eta' in details, 'hot' in shot.
     ("breakfast ideas", "check_delivery"), ("show details", "check_delivery"), ("a shot of it", "trending"),
     # The first matching intent wins, whatever the order in the text.
     ("trending and cheap", "find_cheapest"), ("lowes price", "find_cheapest"), ("low price", "recommend"),
-    ("lowest price", "find_cheapest"), ("alpha\nor beta", "recommend"), ("alpha\ror beta", "compare"), ("", "recommend")])
+    ("lowest price", "find_cheapest"), ("alpha\nor gamma", "recommend"), ("alpha\ror gamma", "compare"),
+    ("is beta good", "check_delivery"), ("", "recommend")])
 def test_intents(spark, text, intent):
     row = frame(spark, [text]).select(X.intent_label("text", ALIASES).alias("i")).first()
     assert row.i == intent
