@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ACCURACY = 10_000
+SALTS = 32
 MARGIN = 10 / ACCURACY  # ten times the sketch's rank error
 
 
@@ -31,11 +32,14 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, fractions: dic
                  F.when(F.col("_n") > small_group, F.get("_q", F.lit(2 * i))).alias("low"),
                  F.when(F.col("_n") > small_group, F.get("_q", F.lit(2 * i + 1))).alias("high"))
         for i, (name, f) in enumerate(fractions.items())])
-    ranges = sketch.select(*keys, "_n", F.explode(wanted).alias("_w"))
+    # Every group is joined in parts, by a hash of the value; one group is never one task.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    ranges = sketch.select(*keys, "_n", F.explode(wanted).alias("_w")).select("*", salts)
 
-    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn(
+        "_salt", F.pmod(F.hash("_v"), F.lit(SALTS)))
     below = F.col("_v") < F.col("_w.low")
-    part = counts.join(ranges, keys).filter(F.col("_w.high").isNull() | (F.col("_v") <= F.col("_w.high")))
+    part = counts.join(ranges, [*keys, "_salt"]).filter(F.col("_w.high").isNull() | (F.col("_v") <= F.col("_w.high")))
     part = part.groupBy(*keys, "_n", "_w.name", "_w.fraction", F.when(~F.coalesce(below, F.lit(False)), F.col("_v"))
                         .alias("_v")).agg(F.sum("_c").alias("_c"))
 

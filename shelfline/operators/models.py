@@ -52,16 +52,22 @@ def assembler(features) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
 
 
+def check_categories(train: DataFrame, columns) -> None:
+    """The indexer brings all category values to the driver; stop before it does so for too many."""
+    counts = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+    many = {c: n for c, n in counts.items() if n > MAX_CATEGORIES}
+    if many:
+        raise ValueError(f"too many category values, group the rare ones before indexing: {many}")
+
+
 def bins_for(indexers: StringIndexerModel) -> int:
     """Trees need a bin per category value (one more for unseen values)."""
-    arity = max(len(labels) + 1 for labels in indexers.labelsArray)
-    if arity > MAX_CATEGORIES:
-        raise ValueError(f"{arity} category values: group the rare ones before indexing")
-    return max(64, arity)
+    return max(64, *(len(labels) + 1 for labels in indexers.labelsArray))
 
 
 def _fit(train: DataFrame, indexers, features, estimator, after=()) -> PipelineModel:
     ensure_checkpoint_dir(train.sparkSession)
+    check_categories(train, indexers[0].getInputCols())
     stages = [i.fit(train) for i in indexers]
     ready = train
     for stage in stages:

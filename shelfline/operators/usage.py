@@ -78,18 +78,25 @@ def value_percentile(events: DataFrame, fraction: float = 0.95) -> DataFrame:
     return exact_percentiles(events, ["event_type"], "value", {"p_value": fraction})
 
 
-def late_rows(events: DataFrame, arrival: str, batch_minutes: int = 60, delay_minutes: int = 30) -> DataFrame:
-    """Audit of late data: rows behind the watermark, were each arrival slot one stream batch.
+def arrival_batch(arrival: str, batch_minutes: int = 60):
+    """Number of the arrival slot that one stream batch would read."""
+    return F.floor(F.unix_micros(arrival) / (batch_minutes * 60_000_000))
 
-    The watermark of a batch is the newest event time of all earlier batches, less the delay.
-    (Stateful operators compare with the batch before, so they may still take some of these.)
-    One maximum per batch is enough to find it, so the running maximum sorts batches, not rows.
-    """
-    slot = F.floor(F.unix_micros(arrival) / (batch_minutes * 60_000_000))
-    rows = events.withColumn("batch", slot)
-    newest = rows.groupBy("batch").agg(F.max("ts").alias("newest"))
-    # One row per batch: the number of batches bounds this window, not the number of events.
+
+def batch_watermarks(events: DataFrame, arrival: str, batch_minutes: int = 60, delay_minutes: int = 30) -> DataFrame:
+    """Watermark of each batch: the newest event time of all earlier batches, less the delay.
+
+    The running maximum sorts one row per batch; their number is the time span over the batch
+    length, whatever the number of events."""
+    newest = events.groupBy(arrival_batch(arrival, batch_minutes).alias("batch")).agg(F.max("ts").alias("newest"))
     before = Window.partitionBy(F.lit(0)).orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
-    marks = newest.select("batch", (F.max("newest").over(before)
-                                    - F.make_dt_interval(mins=F.lit(delay_minutes))).alias("watermark"))
-    return rows.join(marks, "batch").filter("ts < watermark")
+    return newest.select("batch", (F.max("newest").over(before)
+                                   - F.make_dt_interval(mins=F.lit(delay_minutes))).alias("watermark"))
+
+
+def late_rows(events: DataFrame, arrival: str, watermarks: DataFrame, batch_minutes: int = 60) -> DataFrame:
+    """Audit of late data: rows behind the watermark of the batch they arrive in.
+
+    (Stateful operators compare with the batch before, so they may still take some of these.)"""
+    rows = events.withColumn("batch", arrival_batch(arrival, batch_minutes))
+    return rows.join(watermarks, "batch").filter("ts < watermark")

@@ -27,9 +27,10 @@ AGGREGATES = {
 
 @dataclass(frozen=True)
 class Store:
-    """Where the tables of one deployment are."""
+    """Where the tables of one deployment are, and the folders of its dated tables."""
 
     root: str
+    partitions: tuple[str, ...] = zones.PARTITIONS
 
     def processed(self, name: str) -> str:
         return f"{self.root}/processed/{name}"
@@ -51,15 +52,15 @@ def preprocess(spark: SparkSession, feeds: dict[str, tuple[str, Feed]], store: S
     before, after = Observation("union"), Observation("unified")
     union = quality.observed(normalise.unify(frames), before)
     unified = quality.observed(normalise.deduplicate(union), after)
-    zones.write_zone(unified, store.processed("unified"))
+    zones.write_zone(unified, store.processed("unified"), store.partitions)
     rows = load_unified(spark, store)
     for name, build in AGGREGATES.items():
-        zones.write_zone(build(rows), store.processed(name))
+        zones.write_zone(build(rows), store.processed(name), store.partitions)
     return {"union": before.get, "unified": after.get}
 
 
 def load_unified(spark: SparkSession, store: Store) -> DataFrame:
-    return zones.read_zone(spark, store.processed("unified")).drop("date")
+    return normalise.select_canonical(zones.read_zone(spark, store.processed("unified")))
 
 
 def train(spark: SparkSession, store: Store, location: str, demand: dict | None = None,
@@ -70,20 +71,21 @@ def train(spark: SparkSession, store: Store, location: str, demand: dict | None
     errors = forecast.forecast_errors(predicted, "units_ordered", "prediction").first()
     demand_model.write().overwrite().save(store.model("demand"))
     out = models.forecast_demand(demand_model, rows, location)
-    zones.write_zone(out, store.curated("demand_forecasts"))
+    zones.write_zone(out, store.curated("demand_forecasts"), store.partitions)
 
     labels = trend.trend_labels(rows)
     trend_model, predicted = models.split_and_fit(labels, models.fit_trend_model, **(trends or {}))
     scores = forecast.classification_scores(forecast.confusion(predicted)).first()
     trend_model.write().overwrite().save(store.model("trend"))
-    zones.write_zone(models.classify_trends(trend_model, labels, location), store.curated("trend_labels"))
+    zones.write_zone(models.classify_trends(trend_model, labels, location), store.curated("trend_labels"),
+                     store.partitions)
     return {"demand": errors.asDict(), "trend": scores.asDict()}
 
 
 def compare(spark: SparkSession, store: Store, sliders=fv.DEFAULT_WEIGHTS, as_of: Column | None = None) -> None:
     """Ranks the platforms of every pack and stores the nested records."""
     rows = load_unified(spark, store)
-    current = latest.latest_snapshot(rows, as_of)
+    current = zones.stored(latest.latest_snapshot(rows, as_of), "latest")
     scorable = score.with_defaults(score.impute_rating(current, rows), trend.availability_7d(rows, as_of))
     records = score.recommend(score.score_platforms(scorable, sliders))
     zones.write_zone(records, store.curated("platform_comparison"), partitions=())

@@ -549,10 +549,12 @@ def intent_counts(spark, sf):
 
 @query
 def answer_queries(spark, sf):
-    records = S.recommend(S.score_platforms(_scorable(spark, sf)))
     rows = T.listings(spark, sf)
-    out = X.answer_questions(_parsed(spark, sf), records, LT.latest_snapshot(rows),
-                             TR.top_trending(TR.trend_labels(rows)))
+    latest = Z.stored(LT.latest_snapshot(rows), "latest")
+    scorable = S.with_defaults(latest, TR.availability_7d(rows))
+    records = Z.stored(S.recommend(S.score_platforms(scorable)), "records")
+    top = TR.top_trending(TR.trend_labels(rows))
+    out = X.answer_questions(_parsed(spark, sf), records, latest, top)
     return out.withColumn("platforms_named", F.array_join("platforms_named", ","))
 
 
@@ -597,7 +599,8 @@ def p95_value(spark, sf):
 def late_rows(spark, sf):
     lag = F.make_dt_interval(mins=((F.col("event_id") * 37) % 91).cast("int"))
     events = T.read_events(spark, sf).withColumn("arrived", F.col("ts") + lag)
-    return U.late_rows(events, "arrived").select("event_id", "ts", "arrived", "batch", "watermark")
+    marks = Z.stored(U.batch_watermarks(events, "arrived"), "watermarks")
+    return U.late_rows(events, "arrived", marks).select("event_id", "ts", "arrived", "batch", "watermark")
 
 
 # --- streaming ----------------------------------------------------------------------------

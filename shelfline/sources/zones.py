@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fv
+from shelfline.session import new_folder
 
 PARTITIONS = ("date", "platform")
 
@@ -26,6 +27,17 @@ def read_zone(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For small results that several later steps use: computed once, no lineage to repeat when an
+    executor is lost, and of a size that the planner knows, so that it broadcasts them in joins
+    only if they are below its limit."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def compact(spark: SparkSession, source: str, target: str, order: tuple[str, ...] = ("snapshot_time", "record_id")) -> None:
     """Many small files -> few large ones, sorted so that time filters skip row groups.
 

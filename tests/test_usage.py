@@ -87,7 +87,7 @@ def test_late_rows_against_brute_force(spark):
     rows = [(i, START + timedelta(minutes=rng.randrange(3000)), 1, "v", 0.0) for i in range(400)]
     lag = {i: timedelta(minutes=rng.randrange(200)) for i in range(400)}
     df = spark.createDataFrame([(*r, r[1] + lag[r[0]]) for r in rows], SCHEMA + ", arrived timestamp")
-    got = {r.event_id for r in U.late_rows(df, "arrived").collect()}
+    got = {r.event_id for r in U.late_rows(df, "arrived", U.batch_watermarks(df, "arrived")).collect()}
     slot = {r[0]: int((r[1] + lag[r[0]]).timestamp() // 3600) for r in rows}
     want = set()
     for r in rows:
