@@ -12,6 +12,7 @@ from shelfline.operators.aggregate import day
 
 GRAIN = ("category", "platform")
 HORIZONS = {"24h": 1, "72h": 3}
+BASELINE_VERSION = "baseline_v1"
 
 
 def demand_series(df: DataFrame, grain=GRAIN) -> DataFrame:
@@ -56,6 +57,38 @@ def forecast_interval(series: DataFrame, grain=GRAIN) -> DataFrame:
         (F.col("naive_24h") + F.col("high")).alias("confidence_upper"))
 
 
+def horizon_table(series: DataFrame, grain=GRAIN) -> DataFrame:
+    """Inputs and targets of a model that looks ahead: weekday, month, past demand, later demand.
+    Where the day one or three days ago is missing, the mean of the week stands for it."""
+    rows = naive_forecast(horizon_features(series, grain), grain)
+    week = Window.partitionBy(*grain).orderBy(F.unix_date("date")).rangeBetween(-6, 0)
+    rows = rows.withColumns({"day_of_week": F.dayofweek("date"), "month": F.month("date"),
+                             "week_avg": F.avg("demand").over(week)})
+    return rows.withColumns({f"naive_{h}": F.coalesce(f"naive_{h}", "week_avg") for h in HORIZONS})
+
+
+def baseline_errors(rolling: DataFrame, by=("category", "platform")) -> DataFrame:
+    """5th and 95th percentile of demand minus the mean of the seven rows before, per group."""
+    before = Window.partitionBy("product_name", "platform").orderBy("date").rowsBetween(-7, -1)
+    errors = rolling.withColumn("error", F.col("daily_demand") - F.avg("daily_demand").over(before))
+    return exact_percentiles(errors, list(by), "error", {"low": 0.05, "high": 0.95})
+
+
+def forecast_records(trends: DataFrame, errors: DataFrame, risk: DataFrame, generated_at,
+                     horizon_hours: int = fv.FORECAST_HORIZON_HOURS) -> DataFrame:
+    """One record per product and platform: expected daily demand with its interval, trend and
+    stockout risk.  ``trends`` has the last labelled day of each series."""
+    rows = trends.join(errors, ["category", "platform"], "left").join(
+        risk.select("product_name", "platform", "stockout_risk"), ["product_name", "platform"], "left")
+    demand = F.col("rolling_avg_7d")
+    return rows.select(
+        "product_name", "platform", generated_at.alias("forecast_generated_at"),
+        F.lit(horizon_hours).alias("forecast_horizon_hours"), demand.alias("predicted_demand_index"),
+        F.greatest(F.lit(0.0), demand + F.col("low")).alias("confidence_lower"),
+        (demand + F.col("high")).alias("confidence_upper"), "trend_label", "stockout_risk",
+        F.lit(BASELINE_VERSION).alias("model_version"))
+
+
 def forecast_errors(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """MAPE over positive actuals in percent, RMSE and MAE, in one pass; null where undefined."""
     error = F.col(predicted) - F.col(actual)

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from shelfline import fixed_values as fv
-from shelfline.operators.forecast import time_split
+from shelfline.operators.forecast import HORIZONS, time_split
 from shelfline.session import ensure_checkpoint_dir
 
 INDEXED = {"platform": "platform_idx", "category": "category_idx",
            "product_name": "product_idx", "weather": "weather_idx"}
+HORIZON_FEATURES = ("platform_idx", "category_idx", "day_of_week", "month", "demand", "naive_24h", "naive_72h", "week_avg")
 MAX_CATEGORIES = 4096
 _TYPES = {
     "units_ordered": "int", "effective_price": "double", "mrp": "double", "price_per_unit": "double",
@@ -89,6 +90,24 @@ def fit_demand_model(train: DataFrame, **settings) -> PipelineModel:
     return _fit(train, [indexer(INDEXED)], fv.DEMAND_FEATURES, gbt)
 
 
+def fit_horizon_model(rows: DataFrame, horizon: str, **settings) -> PipelineModel:
+    """Regressor for the demand that :func:`forecast.horizon_table` has ``horizon`` ahead."""
+    target = f"demand_in_{horizon}"
+    options = {**fv.DEMAND_MODEL, "seed": fv.SEED, **settings}
+    gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=f"predicted_{horizon}", **options)
+    names = indexer({"platform": "platform_idx", "category": "category_idx"})
+    return _fit(rows.filter(F.col(target).isNotNull()), [names], HORIZON_FEATURES, gbt)
+
+
+def forecast_horizons(rows: DataFrame, **settings) -> DataFrame:
+    """Demand one and three days ahead, by one model per horizon fitted on the training months."""
+    train, _ = time_split(rows)
+    for horizon in HORIZONS:
+        rows = fit_horizon_model(train, horizon, **settings).transform(rows).drop(
+            "platform_idx", "category_idx", "features")
+    return rows
+
+
 def fit_trend_model(train: DataFrame, **settings) -> PipelineModel:
     options = {**fv.TREND_MODEL, "seed": fv.SEED, **settings}
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", **options)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfline import fixed_values as fv
+from shelfline.operators.forecast import BASELINE_VERSION
 from shelfline.operators.textjobs import intent_expressions
 from shelfline.plans.queries import PROFILES
 from shelfline.schema import CANONICAL
@@ -458,15 +459,15 @@ ranked AS (SELECT *, {_composite('wp', 'wd', 'wq')} AS composite_score FROM sub,
 SELECT {_PACK}, profile, platform AS winner, composite_score FROM (
   SELECT *, row_number() OVER (PARTITION BY {_PACK}, profile ORDER BY composite_score DESC, platform) AS nr FROM ranked)
 WHERE nr = 1""")
-add("stockout_risk", LATEST + f""",
+_COVER = f"""
 sold AS (SELECT product_name, platform, {big('sum(units_ordered)')} AS units FROM fact
   WHERE snapshot_time > {_RECENT.format(7)} GROUP BY 1, 2),
 stock AS (SELECT product_name, platform, {big('sum(stock_remaining)')} AS stock FROM latest GROUP BY 1, 2),
 cover AS (SELECT product_name, platform, stock, coalesce(units, 0) AS units,
   CAST(stock * 168 AS DOUBLE) / nullif(coalesce(units, 0), 0) AS hours_of_cover
-  FROM stock LEFT JOIN sold USING (product_name, platform))""", """
-SELECT *, CASE WHEN stock = 0 OR hours_of_cover < 12 THEN 'high' WHEN hours_of_cover < 24 THEN 'medium' ELSE 'low' END
-  AS stockout_risk FROM cover""")
+  FROM stock LEFT JOIN sold USING (product_name, platform))"""
+_RISK = "CASE WHEN stock = 0 OR hours_of_cover < 12 THEN 'high' WHEN hours_of_cover < 24 THEN 'medium' ELSE 'low' END"
+add("stockout_risk", LATEST + "," + _COVER, f"SELECT *, {_RISK} AS stockout_risk FROM cover")
 
 # --- questions ----------------------------------------------------------------------------
 
@@ -606,6 +607,17 @@ spread AS (SELECT category, platform, quantile_cont(demand - naive_24h, 0.05) AS
 SELECT category, platform, date, demand, naive_24h AS predicted, {rnd('naive_24h + low')} AS confidence_lower,
   {rnd('naive_24h + high')} AS confidence_upper FROM naive JOIN spread USING (category, platform)
 WHERE naive_24h IS NOT NULL""")
+_TREND_CTES = TRENDING[len(LISTINGS):]
+add("forecast_record", LATEST + _TREND_CTES + f""",
+errors AS (SELECT category, platform, daily_demand - avg(daily_demand) OVER (PARTITION BY product_name, platform ORDER BY date
+  ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS error FROM daily),
+spread AS (SELECT category, platform, quantile_cont(error, 0.05) AS low, quantile_cont(error, 0.95) AS high
+  FROM errors WHERE error IS NOT NULL GROUP BY 1, 2),{_COVER}""", f"""
+SELECT t.product_name, t.platform, (SELECT max(snapshot_time) FROM fact) AS forecast_generated_at,
+  {fv.FORECAST_HORIZON_HOURS} AS forecast_horizon_hours, rolling_avg_7d AS predicted_demand_index,
+  {rnd('greatest(0e0, rolling_avg_7d + low)')} AS confidence_lower, {rnd('rolling_avg_7d + high')} AS confidence_upper,
+  trend_label, {_RISK} AS stockout_risk, '{BASELINE_VERSION}' AS model_version
+FROM last_day t JOIN spread USING (category, platform) JOIN cover USING (product_name, platform) WHERE nr = 1""")
 add("forecast_mape", NAIVE, f"""
 SELECT {rnd("avg(CASE WHEN demand > 0 THEN CAST(abs(naive_24h - demand) AS DOUBLE) / demand END) * 100")} AS mape,
   {rnd('sqrt(avg((naive_24h - demand) * (naive_24h - demand)))')} AS rmse, {rnd('avg(abs(naive_24h - demand))')} AS mae,

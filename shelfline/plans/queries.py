@@ -666,6 +666,16 @@ def forecast_interval(spark, sf):
     return _rounded(FC.forecast_interval(_series(spark, sf)), "confidence_lower", "confidence_upper")
 
 
+@query
+def forecast_record(spark, sf):
+    rows = T.listings(spark, sf)
+    end = TR.latest_time(rows)
+    risk = S.stockout_risk(rows, LT.latest_snapshot(rows), end)
+    trends = TR.latest_trends(TR.trend_labels(rows))
+    out = FC.forecast_records(trends, FC.baseline_errors(TR.rolling_demand(rows)), risk, end)
+    return _rounded(out, "confidence_lower", "confidence_upper")
+
+
 @query
 def forecast_mape(spark, sf):
     rows = FC.naive_forecast(_series(spark, sf)).filter("naive_24h is not null")
@@ -706,3 +716,10 @@ def trend_classify(spark, sf):
     labels = TR.trend_labels(T.listings(spark, sf))
     model = M.save_and_reload(M.fit_trend_model(FC.time_split(labels)[0]), new_folder(spark, "trend-model"))
     return M.classify_trends(model, labels, T.LOCATION)
+
+
+@query
+def horizon_forecast(spark, sf):
+    table = Z.stored(FC.horizon_table(_series(spark, sf)), "horizons")
+    return M.forecast_horizons(table).select(
+        "category", "platform", "date", "demand", "predicted_24h", "predicted_72h", "demand_in_24h", "demand_in_72h")
