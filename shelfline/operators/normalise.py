@@ -19,7 +19,8 @@ def read_feed(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
 
 def normalise_feed(raw: DataFrame, feed: Feed, platform: str) -> DataFrame:
     """One projection: rename, convert, add the platform; columns the feed lacks become typed nulls."""
-    source = {name: c for c, name in feed.columns.items() if c in raw.columns}
+    kinds = {f.name: f.dataType for f in raw.schema.fields}
+    source = {name: c for c, name in feed.columns.items() if c in kinds}
     out = []
     for field in CANONICAL.fields:
         if field.name == "platform":
@@ -27,7 +28,7 @@ def normalise_feed(raw: DataFrame, feed: Feed, platform: str) -> DataFrame:
         elif field.name not in source:
             value = F.lit(None).cast(field.dataType)
         else:
-            value = _convert(source[field.name], raw.schema[source[field.name]].dataType, field, feed)
+            value = _convert(source[field.name], kinds[source[field.name]], field, feed)
         out.append(value.alias(field.name))
     return raw.select(*out)
 
