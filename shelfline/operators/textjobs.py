@@ -22,11 +22,17 @@ def intent_expressions(platforms) -> dict[str, str]:
             for intent, patterns in fv.INTENT_PATTERNS.items()}
 
 
+def _first_only(pattern: str) -> str:
+    """The same matches in linear time: after a platform name only the first joining word is tried.
+    If no platform follows that one on the line, none follows a later one."""
+    return pattern.replace(".*(?:vs|versus|and|or)", "(?>.*?(?:vs|versus|and|or))")
+
+
 def intent_label(text: Column | str, platforms) -> Column:
     lowered = F.lower(col(text))
     expr = F
     for intent, pattern in intent_expressions(platforms).items():
-        expr = expr.when(lowered.rlike(_FLAGS + pattern), F.lit(intent))
+        expr = expr.when(lowered.rlike(_FLAGS + _first_only(pattern)), F.lit(intent))
     return expr.otherwise(F.lit(fv.DEFAULT_INTENT))
 
 

@@ -63,6 +63,11 @@ def load_unified(spark: SparkSession, store: Store) -> DataFrame:
     return normalise.select_canonical(zones.read_zone(spark, store.processed("unified")))
 
 
+def load_recent(spark: SparkSession, store: Store, days: int, as_of: Column | None = None) -> DataFrame:
+    rows = zones.recent(zones.read_zone(spark, store.processed("unified")), days, as_of)
+    return normalise.select_canonical(rows)
+
+
 def train(spark: SparkSession, store: Store, location: str, demand: dict | None = None,
           trends: dict | None = None) -> dict[str, dict]:
     """Fits, evaluates, saves and applies both models.  Returns their test scores."""
@@ -83,10 +88,15 @@ def train(spark: SparkSession, store: Store, location: str, demand: dict | None
 
 
 def compare(spark: SparkSession, store: Store, sliders=fv.DEFAULT_WEIGHTS, as_of: Column | None = None) -> None:
-    """Ranks the platforms of every pack and stores the nested records."""
+    """Ranks the platforms of every pack and stores the nested records.
+
+    The latest rows come from the whole table, since a pack may not have been listed for long;
+    availability reads the last days only."""
     rows = load_unified(spark, store)
     current = zones.stored(latest.latest_snapshot(rows, as_of), "latest")
-    scorable = score.with_defaults(score.impute_rating(current, rows), trend.availability_7d(rows, as_of))
+    end = current.agg(F.max("snapshot_time")).scalar() if as_of is None else as_of
+    available = trend.availability_7d(load_recent(spark, store, 7, as_of), end)
+    scorable = score.with_defaults(score.impute_rating(current, rows), available)
     records = score.recommend(score.score_platforms(scorable, sliders))
     zones.write_zone(records, store.curated("platform_comparison"), partitions=())
 

@@ -27,6 +27,15 @@ def read_zone(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def recent(df: DataFrame, days: int, as_of=None) -> DataFrame:
+    """Rows of a dated table's last ``days`` folders, and the one that ends at ``as_of`` (default:
+    the newest).  The bound is a scalar subquery on the folder names, so older folders are not read."""
+    if "date" not in df.columns:
+        return df
+    end = df.agg(F.max("date")).scalar() if as_of is None else F.to_date(as_of)
+    return df.filter((F.col("date") >= F.date_sub(end, days)) & (F.col("date") <= end))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 

@@ -48,6 +48,21 @@ def test_partitions_are_pruned(spark, tmp_path, listing):
     assert "PartitionFilters: [isnotnull(date" in plan and "ReadSchema: struct<mrp:double>" in plan
 
 
+def test_recent_reads_only_the_last_folders(spark, tmp_path, listing):
+    out = jobs.Store(str(tmp_path / "dated"))
+    Z.write_zone(listing(*[dict(snapshot_time=datetime(2024, 4, 1, 9) + timedelta(days=d), in_stock=d % 2 == 0) for d in range(20)]),
+                 out.processed("unified"))
+    df = jobs.load_recent(spark, out, 7)
+    assert df.count() == 8
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "date_sub(Subquery" in plan.split("PartitionFilters: ")[1].split("\n")[0]
+    assert jobs.load_recent(spark, out, 3, F.lit(datetime(2024, 4, 10, 12))).agg(F.max("snapshot_time")).first()[0] == datetime(2024, 4, 10, 9)
+    jobs.compare(spark, out)
+    entry = spark.read.parquet(out.curated("platform_comparison")).first().platforms[0]
+    whole = TR.availability_7d(jobs.load_unified(spark, out)).first().availability_rate_7d
+    assert entry.availability_rate_7d == whole == 3 / 7
+
+
 def test_overwrite_replaces_only_written_partitions(spark, tmp_path, listing):
     path = str(tmp_path / "zone")
     one = dict(snapshot_time=datetime(2024, 4, 1, 9))

@@ -26,6 +26,26 @@ def test_intents(spark, text, intent):
     assert row.i == intent
 
 
+def test_compare_pattern_against_python(spark):
+    import re
+    rng = random.Random(8)
+    words = ["alpha", "gamma", "vs", "versus", "and", "or", "x", "\n", "nor"]
+    texts = [rng.choice(("", " ")).join(rng.choice(words) for _ in range(rng.randint(1, 7))) for _ in range(600)]
+    names = ("alpha", "gamma")
+    patterns = X.intent_expressions(names)
+    want = {str(i): next((k for k, p in patterns.items() if re.search(p, t)), "recommend") for i, t in enumerate(texts)}
+    got = frame(spark, texts).select("question_id", X.intent_label("text", names).alias("i")).collect()
+    assert {r.question_id: r.i for r in got} == want and len(set(want.values())) > 1
+
+
+def test_long_line_is_matched_whole_and_fast(spark):
+    import time
+    long = "alpha " + "bread and butter for all " * 20_000
+    begin = time.time()
+    rows = frame(spark, [long, long + " gamma"]).select(X.intent_label("text", ALIASES).alias("i")).collect()
+    assert [r.i for r in rows] == ["recommend", "compare"] and time.time() - begin < 30
+
+
 @pytest.mark.parametrize("text,pack", [
     ("500g paneer", "500g"), ("500 grams", "500 g"), ("2  L or 750ML", "750ml"), ("1 litre", None), ("10 tabs", "10 tabs"),
     ("3 pieces", "3 pieces"), ("none", None), ("12kg then 5g", "12kg")])
