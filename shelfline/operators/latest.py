@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfline import fixed_values as fv
 from shelfline.operators.trend import latest_time
 from shelfline.schema import PACK_KEY
 
@@ -94,7 +95,7 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: st
                       *[F.col(f"_hit.{v}").alias(f"ref_{v}") for v in values])
 
 
-def series_gaps(df: DataFrame, keys: list[str], platforms: tuple[str, ...], step_seconds: int,
+def series_gaps(df: DataFrame, keys: list[str], platforms: tuple[str, ...], step_seconds: int = fv.SLOT_MINUTES * 60,
                 time: str = "snapshot_time", first: Column | None = None, last: Column | None = None) -> DataFrame:
     """Grid steps at which a series was not observed, as ranges of epoch steps.
 

@@ -3,7 +3,6 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from shelfline.functions.percentiles import exact_percentiles
 from shelfline.operators import usage as U
