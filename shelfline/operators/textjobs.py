@@ -74,11 +74,14 @@ def product_mention(questions: DataFrame, catalogue: DataFrame, max_inline: int
                                 F.lit(r["product_name"]).alias("name")) for r in ranked])
     text = _padded(F.lower("text")) if word_boundaries else F.lower("text")
 
-    def occurs(entry):
-        key = F.concat(F.lit(" "), entry["key"], F.lit(" ")) if word_boundaries else entry["key"]
-        return F.contains(text, key)
-
-    return questions.withColumn("product", F.get(F.filter(listed, occurs), F.lit(0))["name"])
+    def longest_in(prepared):
+        def occurs(entry):
+            key = F.concat(F.lit(" "), entry["key"], F.lit(" ")) if word_boundaries else entry["key"]
+            return F.contains(prepared, key)
+        return F.get(F.filter(listed, occurs), F.lit(0))["name"]
+
+    # The one-element array binds the prepared text, so it is made once per row and not per name.
+    return questions.withColumn("product", F.get(F.transform(F.array(text), longest_in), F.lit(0)))
 
 
 def _padded(text: Column) -> Column:
