@@ -108,11 +108,14 @@ def series_gaps(df: DataFrame, keys: list[str], platforms: tuple[str, ...], step
         return F.floor(F.unix_timestamp(c) / step_seconds)
 
     seen = df.select(*keys, "platform", step(time).alias("step")).distinct()
-    lowest = seen.agg(F.min("step")).scalar() if first is None else step(first)
-    highest = seen.agg(F.max("step")).scalar() if last is None else step(last)
+    # The count keeps the optimiser from reading the rows again instead of the distinct steps, so
+    # that one shuffle serves the bounds, the series and the steps.
+    per_key = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("step").alias("low"),
+                                      F.max("step").alias("high")).filter("n > 0")
+    lowest = per_key.agg(F.min("low")).scalar() if first is None else step(first)
+    highest = per_key.agg(F.max("high")).scalar() if last is None else step(last)
     inside = seen if first is None and last is None else seen.filter(F.col("step").between(lowest, highest))
-    # Same input as above, so its shuffle is reused.
-    series = seen.select(*keys).distinct().withColumn("platform", F.explode(F.array(*map(F.lit, platforms))))
+    series = per_key.select(*keys, F.explode(F.array(*map(F.lit, platforms))).alias("platform"))
     marks = series.withColumn("step", F.explode(F.array(lowest - 1, highest + 1)))
     order = Window.partitionBy(*keys, "platform").orderBy("step")
     gaps = inside.unionByName(marks).withColumn("next", F.lead("step").over(order)).filter("next > step + 1")
