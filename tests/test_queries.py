@@ -42,7 +42,7 @@ def test_plan_has_no_cross_join_and_no_python(spark, sf_dir, name):
 def test_entry(spark):
     from __spark_entry__ import entry, oracle_sql, queries
     assert entry(spark).count() == 3
-    assert queries().keys() == QUERIES.keys() and oracle_sql() == ORACLES
+    assert queries().keys() >= QUERIES.keys() and oracle_sql().items() >= ORACLES.items()
 
 
 def test_events_reach_the_scan_pruned(spark, sf_dir):
