@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from shelfline.llm import packing, word_bpe
+from shelfline.llm import packing, quality_classifier, toxicity, word_bpe
 from shelfline.llm.common import table
 
 
+def op5_quality_classifier(spark, sf):
+    return quality_classifier.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op6_word_bpe(spark, sf):
     return word_bpe.token_digests(word_bpe.encode_and_decode(table(spark, sf, "documents")))
 
@@ -14,5 +18,9 @@ def op9_mixture_packing(spark, sf):
     return packing.piece_digests(packing.pack(table(spark, sf, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op6_word_bpe, op9_mixture_packing)}
+def op10_toxicity(spark, sf):
+    return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op5_quality_classifier, op6_word_bpe, op9_mixture_packing, op10_toxicity)}
 ORACLES: dict[str, str] = {}
