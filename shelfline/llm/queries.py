@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import packing, quality_classifier, toxicity, word_bpe
+from shelfline.llm import packing, quality_classifier, shingle_join, toxicity, word_bpe
 from shelfline.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op6_word_bpe(spark, sf):
     return word_bpe.token_digests(word_bpe.encode_and_decode(table(spark, sf, "documents")))
 
 
+def op7_shingle_join(spark, sf):
+    return shingle_join.similar_components(table(spark, sf, "documents"))
+
+
 def op9_mixture_packing(spark, sf):
     return packing.piece_digests(packing.pack(table(spark, sf, "documents")))
 
@@ -22,5 +26,5 @@ def op10_toxicity(spark, sf):
     return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_classifier, op6_word_bpe, op9_mixture_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op5_quality_classifier, op6_word_bpe, op7_shingle_join, op9_mixture_packing, op10_toxicity)}
 ORACLES: dict[str, str] = {}
