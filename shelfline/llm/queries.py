@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from shelfline.llm import packing, quality_classifier, shingle_join, toxicity, word_bpe
+from shelfline.llm import exact_dedup, packing, quality_classifier, quality_rules, shingle_join, toxicity, word_bpe
 from shelfline.llm.common import table
 
 
+def op4_quality_rules(spark, sf):
+    return quality_rules.judged(table(spark, sf, "documents"))
+
+
 def op5_quality_classifier(spark, sf):
     return quality_classifier.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -18,6 +22,10 @@ def op7_shingle_join(spark, sf):
     return shingle_join.similar_components(table(spark, sf, "documents"))
 
 
+def op8_exact_dedup(spark, sf):
+    return exact_dedup.exact_groups(table(spark, sf, "documents"))
+
+
 def op9_mixture_packing(spark, sf):
     return packing.piece_digests(packing.pack(table(spark, sf, "documents")))
 
@@ -26,5 +34,7 @@ def op10_toxicity(spark, sf):
     return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_classifier, op6_word_bpe, op7_shingle_join, op9_mixture_packing, op10_toxicity)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op4_quality_rules, op5_quality_classifier, op6_word_bpe, op7_shingle_join, op8_exact_dedup,
+    op9_mixture_packing, op10_toxicity)}
+ORACLES: dict[str, str] = {"op4_quality_rules": quality_rules.oracle(), "op8_exact_dedup": exact_dedup.ORACLE}
