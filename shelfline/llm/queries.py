@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup, packing, quality_classifier, quality_rules, shingle_join, toxicity, word_bpe
+from shelfline.llm import exact_dedup, packing, pii, quality_classifier, quality_rules, shingle_join, toxicity, word_bpe
 from shelfline.llm.common import table
 
 
+def op3_pii(spark, sf):
+    return pii.spans_report(table(spark, sf, "documents"))
+
+
 def op4_quality_rules(spark, sf):
     return quality_rules.judged(table(spark, sf, "documents"))
 
@@ -35,6 +39,6 @@ def op10_toxicity(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_quality_rules, op5_quality_classifier, op6_word_bpe, op7_shingle_join, op8_exact_dedup,
+    op3_pii, op4_quality_rules, op5_quality_classifier, op6_word_bpe, op7_shingle_join, op8_exact_dedup,
     op9_mixture_packing, op10_toxicity)}
 ORACLES: dict[str, str] = {"op4_quality_rules": quality_rules.oracle(), "op8_exact_dedup": exact_dedup.ORACLE}
