@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from shelfline.llm import exact_dedup, packing, pii, quality_classifier, quality_rules, shingle_join, toxicity, word_bpe
+from shelfline.llm import chat, exact_dedup, packing, pii, quality_classifier, quality_rules, shingle_join, toxicity, word_bpe
 from shelfline.llm.common import table
 
 
+def op1_chat_format(spark, sf):
+    said = "</s>[INST] ok [/INST]"
+    known = "SELECT conv_id, turn, role, text FROM {rows} UNION ALL SELECT * FROM VALUES " \
+            "(-1L, 0L, 'user', {said}), (-1L, 1L, 'assistant', {said})"
+    rows = spark.sql(known, rows=table(spark, sf, "conversations"), said=said)
+    return chat.chat_digests(chat.formatted_conversations(rows))
+
+
 def op3_pii(spark, sf):
     return pii.spans_report(table(spark, sf, "documents"))
 
@@ -39,6 +47,6 @@ def op10_toxicity(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_pii, op4_quality_rules, op5_quality_classifier, op6_word_bpe, op7_shingle_join, op8_exact_dedup,
+    op1_chat_format, op3_pii, op4_quality_rules, op5_quality_classifier, op6_word_bpe, op7_shingle_join, op8_exact_dedup,
     op9_mixture_packing, op10_toxicity)}
-ORACLES: dict[str, str] = {"op4_quality_rules": quality_rules.oracle(), "op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op1_chat_format": chat.oracle(), "op4_quality_rules": quality_rules.oracle(), "op8_exact_dedup": exact_dedup.ORACLE}
