@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import chat, exact_dedup, packing, pii, quality_classifier, quality_rules, shingle_join, toxicity, word_bpe
+from shelfline.llm import chat, exact_dedup, packing, pii, quality_classifier, quality_rules, shingle_join, toxicity, warc, word_bpe
 from shelfline.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_chat_format(spark, sf):
     return chat.chat_digests(chat.formatted_conversations(rows))
 
 
+def op2_warc(spark, sf):
+    return warc.archived(table(spark, sf, "pages")).drop("payload", "url")
+
+
 def op3_pii(spark, sf):
     return pii.spans_report(table(spark, sf, "documents"))
 
@@ -47,6 +51,6 @@ def op10_toxicity(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_pii, op4_quality_rules, op5_quality_classifier, op6_word_bpe, op7_shingle_join, op8_exact_dedup,
+    op1_chat_format, op2_warc, op3_pii, op4_quality_rules, op5_quality_classifier, op6_word_bpe, op7_shingle_join, op8_exact_dedup,
     op9_mixture_packing, op10_toxicity)}
 ORACLES: dict[str, str] = {"op1_chat_format": chat.oracle(), "op4_quality_rules": quality_rules.oracle(), "op8_exact_dedup": exact_dedup.ORACLE}
