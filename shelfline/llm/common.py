@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,6 +61,16 @@ def batches(names: list[str], columns: list, schema: pa.Schema) -> pa.RecordBatc
                                       schema=schema)
 
 
+@contextlib.contextmanager
+def no_collector():
+    """Switches the cycle collector off: the large dictionaries of a task hold no cycles, and walking them takes long."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def rows_of(iterator: Iterator[pa.RecordBatch], *names: str):
     """Per batch, one Python list per column."""
     for batch in iterator:

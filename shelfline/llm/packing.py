@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from shelfline.llm.common import batches, rows_of, small_batches, spread_join, stored, whole_text
+from shelfline.llm.common import batches, no_collector, rows_of, small_batches, spread_join, stored, whole_text
 from shelfline.llm.word_bpe import VOCABULARY, chunks, encoder
 
 SEQUENCE_TOKENS = 2048
@@ -51,14 +51,15 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoded = encoder(path, CACHE_CHUNKS)
-        end = np.array([end_id], "<i4")
-        for doc_ids, sources, texts in rows_of(iterator, "doc_id", "source", "text"):
-            tokens = []
-            for text in texts:
-                ids = np.frombuffer(b"".join(map(encoded.__getitem__, chunks(text))), "<i4")
-                encoded.trim()
-                tokens.append(np.append(ids, end).astype(width).tobytes())
-            yield batches(_TOKENS.names, [doc_ids, sources, [len(t) // step for t in tokens], tokens], _TOKENS)
+        end = np.array([end_id], "<i4").tobytes()
+        with no_collector():
+            for doc_ids, sources, texts in rows_of(iterator, "doc_id", "source", "text"):
+                tokens = []
+                for text in texts:
+                    ids = b"".join(map(encoded.__getitem__, chunks(text))) + end
+                    encoded.trim()
+                    tokens.append(np.frombuffer(ids, "<i4").astype(width).tobytes())
+                yield batches(_TOKENS.names, [doc_ids, sources, [len(t) // step for t in tokens], tokens], _TOKENS)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        whole_text().alias("text"))

@@ -15,6 +15,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfline.llm.common import rows_of, small_batches, whole_text
+from shelfline.llm.common import no_collector, rows_of, small_batches, whole_text
 
 VOCABULARY = "word_bpe_49k.json"
 SCAN_LIMIT = 96
@@ -62,11 +64,16 @@ class WordBPE:
         self.ranks = {(a, b): rank for rank, (a, b) in enumerate(map(tuple, model["merges"]))}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
+        if sys.byteorder != "little" or array("i").itemsize != 4:
+            raise RuntimeError("ids are kept as little-endian 32-bit integers")
+        # What added tokens look like inside: the quick path leaves such chunks alone.
+        if any("<|" not in t for t in self.added):
+            raise ValueError("added tokens are expected to contain <|")
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.added.items()}
         # Only Unicode normal form, lower case and the splitting pattern come from the library.
         library = Tokenizer.from_file(path)
         self._normal, self._split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        self._words: dict[str, list[str]] = {}
+        self._words: dict[str, bytes] = {}
 
     # -- merging ---------------------------------------------------------------------------
     def merge(self, word: str) -> list[str]:
@@ -113,36 +120,34 @@ class WordBPE:
                     heapq.heappush(heap, (r, a, parts[a], parts[b]))
         return [p for p, live in zip(parts, alive) if live]
 
-    def _word(self, word: str) -> list[str]:
-        tokens = self._words.get(word)
-        if tokens is None:
-            tokens = self.merge(word)
+    def _word(self, word: str) -> bytes:
+        """Ids of one word, little-endian 32-bit integers."""
+        ids = self._words.get(word)
+        if ids is None:
+            numbers = self.ids
+            ids = array("i", [numbers[t] for t in self.merge(word)]).tobytes()
             if len(word) <= LONGEST_CACHED:
                 if len(self._words) >= CACHE_CHUNKS:
                     self._words.clear()
-                self._words[word] = tokens
-        return tokens
+                self._words[word] = ids
+        return ids
 
     # -- chunks and texts -------------------------------------------------------------------
-    def chunk_tokens(self, chunk: str) -> list[str]:
-        """Tokens of text without ASCII white space; an added token is found before normalising."""
-        out: list[str] = []
+    def chunk_ids(self, chunk: str) -> bytes:
+        """Ids of text without ASCII white space; an added token is found before normalising."""
+        if _LATIN.fullmatch(chunk) and "<|" not in chunk:
+            return b"".join([self._word(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES))
+                             for w in _LATIN_WORDS.findall(chunk.lower())])
+        out = []
         for i, part in enumerate(self.marks.split(chunk) if self.marks else (chunk,)):
             if i % 2:
-                out.append(part)
-            elif _LATIN.fullmatch(part):
-                for word in _LATIN_WORDS.findall(part.lower()):
-                    out += self._word(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES))
+                out.append(array("i", [self.added[part]]).tobytes())
             elif part:
-                for word, _ in self._split(self._normal(part)):
-                    out += self._word(word)
-        return out
-
-    def chunk_ids(self, chunk: str) -> list[int]:
-        return [self.added[t] if t in self.added else self.ids[t] for t in self.chunk_tokens(chunk)]
+                out += [self._word(word) for word, _ in self._split(self._normal(part))]
+        return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
-        return [i for chunk in chunks(text) for i in self.chunk_ids(chunk)]
+        return np.frombuffer(b"".join(map(self.chunk_ids, chunks(text))), "<i4").tolist()
 
     def token_array(self) -> np.ndarray:
         """Token by id."""
@@ -186,7 +191,7 @@ def encoder(path: str, most: int = CACHE_CHUNKS) -> tuple[WordBPE, Chunks]:
     """The vocabulary and its chunk store (ids as little-endian 32-bit integers), one per worker process."""
     if path not in _ENCODERS:
         bpe = WordBPE(path)
-        _ENCODERS[path] = (bpe, Chunks(lambda chunk: np.array(bpe.chunk_ids(chunk), "<i4").tobytes(), most))
+        _ENCODERS[path] = (bpe, Chunks(bpe.chunk_ids, most))
     return _ENCODERS[path]
 
 
@@ -205,15 +210,16 @@ def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, encoded = encoder(path)
         tokens = bpe.token_array()
-        for doc_ids, texts in rows_of(iterator, "doc_id", "text"):
-            data, ends, decoded = [], [0], []
-            for text in texts:
-                data.append(b"".join(map(encoded.__getitem__, chunks(text))))
-                encoded.trim()
-                ends.append(ends[-1] + len(data[-1]) // 4)
-                decoded.append(" ".join(tokens[np.frombuffer(data[-1], "<i4")].tolist()))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(data), "<i4")))
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), ids, pa.array(decoded)], schema=_SCHEMA)
+        with no_collector():
+            for doc_ids, texts in rows_of(iterator, "doc_id", "text"):
+                data, ends, decoded = [], [0], []
+                for text in texts:
+                    data.append(b"".join(map(encoded.__getitem__, chunks(text))))
+                    encoded.trim()
+                    ends.append(ends[-1] + len(data[-1]) // 4)
+                    decoded.append(" ".join(tokens[np.frombuffer(data[-1], "<i4")].tolist()))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(data), "<i4")))
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), ids, pa.array(decoded)], schema=_SCHEMA)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
