@@ -3,6 +3,8 @@
 A document is the sorted array of hashes of its distinct shingles.  Equal sets are one node.  Two sets
 that link share one of the first ``n - ceil(similarity * n) + 1`` elements of each under any common order of all
 elements; the order puts elements that are frequent in the corpus last, so few prefixes meet by chance.
+Frequent are elements that several documents have among their lowest hashes; of each document somewhat more than
+a prefix is kept for that count, and the few documents in which too much of it is frequent are read again.
 Nodes that share prefix elements form clusters (connected through one hub per element: no pairs are
 made).  Inside a cluster, nodes go to tiles by size band, and only tiles of equal or adjacent bands
 are compared.  A tile comparison bounds every overlap from above by the bit counts of hashed bitmaps and
@@ -24,14 +26,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import batches, connected, rows_of, small_batches, spread_join, stored, whole_text
+from shelfline.llm.common import batches, connected, no_collector, rows_of, small_batches, spread_join, stored, whole_text
 
 WORDS = 5
 # Similarity as a fraction of whole numbers.
 LINK = (80, 100)
 # A prefix element met in more documents than this is put last in the order.  Frequent elements are kept as
 # bits of a table of fixed size, which is all that is broadcast; two elements on one bit cost time only.
-FREQUENT_DOCS = 50
+FREQUENT_DOCS = 3
+# Hashes kept of a document: so many halves of its prefix length, and some.
+KEPT_HALVES, KEPT_MORE = 3, 8
 TABLE_BITS = 1 << 23
 # What one tile holds.
 TILE_DOCS, TILE_ELEMENTS = 512, 1_000_000
@@ -109,8 +113,10 @@ def _marked(table: np.ndarray, elements: np.ndarray) -> np.ndarray:
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("keys", pa.list_(pa.int64()))])
-_KEYS = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("keys", pa.list_(pa.int64()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("node", pa.int64()),
+                   ("low", pa.list_(pa.int64()))])
+_KEYS = pa.schema([("node", pa.int64()), ("key", pa.int64())])
+_IDS = pa.schema([("doc_id", pa.int64())])
 _ARRAYS = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("elements", pa.binary())])
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -119,14 +125,19 @@ def _print(elements: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None
 
 
-def _passed(docs: DataFrame, schema: pa.Schema, ddl: str, make, width: int) -> DataFrame:
-    """``make(doc_id, elements)`` -> row or None, over all documents."""
+def _node(printed: bytes) -> int:
+    """Short name of a set while clusters are sought; two sets of one name would only be compared needlessly."""
+    return int.from_bytes(printed[:8], "little", signed=True)
+
+
+def _passed(docs: DataFrame, schema: pa.Schema, ddl: str, make) -> DataFrame:
+    """Rows that ``make(doc_id, text, hashes)`` returns, over all documents."""
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Words()
-        for ids, texts in rows_of(iterator, "doc_id", "text"):
-            rows = [make(i, t, hashes) for i, t in zip(ids, texts)]
-            rows = [r for r in rows if r is not None]
-            yield batches(schema.names, list(zip(*rows)) if rows else [[]] * len(schema.names), schema)
+        with no_collector():
+            for ids, texts in rows_of(iterator, "doc_id", "text"):
+                rows = [row for i, t in zip(ids, texts) for row in make(i, t, hashes)]
+                yield batches(schema.names, list(zip(*rows)) if rows else [[]] * len(schema.names), schema)
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("text"))
@@ -136,35 +147,70 @@ def _passed(docs: DataFrame, schema: pa.Schema, ddl: str, make, width: int) -> D
 def _sets(docs, width, link):
     def make(doc_id, text, hashes):
         x = shingles(text, hashes, width)
-        return doc_id, len(x), _print(x), x[:prefix_length(len(x), link)].view(np.int64)
+        printed = _print(x)
+        low = x[:prefix_length(len(x), link) * KEPT_HALVES // 2 + KEPT_MORE].view(np.int64)
+        return [(doc_id, len(x), printed, _node(printed) if printed else None, low)]
+
+    return _passed(docs, _SETS, "doc_id long, n long, print binary, node long, low array<long>", make)
+
+
+def _prefix(low: np.ndarray, n: int, late: np.ndarray, link) -> np.ndarray | None:
+    """First elements in the order (frequent last, then by hash) from the lowest hashes; None if these do not tell."""
+    p = prefix_length(n, link)
+    early = low[~late]
+    if len(early) >= p:
+        return early[:p]
+    return np.concatenate([early, low[late]])[:p] if len(low) == n else None
+
+
+def _from_sets(sets: DataFrame, frequent, link, schema, ddl, make) -> DataFrame:
+    """Rows that ``make(doc_id, node, prefix or None)`` returns for every document that has elements and an id."""
+    def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in iterator:
+            ids, sizes, nodes = (batch.column(c).to_pylist() for c in ("doc_id", "n", "node"))
+            lows = batch.column("low")
+            ends, values = lows.offsets.to_numpy(), lows.values.to_numpy().view(np.uint64)
+            late = _marked(frequent, values)
+            rows = []
+            for i, n, node, a, b in zip(ids, sizes, nodes, ends, ends[1:]):
+                if n and i is not None:
+                    rows += make(i, node, _prefix(values[a:b], n, late[a:b], link))
+            yield batches(schema.names, list(zip(*rows)) if rows else [[]] * len(schema.names), schema)
+
+    return sets.select("doc_id", "n", "node", "low").mapInArrow(run, ddl)
+
+
+def _keys(keys: np.ndarray | None, node: int, shared) -> list:
+    """(node, element) rows; with a table, of marked elements only."""
+    if keys is None:
+        return []
+    keys = keys if shared is None else keys[_marked(shared, keys)]
+    return [(node, k) for k in keys.view(np.int64).tolist()]
+
 
-    return _passed(docs, _SETS, "doc_id long, n long, print binary, keys array<long>", make, width)
+def _marked_id(table: np.ndarray, doc_id) -> bool:
+    return doc_id is not None and bool(_marked(table, np.array([doc_id], np.int64).view(np.uint64))[0])
 
 
-def _keys(docs, table, width, link):
+def _whole_prefixes(docs, wanted, frequent, width, link):
+    """(node, element) rows of the documents marked in ``wanted``, from their texts."""
     def make(doc_id, text, hashes):
+        if not _marked_id(wanted, doc_id):
+            return []
         x = shingles(text, hashes, width)
-        if doc_id is None or not len(x):
-            return None
-        p = prefix_length(len(x), link)
-        late = _marked(table, x)
-        if late[:p].any():
-            x_ordered = np.concatenate([x[~late], x[late]])[:p]
-        else:
-            x_ordered = x[:p]
-        return doc_id, _print(x), x_ordered.view(np.int64)
+        return _keys(_prefix(x, len(x), _marked(frequent, x), link), _node(_print(x)), None) if len(x) else []
 
-    return _passed(docs, _KEYS, "doc_id long, print binary, keys array<long>", make, width)
+    return _passed(docs, _KEYS, "node long, key long", make)
 
 
-def _arrays(docs, table, width):
+def _arrays(docs, wanted, width):
     def make(doc_id, text, hashes):
-        if doc_id is None or not _marked(table, np.array([doc_id], np.int64).view(np.uint64))[0]:
-            return None
+        if not _marked_id(wanted, doc_id):
+            return []
         x = shingles(text, hashes, width)
-        return (doc_id, _print(x), x.tobytes()) if len(x) else None
+        return [(doc_id, _print(x), x.tobytes())] if len(x) else []
 
-    return _passed(docs, _ARRAYS, "doc_id long, print binary, elements binary", make, width)
+    return _passed(docs, _ARRAYS, "doc_id long, print binary, elements binary", make)
 
 
 # -- one tile against itself or another --------------------------------------------------------
@@ -281,24 +327,26 @@ def similar_components(docs: DataFrame, width: int = WORDS, link=LINK) -> DataFr
     spark = docs.sparkSession
     sets = stored(_sets(docs, width, link), "shingle-sets")
     nodes = stored(sets.filter("print IS NOT NULL AND doc_id IS NOT NULL").groupBy("print").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "shingle-nodes")
+        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("node").alias("node"), F.count(F.lit(1)).alias("copies")),
+        "shingle-nodes")
 
-    counts = sets.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
+    counts = sets.select(F.explode("low").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
     frequent = _table_of(spark, counts.filter(F.col("docs") > FREQUENT_DOCS), "key")
-    keys = stored(_keys(docs, frequent, width, link), "shingle-keys")
-    owned = keys.join(nodes.select(F.col("print").alias("_p"), "rep"), (F.col("print") == F.col("_p"))
-                      & (F.col("doc_id") == F.col("rep"))).select("rep", F.explode("keys").alias("key"))
+    unclear = _from_sets(sets, frequent, link, _IDS, "doc_id long", lambda i, node, keys: [(i,)] if keys is None else [])
+    again = stored(_whole_prefixes(docs, _table_of(spark, unclear, "doc_id"), frequent, width, link), "shingle-keys")
+    # A document that only shares its bit with an unclear one is in both; that does no harm.
+    keys_ddl = "node long, key long"
+    keys = _from_sets(sets, frequent, link, _KEYS, keys_ddl, lambda i, node, keys: _keys(keys, node, None)).union(again)
     # One hub per element that several nodes have.
-    hubs = owned.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("_most")).filter("hub <> _most")
-    near = owned.join(hubs.select(F.col("key").alias("_key"), "hub"), F.col("key") == F.col("_key"))
-    clusters = connected(near.select(F.col("rep").alias("u"), F.col("hub").alias("v")), "clusters")
-    members = stored(nodes.select("rep", "print", "n").join(
-        clusters.withColumnsRenamed({"node": "_node", "component": "cluster"}), F.col("rep") == F.col("_node")).drop("_node"),
-        "cluster-members")
-
-    wanted = _table_of(spark, members, "rep")
-    arrays = _arrays(docs, wanted, width).dropDuplicates(["doc_id", "print"])
-    arrays = arrays.withColumnsRenamed({"doc_id": "_id", "print": "_p"})
+    hubs = stored(keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most")).filter(
+        "hub <> _most").select(F.col("key").alias("_key"), "hub"), "shingle-hubs")
+    shared = _table_of(spark, hubs, "_key")
+    few = _from_sets(sets, frequent, link, _KEYS, keys_ddl, lambda i, node, keys: _keys(keys, node, shared)).union(again)
+    near = few.join(hubs, F.col("key") == F.col("_key")).select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    clusters = connected(near, "clusters").withColumnsRenamed({"node": "_node", "component": "cluster"})
+    members = stored(nodes.join(clusters, F.col("node") == F.col("_node")).select("rep", "print", "n", "cluster"), "cluster-members")
+
+    arrays = _arrays(docs, _table_of(spark, members, "rep"), width).withColumnsRenamed({"doc_id": "_id", "print": "_p"})
     tiles = _tiles(members, link)
     work = tiles.join(arrays, (F.col("rep") == F.col("_id")) & (F.col("print") == F.col("_p")))
     links = work.select("rep", "cluster", "job", "side", "elements").groupBy("job").applyInArrow(_compare(link), "u long, v long")
@@ -308,9 +356,9 @@ def similar_components(docs: DataFrame, width: int = WORDS, link=LINK) -> DataFr
     rows = spread_join(sets.select("doc_id", "n", "print"), copies, ["print"], "doc_id")
     rows = stored(rows.select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "shingle-rows")
     twice = rows.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("u")).filter("u <> v")
-    again = rows.join(twice.select(F.col("doc_id").alias("_id"), "v"), F.col("doc_id") == F.col("_id")).select(
+    same = rows.join(twice.select(F.col("doc_id").alias("_id"), "v"), F.col("doc_id") == F.col("_id")).select(
         F.col("rep").alias("u"), "v")
-    found = connected(links.union(again), "shingle-links")
+    found = connected(links.union(same), "shingle-links")
     out = spread_join(rows, found.withColumnRenamed("node", "rep"), ["rep"], "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.coalesce("component", "rep").alias("component_id"))
