@@ -31,9 +31,12 @@ from shelfline.llm.common import batches, connected, no_collector, rows_of, smal
 WORDS = 5
 # Similarity as a fraction of whole numbers.
 LINK = (80, 100)
-# A prefix element met in more documents than this is put last in the order.  Frequent elements are kept as
-# bits of a table of fixed size, which is all that is broadcast; two elements on one bit cost time only.
-FREQUENT_DOCS = 3
+# Frequent elements are kept as bits of a table of fixed size (8 MB), which is all that is broadcast; two elements on one
+# bit cost time only.  Frequent is what several documents have; where those elements would fill more than a share of the
+# table, only the most frequent of them are, so clusters grow but links stay the same.
+TABLE_BITS = 1 << 26
+TABLE_SHARE = 16
+MOST_COUNTED = 1000
 # Hashes kept of a document: so many halves of its prefix length, and some.
 KEPT_HALVES, KEPT_MORE = 3, 8
 TABLE_BITS = 1 << 23
@@ -108,6 +111,18 @@ def _table_of(spark: SparkSession, elements: DataFrame, column: str) -> np.ndarr
     return table
 
 
+def _bound(counts: DataFrame) -> int:
+    """Smallest number of documents above which elements are few enough for the table."""
+    rows = counts.groupBy(F.least("docs", F.lit(MOST_COUNTED)).alias("docs")).agg(F.count(F.lit(1)).alias("n"))
+    room, bound = TABLE_BITS // TABLE_SHARE, MOST_COUNTED
+    for docs, n in sorted(((r["docs"], r["n"]) for r in rows.collect()), reverse=True):  # MOST_COUNTED rows at most
+        room -= n
+        if room < 0:
+            return bound
+        bound = docs - 1
+    return 1
+
+
 def _marked(table: np.ndarray, elements: np.ndarray) -> np.ndarray:
     slot = elements % np.uint64(TABLE_BITS)  # TABLE_BITS is a power of two: the same for signed numbers
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
@@ -331,7 +346,8 @@ def similar_components(docs: DataFrame, width: int = WORDS, link=LINK) -> DataFr
         "shingle-nodes")
 
     counts = sets.select(F.explode("low").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
-    frequent = _table_of(spark, counts.filter(F.col("docs") > FREQUENT_DOCS), "key")
+    several = stored(counts.filter("docs > 1"), "shingle-counts")
+    frequent = _table_of(spark, several.filter(F.col("docs") > _bound(several)), "key")
     unclear = _from_sets(sets, frequent, link, _IDS, "doc_id long", lambda i, node, keys: [(i,)] if keys is None else [])
     again = stored(_whole_prefixes(docs, _table_of(spark, unclear, "doc_id"), frequent, width, link), "shingle-keys")
     # A document that only shares its bit with an unclear one is in both; that does no harm.
