@@ -39,7 +39,6 @@ TABLE_SHARE = 16
 MOST_COUNTED = 1000
 # Hashes kept of a document: so many halves of its prefix length, and some.
 KEPT_HALVES, KEPT_MORE = 3, 8
-TABLE_BITS = 1 << 23
 # What one tile holds.
 TILE_DOCS, TILE_ELEMENTS = 512, 1_000_000
 # Nodes whose exact overlaps with one node are taken at a time.
