@@ -199,7 +199,8 @@ def fit(cells: list[tuple[tuple[int, ...], int, int, int]]) -> Trees:
             sides.append((f, c, RATE * low, RATE * high))
         model.trees.append((feature, cut, *sides))
         margin = [m + model._leaf(model.trees[-1], c[0]) for m, c in zip(margin, seen)]
-    # Calibration: going down from the highest margin, the lowest one at which all above is still precise.
+    # Calibration: going down from the highest margin, the lowest one at which all above is still precise; the threshold
+    # lies half way to the next, since the half that calibrates does not show every combination.
     held, ones = 0, 0
     other = sorted(((model.margin(c[0]), c[2], c[3]) for c in cells if c[1] == 1), reverse=True)
     for i, (m, count, positive) in enumerate(other):
@@ -207,7 +208,8 @@ def fit(cells: list[tuple[tuple[int, ...], int, int, int]]) -> Trees:
         if i + 1 < len(other) and other[i + 1][0] == m:
             continue
         if held >= LEAST_EVIDENCE and ones / held >= PRECISION and m > 0:
-            model.threshold = m - 1e-9
+            below = other[i + 1][0] if i + 1 < len(other) else 0.0
+            model.threshold = (m + max(0.0, below)) / 2
     return model
 
 

@@ -156,15 +156,14 @@ def central_directory(read_at: ReadAt, size: int) -> list[Member]:
         raise ValueError("not a ZIP file")
     count, length, start = struct.unpack("<HII", tail[end + 10:end + 20])
     stop = tail_at + end
-    if (count == 0xFFFF or length == 0xFFFFFFFF or start == 0xFFFFFFFF) and stop >= 20:
-        locator = read_at(stop - 20, 20)
-        if locator[:4] == b"PK\x06\x07":
-            at = struct.unpack("<Q", locator[8:16])[0]
-            wide = read_at(at, 56)
-            if wide[:4] != b"PK\x06\x06":
-                raise ValueError("ZIP64 end record is not where its locator says")
-            count, length, start = struct.unpack("<QQQ", wide[32:56])
-            stop = at
+    locator = read_at(stop - 20, 20) if stop >= 20 else b""
+    if locator[:4] == b"PK\x06\x07":  # ZIP64, whether or not the plain fields are at their limits
+        at = struct.unpack("<Q", locator[8:16])[0]
+        wide = read_at(at, 56)
+        if wide[:4] != b"PK\x06\x06":
+            raise ValueError("ZIP64 end record is not where its locator says")
+        count, length, start = struct.unpack("<QQQ", wide[32:56])
+        stop = at
     shift = stop - length - start  # bytes before the package, as in self-extracting files
     data, at, members = read_at(start + shift, length), 0, []
     for _ in range(count):
