@@ -1,7 +1,9 @@
 """Rounding and sums that do not depend on the order of rows.
 
-Money, unit prices and ratings have a known number of decimals.  They are summed as scaled
-integers, so an average is the same however the rows are partitioned.
+Money, unit prices and ratings mostly have a known number of decimals.  Where all values of a group
+do, they are summed as scaled integers, so the result is the same however the rows are partitioned.
+A group with any other value (more decimals, NaN, infinite, too large) is summed as it is stored:
+nothing is cut, and NaN stays within its group.
 """
 
 from __future__ import annotations
@@ -25,12 +27,24 @@ def scaled(c: Column | str, places: int) -> Column:
     return F.rint(col(c) * F.lit(float(10 ** places))).cast("bigint")
 
 
+def _lossless(c: Column | str, places: int) -> Column:
+    """The scaled integer if it stands for exactly this value, else null."""
+    scale = F.lit(float(10 ** places))
+    whole = F.rint(col(c) * scale).try_cast("bigint")
+    return F.when(whole / scale == col(c), whole)
+
+
 def exact_sum(c: Column | str, places: int) -> Column:
-    return F.sum(scaled(c, places)) / F.lit(float(10 ** places))
+    whole = _lossless(c, places)
+    exact = F.when(F.count(whole) == F.count(col(c)), F.try_sum(whole) / F.lit(float(10 ** places)))
+    return F.coalesce(exact, F.sum(col(c).cast("double")))
 
 
 def exact_avg(c: Column | str, places: int) -> Column:
-    return F.sum(scaled(c, places)) / F.count(col(c)) / F.lit(float(10 ** places))
+    whole = _lossless(c, places)
+    exact = F.when(F.count(whole) == F.count(col(c)),
+                   F.try_divide(F.try_sum(whole), F.count(col(c))) / F.lit(float(10 ** places)))
+    return F.coalesce(exact, F.avg(col(c).cast("double")))
 
 
 def share(condition: Column) -> Column:

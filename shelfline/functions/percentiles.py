@@ -20,7 +20,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, fractions: dic
                       small_group: int = ACCURACY) -> DataFrame:
     """One row per group, each named fraction as a column, linearly interpolated between ranks.
 
-    Groups of up to ``small_group`` rows are sorted whole.  An enclosure that misses the rank
+    Rows whose key is null are a group of their own.  Groups of up to ``small_group`` rows are sorted whole.  An enclosure that misses the rank
     raises an error; it never gives a wrong value.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
@@ -33,13 +33,17 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, fractions: dic
                  F.when(F.col("_n") > small_group, F.get("_q", F.lit(2 * i + 1))).alias("high"))
         for i, (name, f) in enumerate(fractions.items())])
     # Every group is joined in parts, by a hash of the value; one group is never one task.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    ranges = sketch.select(*keys, "_n", F.explode(wanted).alias("_w")).select("*", salts)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    theirs = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    ranges = sketch.select(*theirs, "_n", F.explode(wanted).alias("_w")).select("*", salts.alias("_part"))
 
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn(
         "_salt", F.pmod(F.hash("_v"), F.lit(SALTS)))
     below = F.col("_v") < F.col("_w.low")
-    part = counts.join(ranges, [*keys, "_salt"]).filter(F.col("_w.high").isNull() | (F.col("_v") <= F.col("_w.high")))
+    same = F.col("_salt") == F.col("_part")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    part = counts.join(ranges, same).filter(F.col("_w.high").isNull() | (F.col("_v") <= F.col("_w.high")))
     part = part.groupBy(*keys, "_n", "_w.name", "_w.fraction", F.when(~F.coalesce(below, F.lit(False)), F.col("_v"))
                         .alias("_v")).agg(F.sum("_c").alias("_c"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfline import fixed_values as fv
 from shelfline.schema import CANONICAL
@@ -17,8 +18,9 @@ def audit(unified: DataFrame, deduplicated: DataFrame) -> DataFrame:
         F.min("snapshot_time").alias("first_time"), F.max("snapshot_time").alias("last_time"),
         F.count_if(F.col("delivery_minutes").isNull()).alias("unparsed_minutes"))
     out = before.join(after, "platform", "left")
-    return out.withColumn("freshness_hours", F.timestamp_diff(
-        "HOUR", F.col("last_time"), deduplicated.agg(F.max("snapshot_time")).scalar()))
+    # One row per platform is left here, so the window without a key sorts a handful.
+    newest = F.max("last_time").over(Window.partitionBy())
+    return out.withColumn("freshness_hours", F.timestamp_diff("HOUR", F.col("last_time"), newest))
 
 
 def observed(df: DataFrame, observation) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfline import fixed_values as fv
-from shelfline.functions.numbers import col, round_half_up
+from shelfline.functions.numbers import RATING, col, exact_avg, round_half_up
 from shelfline.operators.trend import SERIES
 from shelfline.schema import PACK_KEY
 
@@ -47,9 +47,9 @@ def impute_rating(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Missing rating -> average rating of the platform, over ``history`` if given.
 
     The averages are one row per platform, read as a scalar map, so the listings are not shuffled
-    and a platform that holds most rows is no hot key."""
-    means = (df if history is None else history).groupBy("platform").agg(
-        (F.sum(F.rint(F.col("rating") * 10).cast("bigint")) / F.count("rating") / F.lit(10.0)).alias("mean"))
+    and a platform that holds most rows is no hot key.  Rows without a platform have no average."""
+    means = (df if history is None else history).filter("platform is not null").groupBy("platform").agg(
+        exact_avg("rating", RATING).alias("mean"))
     lookup = means.agg(F.map_from_entries(F.collect_list(F.struct("platform", "mean")))).scalar()
     return df.withColumn("rating", F.coalesce(F.col("rating"), F.element_at(lookup, F.col("platform"))))
 

@@ -52,10 +52,10 @@ def preprocess(spark: SparkSession, feeds: dict[str, tuple[str, Feed]], store: S
     before, after = Observation("union"), Observation("unified")
     union = quality.observed(normalise.unify(frames), before)
     unified = quality.observed(normalise.deduplicate(union), after)
-    zones.write_zone(unified, store.processed("unified"), store.partitions)
+    zones.write_zone(unified, store.processed("unified"), store.partitions, rebuild=True)
     rows = load_unified(spark, store)
     for name, build in AGGREGATES.items():
-        zones.write_zone(build(rows), store.processed(name), store.partitions)
+        zones.write_zone(build(rows), store.processed(name), store.partitions, rebuild=True)
     return {"union": before.get, "unified": after.get}
 
 
@@ -76,14 +76,14 @@ def train(spark: SparkSession, store: Store, location: str, demand: dict | None
     errors = forecast.forecast_errors(predicted, "units_ordered", "prediction").first()
     demand_model.write().overwrite().save(store.model("demand"))
     out = models.forecast_demand(demand_model, rows, location)
-    zones.write_zone(out, store.curated("demand_forecasts"), store.partitions)
+    zones.write_zone(out, store.curated("demand_forecasts"), store.partitions, rebuild=True)
 
     labels = trend.trend_labels(rows)
     trend_model, predicted = models.split_and_fit(labels, models.fit_trend_model, **(trends or {}))
     scores = forecast.classification_scores(forecast.confusion(predicted)).first()
     trend_model.write().overwrite().save(store.model("trend"))
     zones.write_zone(models.classify_trends(trend_model, labels, location), store.curated("trend_labels"),
-                     store.partitions)
+                     store.partitions, rebuild=True)
     return {"demand": errors.asDict(), "trend": scores.asDict()}
 
 

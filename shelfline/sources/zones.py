@@ -4,27 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline import fixed_values as fv
 from shelfline.session import new_folder
 
 PARTITIONS = ("date", "platform")
+PARTITION_TYPES = {"date": T.DateType(), "platform": T.StringType()}
 
 
-def write_zone(df: DataFrame, path: str, partitions: tuple[str, ...] = PARTITIONS) -> None:
-    """Overwrites the partitions that ``df`` holds.
+def write_zone(df: DataFrame, path: str, partitions: tuple[str, ...] = PARTITIONS, rebuild: bool = False) -> None:
+    """Overwrites the partitions that ``df`` holds; with ``rebuild`` the whole table, so that no
+    partition stays that the rows no longer have.
 
     Rebalancing by the partition columns gives each folder few files; unlike a repartition it
     lets adaptive execution cut a folder with very many rows into several tasks."""
     out = df.withColumn("date", F.to_date("snapshot_time")) if "date" in partitions and "date" not in df.columns else df
     if partitions:
         out = out.hint("rebalance", *partitions)
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static" if rebuild else "dynamic")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
-def read_zone(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_zone(spark: SparkSession, path: str, types: dict[str, T.DataType] = PARTITION_TYPES) -> DataFrame:
+    """Folder names are read as ``types`` says, not as what they look like: platform '007' stays text."""
+    seen = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in seen.fields])
+    return spark.read.schema(schema).parquet(path)
 
 
 def recent(df: DataFrame, days: int, as_of=None) -> DataFrame:
