@@ -213,6 +213,12 @@ INTENT_PATTERNS = {
 }
 DEFAULT_INTENT = "recommend"
 PACK_PATTERN = r"(\d+)\s*(?:ml|g|gm|gram|liter|litre|kg|pcs|tabs|pieces)"
+# Spelled unit -> unit in which packs are compared, and how many of it one is.
+PACK_UNITS = {
+    "g": ("g", 1), "gm": ("g", 1), "gram": ("g", 1), "kg": ("g", 1000),
+    "ml": ("ml", 1), "l": ("ml", 1000), "liter": ("ml", 1000), "litre": ("ml", 1000),
+    "pcs": ("pcs", 1), "pieces": ("pcs", 1), "tabs": ("tabs", 1),
+}
 
 ANSWER_FOUND = (
     "For {product}{pack} in {location}, {platform} is the best option — "

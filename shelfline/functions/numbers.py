@@ -40,6 +40,14 @@ def exact_sum(c: Column | str, places: int) -> Column:
     return F.coalesce(exact, F.sum(col(c).cast("double")))
 
 
+def scaled_sum(c: Column | str, places: int) -> Column:
+    """``exact_sum`` times its scale, as a whole double where all values have at most ``places`` decimals:
+    sums of such sums are order-independent too."""
+    whole = _lossless(c, places)
+    exact = F.when(F.count(whole) == F.count(col(c)), F.try_sum(whole)).cast("double")
+    return F.coalesce(exact, F.sum(col(c).cast("double")) * F.lit(float(10 ** places)))
+
+
 def exact_avg(c: Column | str, places: int) -> Column:
     whole = _lossless(c, places)
     exact = F.when(F.count(whole) == F.count(col(c)),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfline.functions.numbers import (MONEY, PERCENT, RATING, UNIT_PRICE, exact_avg, exact_sum,
-                                         scaled, share)
+                                         scaled_sum, share)
 
 
 def day():
@@ -89,7 +89,7 @@ def surge_heatmap(df: DataFrame) -> DataFrame:
     """Average price by product, weekday (1 = Sunday) and hour, over the product's average.
     The window runs over at most 168 pre-aggregated cells per product."""
     cells = df.groupBy("product_name", F.dayofweek("snapshot_time").alias("weekday"), "hour_of_day").agg(
-        F.sum(scaled("effective_price", MONEY)).alias("cents"), F.count("effective_price").alias("n"))
+        scaled_sum("effective_price", MONEY).alias("cents"), F.count("effective_price").alias("n"))
     product = Window.partitionBy("product_name")
     mean = F.sum("cents").over(product) / F.sum("n").over(product)
     cell = F.col("cents") / F.col("n")
@@ -100,7 +100,7 @@ def surge_heatmap(df: DataFrame) -> DataFrame:
 def seasonal_index(df: DataFrame) -> DataFrame:
     """Month's average price per product, 100 = its average over all months."""
     months = df.groupBy("product_name", "month").agg(
-        F.sum(scaled("effective_price", MONEY)).alias("cents"), F.count("effective_price").alias("n"))
+        scaled_sum("effective_price", MONEY).alias("cents"), F.count("effective_price").alias("n"))
     product = Window.partitionBy("product_name")
     mean = F.sum("cents").over(product) / F.sum("n").over(product)
     price = F.col("cents") / F.col("n")

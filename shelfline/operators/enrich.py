@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline import fixed_values as fv
 from shelfline.functions.listing import bulk_factor
 from shelfline.functions.numbers import round_half_up
 
@@ -19,13 +20,22 @@ def add_season(df: DataFrame, seasons: DataFrame) -> DataFrame:
     return joined.withColumn("seasonal_factor", F.coalesce("seasonal_factor", F.lit(1.0)))
 
 
-def add_festival(df: DataFrame, days: DataFrame, when: Column | str = "snapshot_time") -> DataFrame:
-    """Equi-join on the calendar day; a range join on start and end would need a nested loop."""
+def add_festival(df: DataFrame, festivals=fv.FESTIVALS, when: Column | str = "snapshot_time") -> DataFrame:
+    """Factors of the festival that the row's day belongs to, 1 on other days, in any year.
+
+    The few festivals become part of the projection: a day's distance from each one's start in the
+    day's own year.  Where festivals overlap the first listed one holds, and a festival does not
+    run on into the next year."""
     day = F.to_date(when)
-    out = df.withColumn("_day", day).join(F.broadcast(days), F.col("_day") == F.col("date"), "left")
-    return out.drop("_day", "date").withColumns({
-        "festival_demand_mult": F.coalesce("festival_demand_mult", F.lit(1.0)),
-        "festival_price_mult": F.coalesce("festival_price_mult", F.lit(1.0)),
+    demand = price = F
+    for month, first, demand_mult, price_mult, length in festivals:
+        start = F.make_date(F.year(day), F.lit(month), F.lit(first))
+        held = F.datediff(day, start).between(0, length - 1)
+        demand, price = demand.when(held, F.lit(demand_mult)), price.when(held, F.lit(price_mult))
+    plain = F.lit(1.0)
+    return df.withColumns({
+        "festival_demand_mult": plain if demand is F else demand.otherwise(plain),
+        "festival_price_mult": plain if price is F else price.otherwise(plain),
     })
 
 

@@ -12,7 +12,7 @@ from shelfline.functions.numbers import col
 
 # Unicode digits and spaces, and only \n ends a line for ".".
 _FLAGS = "(?dU)"
-MAX_INLINE_NAMES = 500
+PIECE = 256  # positions of a text that one row of the name search covers
 
 
 def intent_expressions(platforms) -> dict[str, str]:
@@ -53,35 +53,35 @@ def platform_mention(text: Column | str, aliases: dict[str, tuple[str, ...]]) ->
     return F.when(F.size(array) > 0, array)
 
 
-def product_mention(questions: DataFrame, catalogue: DataFrame, max_inline: int = MAX_INLINE_NAMES,
-                    word_boundaries: bool = False) -> DataFrame:
+def product_mention(questions: DataFrame, catalogue: DataFrame, word_boundaries: bool = False) -> DataFrame:
     """Adds ``product``: the longest catalogue name that occurs in the text, null if none does.
 
-    Names of equal length are taken by ``position`` if the catalogue has it, then by name.  A
-    catalogue of up to ``max_inline`` names becomes part of the projection, without any join; a
-    larger one is matched by an equi-join on the first letters of each name.
-    ``questions`` needs a unique ``question_id``.
+    Names of equal length are taken by ``position`` if the catalogue has it, then by name.  Null and
+    empty names are never mentioned; a null text mentions nothing; repeated texts and ids are fine.
+
+    Every distinct text offers, at each position, one key per length that a name has; keys meet
+    names by equality.  Long texts are first cut into pieces that overlap by the longest name, so
+    the cost is linear in the text.  What is shuffled is a text's digest and keys as long as a name.
     """
     order = ["position", "product_name"] if "position" in catalogue.columns else ["product_name"]
-    names = catalogue.select(*order).distinct()
-    head = names.limit(max_inline + 1).collect()
-    if len(head) > max_inline:
-        return _mention_by_join(questions, names, order, word_boundaries)
-    ranked = sorted(head, key=lambda r: (-len(r["product_name"]), *[r[c] for c in order]))
-    if not ranked:
-        return questions.withColumn("product", F.lit(None).cast("string"))
-    listed = F.array(*[F.struct(F.lit(r["product_name"].lower()).alias("key"),
-                                F.lit(r["product_name"]).alias("name")) for r in ranked])
+    key = F.lower("product_name")
+    names = catalogue.select(*order).filter("length(product_name) > 0").distinct().withColumn(
+        "key", F.concat(F.lit(" "), key, F.lit(" ")) if word_boundaries else key)
+    # At most as many lengths as the longest name has letters.
+    lengths = names.agg(F.sort_array(F.collect_set(F.length("key"))).alias("n")).select("n").scalar()
     text = _padded(F.lower("text")) if word_boundaries else F.lower("text")
-
-    def longest_in(prepared):
-        def occurs(entry):
-            key = F.concat(F.lit(" "), entry["key"], F.lit(" ")) if word_boundaries else entry["key"]
-            return F.contains(prepared, key)
-        return F.get(F.filter(listed, occurs), F.lit(0))["name"]
-
-    # The one-element array binds the prepared text, so it is made once per row and not per name.
-    return questions.withColumn("product", F.get(F.transform(F.array(text), longest_in), F.lit(0)))
+    texts = questions.select("text").filter("text is not null").distinct().select(
+        F.sha2("text", 256).alias("_text"), text.alias("t"))
+    starts = F.explode(F.sequence(F.lit(0), F.length("t"), F.lit(PIECE)))
+    pieces = texts.withColumn("n", lengths).filter(F.size("n") > 0).select("_text", "n", "t", starts.alias("from")).select(
+        "_text", "n", F.substring("t", F.col("from") + 1, F.lit(PIECE - 1) + F.array_max("n")).alias("piece"))
+    spots = pieces.select("_text", "piece", F.explode("n").alias("n")).filter(F.length("piece") >= F.col("n"))
+    spots = spots.select("_text", "piece", "n", F.explode(F.sequence(
+        F.lit(1), F.least(F.lit(PIECE), F.length("piece") - F.col("n") + 1))).alias("at"))
+    best = spots.select("_text", F.substring("piece", F.col("at"), F.col("n")).alias("key")).join(names, "key").groupBy(
+        "_text").agg(F.min(F.struct((-F.length("product_name")).alias("shorter"), *[F.col(c) for c in order])).alias("b"))
+    best = best.select("_text", F.col("b.product_name").alias("product"))
+    return questions.withColumn("_text", F.sha2("text", 256)).join(best, "_text", "left").drop("_text")
 
 
 def _padded(text: Column) -> Column:
@@ -89,28 +89,20 @@ def _padded(text: Column) -> Column:
     return F.concat(F.lit(" "), F.regexp_replace(text, r"(?U)[^\w-]+", " "), F.lit(" "))
 
 
-def _mention_by_join(questions: DataFrame, names: DataFrame, order: list[str], word_boundaries: bool) -> DataFrame:
-    """Each text position offers the letters that follow it, as many as the longest name has;
-    names meet the positions that begin with the same letters.  Cost is linear in the text, and
-    what is shuffled per position is bounded by the longest name."""
-    key = F.lower("product_name")
-    if word_boundaries:
-        key = F.concat(F.lit(" "), key, F.lit(" "))
-    keyed = names.withColumn("key", key)
-    shortest, longest = keyed.agg(F.min(F.length("key")), F.max(F.length("key"))).first()
-    seed = min(shortest, 8)
-    text = _padded(F.lower("text")) if word_boundaries else F.lower("text")
-    spots = (questions.select("question_id", text.alias("t"))
-             .filter(F.length("t") >= seed)
-             .withColumn("at", F.explode(F.sequence(F.lit(1), F.length("t") - F.lit(seed - 1))))
-             .select("question_id", F.substring("t", F.col("at"), F.lit(longest)).alias("ahead")))
-    hits = (spots.withColumn("seed", F.substring("ahead", 1, seed)).distinct()
-            .join(keyed.withColumn("seed", F.substring("key", 1, seed)), "seed")
-            .filter(F.startswith("ahead", "key")))
-    best = hits.groupBy("question_id").agg(F.min(F.struct(
-        (-F.length("product_name")).alias("shorter"), *[F.col(c) for c in order])).alias("b"))
-    return questions.join(best.select("question_id", F.col("b.product_name").alias("product")),
-                          "question_id", "left")
+def normal_pack(size: Column, unit: Column) -> tuple[Column, Column]:
+    """Size and unit with kilograms as grams, litres as millilitres, and one spelling per unit."""
+    unit = F.lower(unit)
+    factor, name = F, F
+    for spelled, (plain, times) in fv.PACK_UNITS.items():
+        factor, name = factor.when(unit == spelled, F.lit(times)), name.when(unit == spelled, F.lit(plain))
+    return size.cast("bigint") * factor.otherwise(F.lit(1)), name.otherwise(unit)
+
+
+def asked_pack(pack: Column | str) -> tuple[Column, Column]:
+    """Normal size and unit of a mentioned pack; null where none is, or the number is too large."""
+    number = F.regexp_extract(col(pack), _FLAGS + r"^(\d+)", 1).try_cast("int")
+    unit = F.nullif(F.regexp_extract(col(pack), _FLAGS + r"^\d+\s*(\D+)$", 1), F.lit(""))
+    return normal_pack(number, F.when(number.isNotNull(), unit))
 
 
 def parse_questions(questions: DataFrame, catalogue: DataFrame, aliases: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -127,14 +119,19 @@ def intent_counts(parsed: DataFrame, *by: str) -> DataFrame:
 
 
 def answer_questions(parsed: DataFrame, records: DataFrame, latest: DataFrame, trending: DataFrame) -> DataFrame:
-    """Joins every parsed question to the recommendation records, by product and pack.
+    """Joins every parsed question to the recommendation records, by product, size and unit.
 
-    The pack is the mentioned number if there is one, else the product's smallest.  Questions on
+    Sizes are compared in grams and millilitres, so 1 kg is the pack of 1000 g and 500 g is not that of
+    500 ml.  Without a mentioned pack it is the product's smallest number, then the first unit by name.
+    Of records that are the same pack in two spellings, the one with the smaller number answers.
+    ``pack_size`` and ``pack_unit`` of the result are the normal ones.  Questions on
     delivery and on trends have the same answer for all, read as scalars.
     """
-    per_product = records.groupBy("product_name", "pack_size").agg(
-        F.min(F.struct("pack_unit", "platforms", "recommended_platform", "best_price_platform")).alias("r"))
-    smallest = per_product.groupBy("product_name").agg(F.min("pack_size").alias("smallest"))
+    columns = ("platforms", "recommended_platform", "best_price_platform")
+    size, unit = normal_pack(F.col("pack_size"), F.col("pack_unit"))
+    first = F.min(F.struct("pack_size", "pack_unit", *columns)).alias("r")
+    per_pack = records.groupBy("product_name", size.alias("_size"), unit.alias("_unit")).agg(first)
+    smallest = records.groupBy("product_name").agg(F.min(F.struct(size.alias("size"), unit.alias("unit"))).alias("s"))
     fastest = latest.agg(F.min(F.struct("delivery_minutes", "platform")).alias("f")).select("f.platform").scalar()
     # At most as many rows as the trending report has.
     top = trending.agg(F.array_join(F.transform(F.sort_array(F.collect_list(
@@ -144,11 +141,12 @@ def answer_questions(parsed: DataFrame, records: DataFrame, latest: DataFrame, t
     # Most texts name no product.  Their join key is made from the id, so they match nothing and
     # spread over all partitions instead of meeting in the one of the null key.
     key = F.coalesce("product", F.concat(F.lit("\u0000"), "question_id"))
-    number = F.regexp_extract("pack", r"^(\d+)", 1).try_cast("int")
+    size, unit = asked_pack("pack")
     asked = parsed.withColumn("product_name", key).join(smallest, "product_name", "left")
-    asked = asked.withColumn("pack_size", F.coalesce(number, "smallest"))
-    asked = asked.withColumn("_pack", F.coalesce("pack_size", F.lit(-1)))
-    joined = asked.join(per_product.withColumnRenamed("pack_size", "_pack"), ["product_name", "_pack"], "left")
+    asked = asked.withColumns({"pack_size": F.when(unit.isNull(), F.col("s.size")).otherwise(size),
+                               "pack_unit": F.coalesce(unit, "s.unit")})
+    asked = asked.withColumns({"_size": F.coalesce("pack_size", F.lit(-1)), "_unit": F.coalesce("pack_unit", F.lit(""))})
+    joined = asked.join(per_pack, ["product_name", "_size", "_unit"], "left")
     compared = F.filter("r.platforms", lambda p: F.coalesce(
         F.array_contains(F.col("platforms_named"), p["platform"]), F.lit(True)))
     answer = (F.when(F.col("intent") == "check_delivery", fastest)
@@ -157,5 +155,5 @@ def answer_questions(parsed: DataFrame, records: DataFrame, latest: DataFrame, t
               .when(F.col("intent") == "compare", F.nullif(
                   F.array_join(F.transform(compared, lambda p: p["platform"]), " > "), F.lit("")))
               .otherwise(F.col("r.recommended_platform")))
-    return joined.select("question_id", "intent", "product", "pack_size", "platforms_named",
+    return joined.select("question_id", "intent", "product", "pack_size", "pack_unit", "platforms_named",
                          answer.alias("answer"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfline import fixed_values as fv
-from shelfline.functions.numbers import MONEY, exact_avg, scaled
+from shelfline.functions.numbers import MONEY, exact_avg
 from shelfline.operators.aggregate import daily_demand, day
 
 SERIES = ("product_name", "platform")
@@ -124,5 +124,5 @@ def price_history(df: DataFrame, as_of=None, days: int = 7) -> DataFrame:
     recent = df.filter((F.col("snapshot_time") > end - F.make_dt_interval(F.lit(days)))
                        & (F.col("snapshot_time") <= end))
     return recent.groupBy(*SERIES, day()).agg(
-        (F.sum(scaled("effective_price", MONEY)) / F.count("effective_price") / F.lit(100.0)).alias("avg_price"),
+        exact_avg("effective_price", MONEY).alias("avg_price"),
         F.count(F.lit(1)).alias("record_count"))

@@ -109,9 +109,11 @@ def answer(spark: SparkSession, store: Store, questions: DataFrame, catalogue: D
     parsed = textjobs.parse_questions(questions, catalogue, aliases)
     short = textjobs.answer_questions(parsed, records, latest.latest_snapshot(rows),
                                       trend.top_trending(trend.trend_labels(rows)))
-    chosen = records.groupBy(F.col("product_name").alias("product"), "pack_size").agg(
-        F.min(F.struct("pack_unit", *[c for c in records.columns if c not in ("product_name", "pack_size", "pack_unit")]))
-        .alias("r")).select("product", "pack_size", "r.*")
-    return score.answer_text(short.join(chosen, ["product", "pack_size"], "left"),
-                             platform_names(spark, names), location, product="product").select(
-        "question_id", "intent", "product", "pack_size", "platforms_named", "answer", "sentence")
+    size, unit = textjobs.normal_pack(F.col("pack_size"), F.col("pack_unit"))
+    kept = [c for c in records.columns if c not in ("product_name", "pack_size", "pack_unit")]
+    chosen = records.groupBy(F.col("product_name").alias("product"), size.alias("_size"), unit.alias("_unit")).agg(
+        F.min_by(F.struct("pack_size", "pack_unit", *kept), F.struct("pack_size", "pack_unit")).alias("r"))
+    short = short.withColumnsRenamed({"pack_size": "_size", "pack_unit": "_unit"})
+    found = short.join(chosen, ["product", "_size", "_unit"], "left").select("*", "r.*").drop("r")
+    return score.answer_text(found, platform_names(spark, names), location, product="product").select(
+        "question_id", "intent", "product", "pack_size", "pack_unit", "platforms_named", "answer", "sentence")

@@ -505,19 +505,26 @@ add("parsed_queries", PARSED, "SELECT * FROM parsed")
 add("intent_counts", PARSED, """
 SELECT left(question_id, 1) AS origin, intent, count(*) AS questions FROM parsed GROUP BY 1, 2""")
 _SUB_CTES = RECORDS[len(LISTINGS):]
+_TIMES = "CASE {0} " + " ".join(f"WHEN '{u}' THEN {n}" for u, (_, n) in fv.PACK_UNITS.items()) + " ELSE 1 END"
+_PLAIN = "CASE {0} " + " ".join(f"WHEN '{u}' THEN '{p}'" for u, (p, _) in fv.PACK_UNITS.items()) + " ELSE {0} END"
 add("answer_queries", PARSED + "," + TOP5 + _SUB_CTES + f""",
-chosen AS (SELECT product_name, pack_size, min(pack_unit) AS pack_unit FROM records GROUP BY 1, 2),
-base AS (SELECT product_name, min(pack_size) AS smallest FROM records GROUP BY 1),
+packs AS (SELECT *, CAST(pack_size AS BIGINT) * {_TIMES.format('lower(pack_unit)')} AS size,
+  {_PLAIN.format('lower(pack_unit)')} AS unit FROM records),
+chosen AS (SELECT * FROM packs QUALIFY row_number() OVER (PARTITION BY product_name, size, unit ORDER BY pack_size, pack_unit) = 1),
+base AS (SELECT product_name, size AS least_size, unit AS least_unit FROM chosen
+  QUALIFY row_number() OVER (PARTITION BY product_name ORDER BY size, unit) = 1),
+spelled AS (SELECT *, TRY_CAST(regexp_extract(pack, '^([0-9]+)', 1) AS INTEGER) AS number,
+  nullif(regexp_extract(pack, '^[0-9]+\\s*([^0-9]+)$', 1), '') AS word FROM parsed),
 asked AS (SELECT question_id, intent, product, platforms_named,
-  coalesce(TRY_CAST(regexp_extract(pack, '^(\\d+)', 1) AS INTEGER), smallest) AS pack_size
-  FROM parsed LEFT JOIN base ON product = product_name),
-found AS (SELECT a.*, c.pack_unit, r.recommended_platform, r.best_price_platform FROM asked a
-  LEFT JOIN chosen c ON a.product = c.product_name AND a.pack_size = c.pack_size
-  LEFT JOIN records r ON r.product_name = c.product_name AND r.pack_size = c.pack_size AND r.pack_unit = c.pack_unit),
+  CASE WHEN number IS NULL OR word IS NULL THEN least_size ELSE CAST(number AS BIGINT) * {_TIMES.format('word')} END AS pack_size,
+  CASE WHEN number IS NULL OR word IS NULL THEN least_unit ELSE {_PLAIN.format('word')} END AS pack_unit
+  FROM spelled LEFT JOIN base ON product = product_name),
+found AS (SELECT a.*, c.pack_size AS own_size, c.pack_unit AS own_unit, c.recommended_platform, c.best_price_platform FROM asked a
+  LEFT JOIN chosen c ON a.product = c.product_name AND a.pack_size = c.size AND a.pack_unit = c.unit),
 lists AS (SELECT f.question_id, string_agg(s.platform, ' > ' ORDER BY s.rank) AS compared FROM found f
-  JOIN scored s ON s.product_name = f.product AND s.pack_size = f.pack_size AND s.pack_unit = f.pack_unit
+  JOIN scored s ON s.product_name = f.product AND s.pack_size = f.own_size AND s.pack_unit = f.own_unit
   WHERE f.platforms_named IS NULL OR list_contains(string_split(f.platforms_named, ','), s.platform) GROUP BY 1)""", """
-SELECT question_id, intent, product, pack_size, platforms_named, CASE intent
+SELECT question_id, intent, product, pack_size, pack_unit, platforms_named, CASE intent
   WHEN 'check_delivery' THEN (SELECT platform FROM latest ORDER BY delivery_minutes, platform LIMIT 1)
   WHEN 'trending' THEN (SELECT string_agg(product_name, ', ' ORDER BY growth DESC, product_name, platform) FROM top5)
   WHEN 'find_cheapest' THEN best_price_platform WHEN 'compare' THEN compared ELSE recommended_platform END AS answer

@@ -161,7 +161,7 @@ def net_price(spark, sf):
 
 @query
 def capped_revenue(spark, sf):
-    rows = E.add_festival(T.listings(spark, sf), D.festival_days(spark))
+    rows = E.add_festival(T.listings(spark, sf))
     units = L.sold_units("l_quantity", "festival_demand_mult", "stock_remaining")
     return rows.withColumn("units", units).select(
         "record_id", "units", L.revenue("effective_price", "units").alias("revenue"))
@@ -209,7 +209,7 @@ def weather_enrich(spark, sf):
 
 @query
 def festival_enrich(spark, sf):
-    rows = E.add_festival(T.listings(spark, sf), D.festival_days(spark))
+    rows = E.add_festival(T.listings(spark, sf))
     return rows.select("record_id", "snapshot_time", "festival_demand_mult", "festival_price_mult")
 
 

@@ -1,13 +1,11 @@
 """Small dimension tables.
 
 Their size is fixed by :mod:`shelfline.fixed_values` or by the caller's own constants (months,
-calendar days, listed products), never by the data, so joins may broadcast them.
+listed products), never by the data, so joins may broadcast them.
 """
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,20 +29,5 @@ def seasonal_table(spark: SparkSession, factors=fv.SEASONAL_FACTORS) -> DataFram
                           "seasonal_factor": list(factor)})
 
 
-def festival_days(spark: SparkSession, festivals=fv.FESTIVALS, years=(1990, 2050)) -> DataFrame:
-    """One row per festival day.  Where festivals overlap the first listed one holds, and a
-    festival does not run on into the next year."""
-    days: dict[date, tuple[float, float]] = {}
-    for year in range(years[0], years[1] + 1):
-        for month, day, demand, price, length in festivals:
-            for n in range(length):
-                when = date(year, month, day) + timedelta(days=n)
-                if when.year == year:
-                    days.setdefault(when, (demand, price))
-    demand, price = zip(*days.values())
-    return _table(spark, {"date": pa.array(list(days), pa.date32()),
-                          "festival_demand_mult": list(demand), "festival_price_mult": list(price)})
-
-
 def platform_names(spark: SparkSession, names: dict[str, str]) -> DataFrame:
     return _table(spark, {"platform": list(names), "display_name": list(names.values())})

@@ -14,7 +14,7 @@ from shelfline import fixed_values as fv
 from shelfline.functions.listing import is_peak, is_weekend, unit_price
 from shelfline.operators.enrich import add_festival, add_season, add_weather
 from shelfline.schema import CANONICAL, FEED_A, FEED_B, FEED_C, Feed
-from shelfline.sources.dimensions import festival_days, seasonal_table, weather_table
+from shelfline.sources.dimensions import seasonal_table, weather_table
 
 LOCATION = "Old Town"
 FEEDS: dict[str, Feed] = {"alpha": FEED_A, "beta": FEED_B, "gamma": FEED_C}
@@ -86,7 +86,7 @@ def enriched(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) ->
     rows = listings(spark, sf_dir) if base is None else base
     rows = add_weather(rows, weather_table(spark))
     rows = add_season(rows, seasonal_table(spark, SEASONS))
-    rows = add_festival(rows, festival_days(spark))
+    rows = add_festival(rows)
     rain_percent = F.rint(F.col("rain_probability") * 100)
     return rows.withColumns({
         "is_raining": (F.col("l_orderkey") % 100) < rain_percent,

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.functions.numbers import MONEY, exact_avg
 from shelfline.session import is_local, new_folder
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -58,8 +59,7 @@ def replay(result: DataFrame, label: str) -> DataFrame:
 def tumbling_counts(events: DataFrame, delay: str = "10 minutes", width: str = "15 minutes") -> DataFrame:
     windows = events.withWatermark("ts", delay).groupBy(F.window("ts", width), "event_type")
     return windows.agg(F.count(F.lit(1)).alias("events"),
-                       (F.sum(F.rint(F.col("value") * 100).cast("bigint")) / F.count("value") / F.lit(100.0))
-                       .alias("avg_value")).select(
+                       exact_avg("value", MONEY).alias("avg_value")).select(
         F.col("window.start").alias("window_start"), "event_type", "events", "avg_value")
 
 
@@ -67,8 +67,7 @@ def hourly_price(listings: DataFrame, delay: str = "1 hour") -> DataFrame:
     windows = listings.withWatermark("snapshot_time", delay).groupBy(
         F.window("snapshot_time", "1 hour"), "product_name", "platform")
     return windows.agg(
-        (F.sum(F.rint(F.col("effective_price") * 100).cast("bigint")) / F.count("effective_price") / F.lit(100.0))
-        .alias("avg_price"), F.count(F.lit(1)).alias("record_count")).select(
+        exact_avg("effective_price", MONEY).alias("avg_price"), F.count(F.lit(1)).alias("record_count")).select(
         F.col("window.start").alias("hour"), "product_name", "platform", "avg_price", "record_count")
 
 

@@ -25,24 +25,26 @@ def test_time_band(spark, hour, factor, peak):
 @pytest.mark.parametrize("when,demand,price", [
     (datetime(2024, 1, 1), 1.8, 1.15), (datetime(2024, 1, 3, 23, 59), 1.8, 1.15), (datetime(2024, 1, 4), 1.0, 1.0),
     (datetime(2024, 3, 24, 23, 59), 1.0, 1.0), (datetime(2024, 3, 25), 1.4, 1.05), (datetime(2024, 5, 23, 23), 1.4, 1.05),
-    (datetime(2024, 5, 24), 1.0, 1.0), (datetime(2023, 12, 27, 12), 1.5, 1.12), (datetime(2023, 12, 28), 1.0, 1.0)])
+    (datetime(2024, 5, 24), 1.0, 1.0), (datetime(2023, 12, 27, 12), 1.5, 1.12), (datetime(2023, 12, 28), 1.0, 1.0),
+    (datetime(1989, 12, 25), 1.5, 1.12), (datetime(2051, 1, 1), 1.8, 1.15)])
 def test_festival_boundaries(spark, when, demand, price):
     df = spark.createDataFrame([(when,)], "snapshot_time timestamp")
-    row = E.add_festival(df, D.festival_days(spark)).first()
+    row = E.add_festival(df).first()
     assert (row.festival_demand_mult, row.festival_price_mult) == (demand, price)
 
 
 def test_first_of_two_overlapping_festivals_holds(spark):
-    days = D.festival_days(spark, festivals=((5, 1, 2.0, 1.1, 3), (5, 2, 9.0, 9.9, 3)), years=(2024, 2024))
-    got = {r.date.day: r.festival_demand_mult for r in days.collect()}
-    assert got == {1: 2.0, 2: 2.0, 3: 2.0, 4: 9.0}
+    days = spark.createDataFrame([(datetime(2024, 5, d),) for d in range(1, 7)], "snapshot_time timestamp")
+    out = E.add_festival(days, festivals=((5, 1, 2.0, 1.1, 3), (5, 2, 9.0, 9.9, 3)))
+    got = {r.snapshot_time.day: r.festival_demand_mult for r in out.collect()}
+    assert got == {1: 2.0, 2: 2.0, 3: 2.0, 4: 9.0, 5: 1.0, 6: 1.0}
 
 
-def test_festival_join_is_an_equi_join(spark):
-    df = spark.range(10).withColumn("snapshot_time", F.timestamp_seconds(F.col("id") * 86400))
-    out = E.add_festival(df, D.festival_days(spark))
-    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
-    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+def test_festival_ends_with_its_year_and_needs_no_join(spark):
+    df = spark.createDataFrame([(datetime(2024, 12, 31),), (datetime(2025, 1, 1),), (None,)], "snapshot_time timestamp")
+    out = E.add_festival(df, festivals=((12, 31, 2.0, 1.1, 3),))
+    assert [r.festival_demand_mult for r in out.orderBy("snapshot_time").collect()] == [1.0, 2.0, 1.0]
+    assert "Join" not in spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
 
 
 def test_season_weather_and_premium(spark):
@@ -86,3 +88,11 @@ def test_average_does_not_depend_on_partitions(spark):
     df = spark.range(10_000).select((F.col("id") % 997 / 100.0).alias("x"))
     values = {df.repartition(n).agg(exact_avg("x", 2).alias("a")).first().a for n in (1, 2, 7, 16)}
     assert len(values) == 1
+
+
+def test_sums_cut_nothing_and_keep_nan_in_its_group(spark):
+    import math
+    df = spark.createDataFrame([("a", 4.25), ("a", 4.25), ("b", float("nan")), ("b", 1.0), ("c", 10.005), ("d", None)],
+                               "k string, v double")
+    got = {r.k: r.a for r in df.groupBy("k").agg(exact_avg("v", 1).alias("a")).collect()}
+    assert math.isnan(got.pop("b")) and got == {"a": 4.25, "c": 10.005, "d": None}

@@ -72,6 +72,14 @@ def test_overwrite_replaces_only_written_partitions(spark, tmp_path, listing):
         ("2024-04-01", 1), ("2024-04-02", 1)]
 
 
+def test_rebuild_drops_partitions_and_names_keep_their_type(spark, tmp_path, listing):
+    path = str(tmp_path / "zone")
+    Z.write_zone(listing({}, dict(platform="007")), path)
+    assert {r.platform for r in Z.read_zone(spark, path).select("platform").collect()} == {"alpha", "007"}
+    Z.write_zone(listing(dict(platform="007")), path, rebuild=True)
+    assert [r.platform for r in Z.read_zone(spark, path).select("platform").collect()] == ["007"]
+
+
 def test_retention_and_sample(spark, tmp_path, listing):
     df = listing(*[dict(snapshot_time=datetime(2024, 12, 31, 9) - timedelta(days=d)) for d in range(0, 400, 10)])
     assert [Z.retain(df, d).count() for d in (30, 180, 365)] == [4, 19, 37]
@@ -97,19 +105,17 @@ def test_answers(spark, store):
     record = spark.read.parquet(out.curated("platform_comparison")).filter("size(platforms) > 1").orderBy(
         "product_name", "pack_size", "pack_unit").first()
     name, size = record.product_name, record.pack_size
-    texts = [("1", f"Where can we get {name} {size} g"), ("2", f"cheapest {name} {size} g"), ("3", "is it fast"),
-             ("4", "no such thing"), ("5", f"side by side {name} {size}g at {record.platforms[0].platform}")]
+    texts = [("1", f"Where can we get {name} {size} {record.pack_unit}"), ("2", f"cheapest {name} {size} {record.pack_unit}"), ("3", "is it fast"),
+             ("4", "no such thing"), ("5", f"side by side {name} {size}{record.pack_unit} at {record.platforms[0].platform}")]
     asked = spark.createDataFrame(texts, "question_id string, text string")
     catalogue = jobs.load_unified(spark, out).select("product_name").distinct()
     rows = {r.question_id: r for r in jobs.answer(spark, out, asked, catalogue, T.PLATFORM_ALIASES, T.DISPLAY_NAMES,
                                                   T.LOCATION).collect()}
     assert len(rows) == 5
-    same = spark.read.parquet(out.curated("platform_comparison")).filter(
-        (F.col("product_name") == name) & (F.col("pack_size") == size)).orderBy("pack_unit").first()
     if not name.startswith("hot"):
-        assert rows["1"].answer == same.recommended_platform
-        assert rows["1"].sentence.startswith(f"For {name} {size}{same.pack_unit} in Old Town, ")
-    assert rows["2"].answer == same.best_price_platform
+        assert rows["1"].answer == record.recommended_platform
+        assert rows["1"].sentence.startswith(f"For {name} {size}{record.pack_unit} in Old Town, ")
+    assert rows["2"].answer == record.best_price_platform
     assert rows["3"].intent == "check_delivery" and rows["3"].answer in T.PLATFORMS
     assert rows["4"].answer is None and rows["4"].sentence.startswith("Sorry")
 

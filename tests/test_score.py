@@ -111,3 +111,9 @@ def test_defaults(spark):
     avail = spark.createDataFrame([], "product_name string, platform string, availability_rate_7d double")
     row = S.with_defaults(latest, avail).first()
     assert (row.in_stock, row.price_per_unit, row.availability_rate_7d) == (True, 5.0, 0.85)
+
+
+def test_rating_of_a_null_platform(spark):
+    df = spark.createDataFrame([(None, None), (None, 2.0), ("a", None), ("a", 4.25)], "platform string, rating double")
+    got = sorted(((r.platform or ""), (r.rating or 0.0)) for r in S.impute_rating(df).collect())
+    assert got == [("", 0.0), ("", 2.0), ("a", 4.25), ("a", 4.25)]

@@ -63,31 +63,51 @@ def test_platforms(spark):
 def test_longest_name_wins(spark):
     names = spark.createDataFrame([("Butter",), ("Buttermilk",), ("Milk",), ("Salt",)], "product_name string")
     texts = ["some BUTTERMILK please", "salty things", "500g butter", "bread", "milk and salt"]
-    want = ["Buttermilk", "Salt", "Butter", None, "Milk"]
-    for limit in (500, 1):
-        out = X.product_mention(frame(spark, texts), names, max_inline=limit)
-        assert [r["product"] for r in out.orderBy("question_id").collect()] == want
-    for limit in (500, 1):
-        out = X.product_mention(frame(spark, texts), names, max_inline=limit, word_boundaries=True)
-        assert [r["product"] for r in out.orderBy("question_id").collect()] == ["Buttermilk", None, "Butter", None, "Milk"]
+    out = X.product_mention(frame(spark, texts), names)
+    assert [r["product"] for r in out.orderBy("question_id").collect()] == ["Buttermilk", "Salt", "Butter", None, "Milk"]
+    out = X.product_mention(frame(spark, texts), names, word_boundaries=True)
+    assert [r["product"] for r in out.orderBy("question_id").collect()] == ["Buttermilk", None, "Butter", None, "Milk"]
 
 
 def test_equal_length_by_position(spark):
     names = spark.createDataFrame([("Salt", 2), ("Milk", 1), ("Rice", 3)], "product_name string, position int")
-    for limit in (500, 1):
-        assert X.product_mention(frame(spark, ["rice salt milk"]), names, max_inline=limit).first()["product"] == "Milk"
+    assert X.product_mention(frame(spark, ["rice salt milk"]), names).first()["product"] == "Milk"
 
 
-def test_both_ways_against_brute_force(spark):
-    rng = random.Random(5)
-    names = sorted({"".join(rng.choice("ab ") for _ in range(rng.randint(2, 7))).strip() or "ab" for _ in range(40)})
-    names = [n for n in names if len(n) >= 2]
-    texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 40))) for _ in range(200)]
+@pytest.mark.parametrize("count", [1, 64, 5000])
+def test_mentions_against_brute_force(spark, count):
+    rng = random.Random(count)
+    names = sorted({"".join(rng.choice("abcdef ") for _ in range(rng.randint(1, 9))).strip() or "ab" for _ in range(count)})
+    texts = ["".join(rng.choice("abcdefg ") for _ in range(rng.choice((0, 5, 40, 700)))) for _ in range(120)]
     catalogue = spark.createDataFrame([(n,) for n in names], "product_name string")
     want = {str(i): min((n for n in names if n in t), key=lambda n: (-len(n), n), default=None) for i, t in enumerate(texts)}
-    for limit in (500, 1):
-        out = X.product_mention(frame(spark, texts).repartition(4), catalogue, max_inline=limit)
-        assert {r.question_id: r["product"] for r in out.collect()} == want
+    out = X.product_mention(frame(spark, texts).repartition(4), catalogue)
+    assert {r.question_id: r["product"] for r in out.collect()} == want
+
+
+def test_mentions_with_nulls_and_repeated_rows(spark):
+    names = spark.createDataFrame([("Milk",), (None,), ("",), ("Milk",), ("Oil",)], "product_name string")
+    asked = spark.createDataFrame([("1", "oil"), ("1", "milk"), (None, "milk"), (None, None), ("2", "x" * 255 + "milk")],
+                                  "question_id string, text string")
+    out = X.product_mention(asked, names)
+    got = sorted(((r.question_id or ""), (r["product"] or "")) for r in out.collect())
+    assert got == [("", ""), ("", "Milk"), ("1", "Milk"), ("1", "Oil"), ("2", "Milk")] and out.columns[-1] == "product"
+
+
+def test_pack_of_the_asked_unit_answers(spark):
+    fields = ("product_name string, pack_size int, pack_unit string, recommended_platform string, "
+              "best_price_platform string, platforms array<struct<rank:int,platform:string>>")
+    records = spark.createDataFrame([("Milk", 500, "g", "a", "a", []), ("Milk", 500, "ml", "b", "b", []),
+                                     ("Milk", 1000, "g", "c", "c", []), ("Milk", 2, "litre", "d", "d", []),
+                                     ("Eggs", 6, "pcs", "e", "e", [])], fields)
+    texts = {"500 ml Milk": "b", "500g milk": "a", "1 kg milk": "c", "2000 ml milk": "d", "2 liter milk": "d", "milk": "a",
+             "6 pieces eggs": "e", "eggs": "e", "3 kg milk": None, "500 pcs milk": None, "99999999999 g milk": "a"}
+    catalogue = spark.createDataFrame([("Milk",), ("Eggs",)], "product_name string")
+    latest = spark.createDataFrame([(5, "a")], "delivery_minutes int, platform string")
+    top = spark.createDataFrame([(1.0, "Milk", "a")], "growth double, product_name string, platform string")
+    parsed = X.parse_questions(frame(spark, list(texts)), catalogue, ALIASES)
+    got = {r.question_id: r.answer for r in X.answer_questions(parsed, records, latest, top).collect()}
+    assert got == {str(i): want for i, want in enumerate(texts.values())}
 
 
 def test_empty_catalogue(spark):

@@ -99,3 +99,8 @@ def test_late_rows_against_brute_force(spark):
 def test_monthly_users(spark):
     rows = [(1, START, 1, "v", 0.0), (2, START, 1, "v", 0.0), (3, datetime(2024, 2, 1), 2, "v", 0.0)]
     assert {(r.month, r.active_users) for r in U.monthly_active_users(events(spark, rows)).collect()} == {("2024-01", 1), ("2024-02", 1)}
+
+
+def test_percentile_of_the_null_group(spark):
+    df = spark.createDataFrame([("x", 1.0), ("x", 2.0), (None, 5.0), (None, 7.0)], "k string, v double")
+    assert {r.k: r.p for r in exact_percentiles(df, ["k"], "v", {"p": 0.5}).collect()} == {"x": 1.5, None: 6.0}
