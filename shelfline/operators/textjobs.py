@@ -12,7 +12,7 @@ from shelfline.functions.numbers import col
 
 # Unicode digits and spaces, and only \n ends a line for ".".
 _FLAGS = "(?dU)"
-PIECE = 256  # positions of a text that one row of the name search covers
+PIECE = 64  # positions of a text that one row of the name search covers
 
 
 def intent_expressions(platforms) -> dict[str, str]:
@@ -59,27 +59,38 @@ def product_mention(questions: DataFrame, catalogue: DataFrame, word_boundaries:
     Names of equal length are taken by ``position`` if the catalogue has it, then by name.  Null and
     empty names are never mentioned; a null text mentions nothing; repeated texts and ids are fine.
 
-    Every distinct text offers, at each position, one key per length that a name has; keys meet
-    names by equality.  Long texts are first cut into pieces that overlap by the longest name, so
-    the cost is linear in the text.  What is shuffled is a text's digest and keys as long as a name.
+    A name is looked up by its seed, as many of its first letters as the largest power of two that
+    it has, so that names of all lengths need few seed lengths and a short name does not weaken the
+    seeds of the others.  Every distinct text offers its seeds at each position; seeds meet names by
+    equality, and what follows the position decides.  Long texts are first cut into pieces that overlap
+    by the longest name, so the cost is linear in the text.
     """
     order = ["position", "product_name"] if "position" in catalogue.columns else ["product_name"]
     key = F.lower("product_name")
-    names = catalogue.select(*order).filter("length(product_name) > 0").distinct().withColumn(
-        "key", F.concat(F.lit(" "), key, F.lit(" ")) if word_boundaries else key)
-    # At most as many lengths as the longest name has letters.
-    lengths = names.agg(F.sort_array(F.collect_set(F.length("key"))).alias("n")).select("n").scalar()
+    key = F.concat(F.lit(" "), key, F.lit(" ")) if word_boundaries else key
+    names = catalogue.select(*order).filter("length(product_name) > 0").distinct().withColumn("key", key)
+    letters = F.pow(F.lit(2), F.floor(F.log2(F.length("key")))).cast("int")
+    names = names.withColumn("seed", F.substring("key", F.lit(1), letters))
+    # At most one seed length per power of two.
+    sizes = names.agg(F.struct(F.collect_set(F.length("seed")).alias("seeds"),
+                               F.max(F.length("key")).alias("longest")).alias("z")).select("z").scalar()
     text = _padded(F.lower("text")) if word_boundaries else F.lower("text")
     texts = questions.select("text").filter("text is not null").distinct().select(
         F.sha2("text", 256).alias("_text"), text.alias("t"))
+    # The work per byte that follows is large; with a given number of partitions it is not merged into few tasks.
+    parts = int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = texts.repartition(parts, "_text").select("_text", "t", sizes.alias("z")).filter(F.size("z.seeds") > 0)
     starts = F.explode(F.sequence(F.lit(0), F.length("t"), F.lit(PIECE)))
-    pieces = texts.withColumn("n", lengths).filter(F.size("n") > 0).select("_text", "n", "t", starts.alias("from")).select(
-        "_text", "n", F.substring("t", F.col("from") + 1, F.lit(PIECE - 1) + F.array_max("n")).alias("piece"))
-    spots = pieces.select("_text", "piece", F.explode("n").alias("n")).filter(F.length("piece") >= F.col("n"))
-    spots = spots.select("_text", "piece", "n", F.explode(F.sequence(
-        F.lit(1), F.least(F.lit(PIECE), F.length("piece") - F.col("n") + 1))).alias("at"))
-    best = spots.select("_text", F.substring("piece", F.col("at"), F.col("n")).alias("key")).join(names, "key").groupBy(
-        "_text").agg(F.min(F.struct((-F.length("product_name")).alias("shorter"), *[F.col(c) for c in order])).alias("b"))
+    pieces = texts.select("_text", "t", "z", starts.alias("from")).select(
+        "_text", "z.seeds", "z.longest", F.substring("t", F.col("from") + 1, F.lit(PIECE - 1) + F.col("z.longest")).alias("piece"))
+    spots = pieces.filter("piece <> ''").select("*", F.explode(F.sequence(
+        F.lit(1), F.least(F.lit(PIECE), F.length("piece")))).alias("at"))
+    ahead = spots.select("_text", "seeds", F.substring("piece", F.col("at"), F.col("longest")).alias("ahead"))
+    offered = ahead.select("_text", "ahead", F.explode("seeds").alias("n")).filter(F.length("ahead") >= F.col("n"))
+    hits = offered.withColumn("seed", F.substring("ahead", F.lit(1), F.col("n"))).join(names, "seed").filter(
+        F.startswith("ahead", "key"))
+    best = hits.groupBy("_text").agg(
+        F.min(F.struct((-F.length("product_name")).alias("shorter"), *[F.col(c) for c in order])).alias("b"))
     best = best.select("_text", F.col("b.product_name").alias("product"))
     return questions.withColumn("_text", F.sha2("text", 256)).join(best, "_text", "left").drop("_text")
 
