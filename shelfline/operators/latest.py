@@ -122,3 +122,11 @@ def series_gaps(df: DataFrame, keys: list[str], platforms: tuple[str, ...], step
     return gaps.select(*keys, "platform", (F.col("step") + 1).alias("gap_first"),
                        (F.col("next") - 1).alias("gap_last"),
                        (F.col("next") - F.col("step") - 1).alias("missing"))
+
+
+def pack_gaps(df: DataFrame, platforms: tuple[str, ...]) -> DataFrame:
+    """Gaps of every pack on every platform, at the cadence of the feeds; the first and last missing slot as instants."""
+    seconds = fv.SLOT_MINUTES * 60
+    gaps = series_gaps(df, list(PACK_KEY), platforms, seconds)
+    return gaps.select(*PACK_KEY, "platform", F.timestamp_seconds(F.col("gap_first") * seconds).alias("gap_first"),
+                       F.timestamp_seconds(F.col("gap_last") * seconds).alias("gap_last"), "missing")

@@ -43,7 +43,8 @@ class Store:
 
 
 def preprocess(spark: SparkSession, feeds: dict[str, tuple[str, Feed]], store: Store) -> dict[str, dict]:
-    """Raw feeds -> unified table -> the four aggregate tables.  ``feeds``: platform -> (path, layout).
+    """Raw feeds -> unified table -> the four aggregate tables and the gaps of every pack on every platform.
+    ``feeds``: platform -> (path, layout).
 
     Row counts are observed during the write; the aggregates scan only the columns they need of
     the stored table.  Returns the counts before and after deduplication."""
@@ -56,6 +57,7 @@ def preprocess(spark: SparkSession, feeds: dict[str, tuple[str, Feed]], store: S
     rows = load_unified(spark, store)
     for name, build in AGGREGATES.items():
         zones.write_zone(build(rows), store.processed(name), store.partitions, rebuild=True)
+    zones.write_zone(latest.pack_gaps(rows, tuple(feeds)), store.processed("slot_gaps"), ("platform",), rebuild=True)
     return {"union": before.get, "unified": after.get}
 
 

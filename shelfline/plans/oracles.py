@@ -212,6 +212,15 @@ runs AS (
   SELECT *, date - CAST(row_number() OVER (PARTITION BY category, platform ORDER BY date) AS INTEGER) AS run FROM missing)""", """
 SELECT category, platform, min(date) AS gap_first, max(date) AS gap_last, count(*) AS missing
 FROM runs GROUP BY category, platform, run""")
+add("slot_gaps_all", LISTINGS + """,
+seen AS (SELECT DISTINCT product_name, pack_size, pack_unit, platform, epoch(snapshot_time)::BIGINT // 900 AS step FROM fact),
+series AS (SELECT * FROM (SELECT DISTINCT product_name, pack_size, pack_unit FROM fact), (SELECT DISTINCT platform FROM fact)),
+marked AS (SELECT * FROM seen UNION ALL SELECT *, (SELECT min(step) - 1 FROM seen) FROM series
+  UNION ALL SELECT *, (SELECT max(step) + 1 FROM seen) FROM series),
+paired AS (SELECT *, lead(step) OVER (PARTITION BY product_name, pack_size, pack_unit, platform ORDER BY step) AS later FROM marked)""", """
+SELECT product_name, pack_size, pack_unit, platform, CAST(make_timestamp((step + 1) * 900000000) AS TIMESTAMP) AS gap_first,
+  CAST(make_timestamp((later - 1) * 900000000) AS TIMESTAMP) AS gap_last, later - step - 1 AS missing
+FROM paired WHERE later > step + 1""")
 
 # --- union and duplicates -----------------------------------------------------------------
 
@@ -375,6 +384,15 @@ refs AS (SELECT product_name, snapshot_time AS t, effective_price AS price, reco
 SELECT g.product_name, g.record_id, g.snapshot_time, g.effective_price, r.t AS ref_time, r.price AS ref_price, r.id AS ref_id
 FROM (SELECT * FROM fact WHERE platform = 'gamma') g ASOF LEFT JOIN refs r
   ON g.product_name = r.product_name AND g.snapshot_time > r.t""")
+add("asof_price_all", LISTINGS + """,
+refs AS (SELECT product_name, platform AS ref_platform, snapshot_time AS t, effective_price AS price, record_id AS id FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_name, platform, snapshot_time ORDER BY effective_price DESC, record_id DESC) AS nr
+  FROM fact) WHERE nr = 1),
+asked AS (SELECT * FROM fact, (SELECT DISTINCT platform AS ref_platform FROM fact))""", """
+SELECT a.product_name, a.ref_platform, a.record_id, a.platform, a.snapshot_time, a.effective_price,
+  r.t AS ref_time, r.price AS ref_price, r.id AS ref_id
+FROM asked a ASOF LEFT JOIN refs r
+  ON a.product_name = r.product_name AND a.ref_platform = r.ref_platform AND a.snapshot_time > r.t""")
 
 # --- scoring ------------------------------------------------------------------------------
 

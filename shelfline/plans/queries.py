@@ -258,6 +258,12 @@ def slot_gaps(spark, sf):
                        F.date_from_unix_date(F.col("gap_last").cast("int")).alias("gap_last"), "missing")
 
 
+@query
+def slot_gaps_all(spark, sf):
+    """Every pack on every platform, at the cadence of the feeds."""
+    return LT.pack_gaps(T.listings(spark, sf), T.PLATFORMS)
+
+
 # --- union and duplicates -----------------------------------------------------------------
 
 @query
@@ -445,6 +451,16 @@ def asof_price(spark, sf):
     return LT.as_of_join(left, right, ["product_name"], "snapshot_time", "snapshot_time", ["price", "id"])
 
 
+@query
+def asof_price_all(spark, sf):
+    """Every row of every platform against the earlier prices of each platform, its own included."""
+    rows = T.listings(spark, sf).select("record_id", "product_name", "platform", "snapshot_time", "effective_price")
+    left = rows.withColumn("ref_platform", F.explode(F.array(*map(F.lit, T.PLATFORMS))))
+    right = rows.select("product_name", F.col("platform").alias("ref_platform"), "snapshot_time",
+                        F.col("effective_price").alias("price"), F.col("record_id").alias("id"))
+    return LT.as_of_join(left, right, ["product_name", "ref_platform"], "snapshot_time", "snapshot_time", ["price", "id"])
+
+
 # --- scoring ------------------------------------------------------------------------------
 
 def _scorable(spark, sf):

@@ -39,6 +39,13 @@ def test_aggregates_agree(spark, store):
         assert spark.read.parquet(out.processed(name)).agg(F.sum("record_count")).first()[0] == rows
 
 
+def test_preprocess_reports_gaps_of_every_pack(spark, store):
+    out, feeds, _ = store
+    gaps = spark.read.parquet(out.processed("slot_gaps"))
+    packs = jobs.load_unified(spark, out).select("product_name", "pack_size", "pack_unit", F.explode(F.array(*map(F.lit, feeds))).alias("platform"))
+    assert packs.join(gaps, ["product_name", "pack_size", "pack_unit", "platform"], "left_anti").count() == 0
+
+
 def test_partitions_are_pruned(spark, tmp_path, listing):
     path = str(tmp_path / "zone")
     Z.write_zone(listing({}, dict(platform="beta"), dict(snapshot_time=datetime(2024, 4, 2))), path)

@@ -48,3 +48,23 @@ def test_entry(spark):
 def test_events_reach_the_scan_pruned(spark, sf_dir):
     plan = spark._jvm.PythonSQLUtils.explainString(QUERIES["mau"](spark, sf_dir)._jdf.queryExecution(), "formatted")
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
+
+
+def test_as_of_prices_of_every_pair_of_platforms(spark, sf_dir):
+    from shelfline.sources import testtables as T
+    rows = {r.platform: r["count"] for r in T.listings(spark, sf_dir).groupBy("platform").count().collect()}
+    got = QUERIES["asof_price_all"](spark, sf_dir).groupBy("platform", "ref_platform").count().collect()
+    assert {(r.platform, r.ref_platform): r["count"] for r in got} == {(a, b): rows[a] for a in rows for b in rows}
+
+
+def test_gaps_and_observed_slots_fill_the_grid(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from shelfline.schema import PACK_KEY
+    from shelfline.sources import testtables as T
+    step = F.floor(F.unix_timestamp("snapshot_time") / 900).alias("step")
+    seen = T.listings(spark, sf_dir).select(*PACK_KEY, "platform", step).distinct()
+    low, high = seen.agg(F.min("step"), F.max("step")).first()
+    packs = seen.select(*PACK_KEY).distinct().count()
+    missing = QUERIES["slot_gaps_all"](spark, sf_dir).agg(F.sum("missing")).first()[0]
+    assert missing + seen.count() == packs * len(T.PLATFORMS) * (high - low + 1)
