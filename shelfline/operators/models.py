@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from shelfline import fixed_values as fv
 from shelfline.operators.forecast import HORIZONS, time_split
-from shelfline.session import ensure_checkpoint_dir
+from shelfline.session import ensure_checkpoint_dir, new_folder
 
 INDEXED = {"platform": "platform_idx", "category": "category_idx",
            "product_name": "product_idx", "weather": "weather_idx"}
 HORIZON_FEATURES = ("platform_idx", "category_idx", "day_of_week", "month", "demand", "naive_24h", "naive_72h", "week_avg")
-MAX_CATEGORIES = 4096
+# Bins of every feature, whatever the catalogue; ``maxBins`` of the fits overrides it.
+MAX_BINS = 64
+# Rows of the overall mean that a category value's own mean is mixed with.
+PRIOR_ROWS = 10
 _TYPES = {
     "units_ordered": "int", "effective_price": "double", "mrp": "double", "price_per_unit": "double",
     "delivery_minutes": "int", "rating": "double", "discount_pct": "double", "seasonal_factor": "double",
@@ -53,50 +57,109 @@ def assembler(features) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
 
 
-def check_categories(train: DataFrame, columns) -> None:
-    """The indexer brings all category values to the driver; stop before it does so for too many."""
-    counts = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    many = {c: n for c, n in counts.items() if n > MAX_CATEGORIES}
-    if many:
-        raise ValueError(f"too many category values, group the rare ones before indexing: {many}")
+class MeanEncoder(Transformer, MLWritable, MLReadable):
+    """Category values as the mean of the target among the training rows of that value, joined in.
 
+    ``means`` has a row per column and value, in storage, so a catalogue of any size is fitted and none of
+    it reaches the driver.  ``columns``: category column -> names of its means, one per target; values that
+    training had not, nulls too, get the ``overall`` means.
+    """
 
-def bins_for(indexers: StringIndexerModel) -> int:
-    """Trees need a bin per category value (one more for unseen values)."""
-    return max(64, *(len(labels) + 1 for labels in indexers.labelsArray))
+    def __init__(self, columns: dict[str, list[str]], overall: list[float], means: DataFrame):
+        super().__init__()
+        self.columns, self.overall, self.means = columns, overall, means
 
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        for column, names in self.columns.items():
+            right = self.means.filter(F.col("feature") == column).select(
+                F.col("value").alias("_value"), *[F.col(f"mean_{i}").alias(n) for i, n in enumerate(names)])
+            dataset = dataset.join(right, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
+            dataset = dataset.withColumns({n: F.coalesce(n, F.lit(m)) for n, m in zip(names, self.overall)})
+        return dataset
 
-def _fit(train: DataFrame, indexers, features, estimator, after=()) -> PipelineModel:
+    def write(self) -> MLWriter:
+        return _MeanWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _MeanReader()
+
+
+def _means_schema(n: int) -> str:
+    return ", ".join(["value string", *[f"mean_{i} double" for i in range(n)], "feature string"])
+
+
+class _MeanWriter(MLWriter):
+    def __init__(self, instance: MeanEncoder):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        known = {"columns": self.instance.columns, "overall": self.instance.overall}
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession, extraMetadata=known)
+        self.instance.means.write.partitionBy("feature").parquet(f"{path}/means")
+
+
+class _MeanReader(MLReader):
+    def load(self, path: str) -> MeanEncoder:
+        known = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        means = self.sparkSession.read.schema(_means_schema(len(known["overall"]))).parquet(f"{path}/means")
+        return MeanEncoder(known["columns"], known["overall"], means)
+
+
+def mean_encoder(train: DataFrame, columns: dict[str, str], targets: list) -> MeanEncoder:
+    """Means of the targets per column and value, stored; the driver reads the overall means only.
+
+    Values of few rows are drawn to the overall mean by ``PRIOR_ROWS``.  Of several targets the means are
+    numbered."""
+    spark = train.sparkSession
+    names = [f"t{i}" for i in range(len(targets))]
+    rows = train.select(*columns, *[t.cast("double").alias(n) for t, n in zip(targets, names)])
+    overall = [m if m is not None else 0.0 for m in rows.agg(*[F.avg(n) for n in names]).first()]
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns]))
+    means = rows.select(values.alias("e"), *names).groupBy("e.feature", "e.value").agg(*[
+        ((F.sum(n) + PRIOR_ROWS * m) / (F.count(n) + PRIOR_ROWS)).alias(f"mean_{i}") for i, (n, m) in enumerate(zip(names, overall))])
+    path = new_folder(spark, "category-means")
+    means.write.partitionBy("feature").parquet(path)
+    named = {c: [out] if len(targets) == 1 else [f"{out}_{i}" for i in range(len(targets))] for c, out in columns.items()}
+    return MeanEncoder(named, overall, spark.read.schema(_means_schema(len(targets))).parquet(path))
+
+
+def _fit(train: DataFrame, columns: dict[str, str], features, estimator, labels: StringIndexer | None = None) -> PipelineModel:
+    """``columns``: category column -> its name among the features.  ``labels`` turns a text label into classes;
+    then a category value is described by its share of rows in each class."""
     ensure_checkpoint_dir(train.sparkSession)
-    check_categories(train, indexers[0].getInputCols())
-    stages = [i.fit(train) for i in indexers]
-    ready = train
-    for stage in stages:
-        ready = stage.transform(ready)
-    vectors = assembler(features)
-    ready = vectors.transform(ready).select("features", estimator.getLabelCol())
+    stages, ready, targets, after = [], train, [F.col(estimator.getLabelCol())], []
+    if labels is not None:
+        classes = labels.fit(train)
+        stages, ready = [classes], classes.transform(train)
+        targets = [(F.col(estimator.getLabelCol()) == i).cast("int") for i in range(len(classes.labels))]
+        after = [IndexToString(inputCol="prediction", outputCol="predicted_label", labels=classes.labels)]
+    encoder = mean_encoder(ready, columns, targets)
+    means = dict(zip(columns.values(), encoder.columns.values()))
+    vectors = assembler(n for f in features for n in means.get(f, [f]))
+    ready = vectors.transform(encoder.transform(ready)).select("features", estimator.getLabelCol())
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        estimator = estimator.setMaxBins(bins_for(stages[0])).setCheckpointInterval(10)
-        model = estimator.fit(ready)
+        model = estimator.setCheckpointInterval(10).fit(ready)
     finally:
         ready.unpersist()
-    return PipelineModel([*stages, vectors, model, *(make(stages) for make in after)])
+    return PipelineModel([*stages, encoder, vectors, model, *after])
 
 
 def fit_demand_model(train: DataFrame, **settings) -> PipelineModel:
-    options = {**fv.DEMAND_MODEL, "seed": fv.SEED, **settings}
+    options = {"maxBins": MAX_BINS, **fv.DEMAND_MODEL, "seed": fv.SEED, **settings}
     gbt = GBTRegressor(featuresCol="features", labelCol="units_ordered", **options)
-    return _fit(train, [indexer(INDEXED)], fv.DEMAND_FEATURES, gbt)
+    return _fit(train, INDEXED, fv.DEMAND_FEATURES, gbt)
 
 
 def fit_horizon_model(rows: DataFrame, horizon: str, **settings) -> PipelineModel:
     """Regressor for the demand that :func:`forecast.horizon_table` has ``horizon`` ahead."""
     target = f"demand_in_{horizon}"
-    options = {**fv.DEMAND_MODEL, "seed": fv.SEED, **settings}
+    options = {"maxBins": MAX_BINS, **fv.DEMAND_MODEL, "seed": fv.SEED, **settings}
     gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=f"predicted_{horizon}", **options)
-    names = indexer({"platform": "platform_idx", "category": "category_idx"})
-    return _fit(rows.filter(F.col(target).isNotNull()), [names], HORIZON_FEATURES, gbt)
+    names = {"platform": "platform_idx", "category": "category_idx"}
+    return _fit(rows.filter(F.col(target).isNotNull()), names, HORIZON_FEATURES, gbt)
 
 
 def forecast_horizons(rows: DataFrame, **settings) -> DataFrame:
@@ -109,15 +172,11 @@ def forecast_horizons(rows: DataFrame, **settings) -> DataFrame:
 
 
 def fit_trend_model(train: DataFrame, **settings) -> PipelineModel:
-    options = {**fv.TREND_MODEL, "seed": fv.SEED, **settings}
+    options = {"maxBins": MAX_BINS, **fv.TREND_MODEL, "seed": fv.SEED, **settings}
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", **options)
     label = StringIndexer(inputCol="trend_label", outputCol="label", handleInvalid="keep")
-    names = indexer({"platform": "platform_idx", "category": "category_idx"})
-
-    def to_text(stages):
-        return IndexToString(inputCol="prediction", outputCol="predicted_label", labels=stages[1].labels)
-
-    return _fit(train, [names, label], fv.TREND_FEATURES, forest, after=(to_text,))
+    names = {"platform": "platform_idx", "category": "category_idx"}
+    return _fit(train, names, fv.TREND_FEATURES, forest, label)
 
 
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:

@@ -152,3 +152,27 @@ def test_more_categories_than_default_bins(spark, listing):
     assert model.transform(df).count() == 300
     unseen = M.ml_features(listing(dict(product_name="new", platform="new")))
     assert model.transform(unseen).count() == 1
+
+
+def test_models_of_ten_thousand_products(spark, listing, tmp_path):
+    """Demand hangs on the product alone, trends on the category alone."""
+    df = M.ml_features(listing(*[dict(product_name=f"p{i % 10_000}", units_ordered=9 if i % 2 else 1) for i in range(20_000)]))
+    model = M.fit_demand_model(df, maxIter=3, maxDepth=2, stepSize=1.0)
+    back = M.save_and_reload(model, str(tmp_path / "demand"))
+    for m in (model, back):
+        out = m.transform(df)
+        assert out.count() == 20_000 and out.agg(F.max(F.abs(F.col("prediction") - F.col("units_ordered")))).first()[0] < 0.5
+    unseen = back.transform(M.ml_features(listing(dict(product_name="new"), dict(product_name=None))))
+    assert unseen.count() == 2
+    labels = spark.range(20_000).selectExpr(
+        "'alpha' AS platform", "concat('c', id % 10000) AS category", "4 AS month", "1.0D AS daily_demand", "1.0D AS daily_avg_price",
+        "1.0D AS rolling_avg_7d", "CASE id % 2 WHEN 0 THEN 'stable' ELSE 'trending' END AS trend_label")
+    trends = M.save_and_reload(M.fit_trend_model(labels, numTrees=5, maxDepth=3), str(tmp_path / "trend"))
+    assert trends.transform(labels).filter("predicted_label = trend_label").count() == 20_000
+
+
+def test_bins_do_not_follow_the_catalogue(spark, listing):
+    for products in (2, 300):
+        df = M.ml_features(listing(*[dict(product_name=f"p{i % products}", units_ordered=i % 5) for i in range(600)]))
+        assert M.fit_demand_model(df, maxIter=1, maxDepth=1).stages[-1].getOrDefault("maxBins") == M.MAX_BINS
+    assert M.fit_demand_model(df, maxIter=1, maxDepth=1, maxBins=40).stages[-1].getOrDefault("maxBins") == 40
