@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from shelfline.functions.percentiles import exact_percentiles
 
+# Types with a column of their own in the sessions, and a row in the measures even if no event has them.
 EVENT_TYPES = ("view", "click", "signup", "purchase", "error")
 
 
@@ -22,21 +23,30 @@ def sessions(events: DataFrame, gap_minutes: int = 30, types=EVENT_TYPES) -> Dat
     Events of one user in one slot of the gap's length always share a session, so each slot is
     first reduced to its ends and counts.  The window then sorts at most one row per user and
     slot: a user with a third of all events costs no more than any other.
+
+    ``by_type`` has the counts of all types that the session has, whatever they are (null too);
+    those of ``types`` are columns besides.
     """
     gap = gap_minutes * 60_000_000
-    slots = events.groupBy("user_id", F.floor(F.unix_micros("ts") / gap).alias("slot")).agg(
-        F.min(F.unix_micros("ts")).alias("first"), F.max(F.unix_micros("ts")).alias("last"),
-        F.count(F.lit(1)).alias("events"),
-        *[F.count_if(F.col("event_type") == t).alias(t) for t in types])
+    slots = events.groupBy("user_id", F.floor(F.unix_micros("ts") / gap).alias("slot"), "event_type").agg(
+        F.min(F.unix_micros("ts")).alias("first"), F.max(F.unix_micros("ts")).alias("last"), F.count(F.lit(1)).alias("n"))
+    slots = slots.groupBy("user_id", "slot").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"),
+        F.collect_list(F.struct("event_type", "n")).alias("in_slot"))
     order = Window.partitionBy("user_id").orderBy("slot")
     starts = F.coalesce((F.col("first") - F.lag("last").over(order) > gap).cast("int"), F.lit(1))
     numbered = slots.withColumn("starts", starts).withColumn("session_no", F.sum("starts").over(order))
-    return numbered.groupBy("user_id", "session_no").agg(
+    # A session may have very many slots, so they are counted per type before they are put together.
+    typed = numbered.select("user_id", "session_no", "first", "last", F.inline("in_slot")).groupBy(
+        "user_id", "session_no", "event_type").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
+    return typed.groupBy("user_id", "session_no").agg(
         F.timestamp_micros(F.min("first")).alias("session_start"),
         F.timestamp_micros(F.max("last")).alias("session_end"),
-        F.sum("events").alias("events"),
+        F.sum("n").alias("events"),
         ((F.max("last") - F.min("first")) / F.lit(1e6)).alias("duration_sec"),
-        *[F.sum(t).alias(t) for t in types])
+        *[F.sum(F.when(F.col("event_type") == t, F.col("n")).otherwise(0)).alias(t) for t in types],
+        F.collect_list(F.struct("event_type", "n")).alias("by_type"))
 
 
 def session_summary(per_session: DataFrame) -> DataFrame:
@@ -46,11 +56,20 @@ def session_summary(per_session: DataFrame) -> DataFrame:
 
 
 def _by_type(per_session: DataFrame, measure, name: str, types=EVENT_TYPES) -> DataFrame:
-    """One aggregate over the sessions, turned to one row per event type."""
-    one = per_session.agg(F.count(F.lit(1)).alias("sessions"), *[measure(F.col(t)).alias(t) for t in types])
-    rows = F.explode(F.array(*[F.struct(F.lit(t).alias("event_type"), F.col(t).alias("v")) for t in types]))
-    return one.select("sessions", rows.alias("r")).select(
-        "r.event_type", "sessions", (F.col("r.v") / F.col("sessions")).alias(name))
+    """One row per event type of the sessions, and of ``types``, over the number of all sessions.
+
+    Every session adds a row to the total and an empty one to each of ``types``; they are summed before any shuffle,
+    and the window that spreads the total sorts one row per type."""
+    def entry(event_type, n, total=0):
+        return F.struct(event_type.cast("string").alias("event_type"), n.cast("bigint").alias("n"), F.lit(total).alias("total"))
+
+    found = F.transform("by_type", lambda e: entry(e["event_type"], e["n"]))
+    added = F.array(*[entry(F.lit(t), F.lit(0)) for t in types], entry(F.lit(None), F.lit(0), 1))
+    summed = per_session.select(F.inline(F.concat(found, added))).groupBy("event_type", "total").agg(
+        measure(F.col("n")).alias("v"), F.sum("total").alias("counted"))
+    sessions = F.max("counted").over(Window.partitionBy(F.lit(0)))
+    return summed.withColumn("sessions", sessions).filter("total = 0").select(
+        "event_type", "sessions", (F.col("v") / F.col("sessions")).alias(name))
 
 
 def session_share(per_session: DataFrame) -> DataFrame:

@@ -583,7 +583,7 @@ def mau(spark, sf):
 
 @query
 def sessions(spark, sf):
-    return U.sessions(T.read_events(spark, sf))
+    return U.sessions(T.read_events(spark, sf)).drop("by_type")
 
 
 @query

@@ -104,3 +104,16 @@ def test_monthly_users(spark):
 def test_percentile_of_the_null_group(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 2.0), (None, 5.0), (None, 7.0)], "k string, v double")
     assert {r.k: r.p for r in exact_percentiles(df, ["k"], "v", {"p": 0.5}).collect()} == {"x": 1.5, None: 6.0}
+
+
+def test_measures_of_types_that_no_list_names(spark):
+    rows = [(1, START, 1, "view", 1.0), (2, START + timedelta(minutes=25), 1, "share", 1.0), (3, START + timedelta(minutes=50), 1, "share", 1.0),
+            (4, START + timedelta(hours=3), 1, None, 1.0), (5, START, 2, "events", 1.0), (6, START, 3, "share", 1.0)]
+    per = U.sessions(events(spark, rows))
+    share = {r.event_type: (r.sessions, r.share) for r in U.session_share(per).collect()}
+    mean = {r.event_type: r.events_per_session for r in U.events_per_session(per).collect()}
+    want = {"view": 1, "share": 2, "events": 1, None: 1, "click": 0, "signup": 0, "purchase": 0, "error": 0}
+    assert share == {t: (4, n / 4) for t, n in want.items()}
+    assert mean == {t: (3 if t == "share" else n) / 4 for t, n in want.items()}
+    assert sorted(r.events for r in per.collect()) == [1, 1, 1, 3]
+    assert U.session_share(U.sessions(events(spark, rows[:0]))).count() == 0
