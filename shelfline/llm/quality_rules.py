@@ -1,7 +1,7 @@
 """Quality rules whose thresholds follow the corpus, per language and source, in DataFrame operations only.
 
-Every document gets counts.  Its rates go into quantile sketches: counts per bin of fixed width, which
-merge by adding.  Sketches are kept per (language, source) and merged to languages and to the corpus for
+Every document gets counts.  Its rates go into quantile sketches: counts per bin, which merge by adding.  Bins are
+of fixed width up to a value, then of a width that doubles whenever the value does, so they have no top.  Sketches are kept per (language, source) and merged to languages and to the corpus for
 groups that are too small to judge by.  A document is dropped where a rate lies beyond the fence of its
 group, the quartile plus several interquartile ranges plus a slack, so documents that are usual for
 their group stay whatever the group looks like.
@@ -19,6 +19,7 @@ from shelfline.llm.common import SPACE_CLASS, SPACES, spread_join, stored, whole
 
 WINDOW_WORDS = 5
 LEAST_WORDS, MOST_REPEATED_PERCENT = 10, 20
+# Width of bins below TOP; from there to twice TOP it is doubled, and so on, so a bin is never wider than a 2,000th of its values.
 BIN, TOP = 5, 20_000
 # Documents that a group needs for thresholds of its own.
 LEAST_GROUP = 200
@@ -84,10 +85,16 @@ def counts(docs: DataFrame) -> DataFrame:
                              "length_rate": rate("word_chars", "n_words")}).drop("_n_lines")
 
 
+def bin_of(rate: Column) -> Column:
+    """Lower end of the rate's bin."""
+    # The binary digits of a whole number say how often it doubles TOP, without rounding.
+    doubled = F.when(rate < TOP, F.lit(0)).otherwise(F.length(F.bin((rate / TOP).cast("long"))))
+    return rate - rate % (BIN * F.pow(F.lit(2.0), doubled)).cast("long")
+
+
 def sketches(rows: DataFrame) -> DataFrame:
     """Bins of every rate: ``lang``, ``source``, ``rate``, ``bin``, ``n``; of documents with enough words only."""
-    entries = F.explode(F.array(*[F.struct(F.lit(r).alias("rate"), (F.least(F.col(r), F.lit(TOP)) - F.least(
-        F.col(r), F.lit(TOP)) % BIN).alias("bin")) for r in RATES])).alias("e")
+    entries = F.explode(F.array(*[F.struct(F.lit(r).alias("rate"), bin_of(F.col(r)).alias("bin")) for r in RATES])).alias("e")
     return rows.filter(F.col("n_words") >= LEAST_WORDS).select("lang", "source", entries).groupBy(
         "lang", "source", "e.rate", "e.bin").agg(F.count(F.lit(1)).alias("n"))
 
@@ -142,10 +149,9 @@ def judged(docs: DataFrame) -> DataFrame:
     out = spread_join(rows, ends, ["lang", "source"], "doc_id")
     beyond = F.lit(False)
     for rate, (_, below) in RATES.items():
-        value = F.least(F.col(rate), F.lit(TOP))
-        far = value > F.col(f"{rate}_most")
+        far = F.col(rate) > F.col(f"{rate}_most")
         if below is not None:
-            far = far | (value < F.col(f"{rate}_least"))
+            far = far | (F.col(rate) < F.col(f"{rate}_least"))
         if rate in LEAST_EVENTS:
             events, least = LEAST_EVENTS[rate]
             far = far & (F.col(events) >= least)

@@ -242,6 +242,36 @@ def test_quality_rules(spark, docs, none):
     assert got[301]["n_repeat_words"] == 42 and got[301]["n_dup_lines"] == 5 and got[301]["base_failed"]
 
 
+def test_quality_rules_of_long_words(spark):
+    """Words of about 30 characters are usual here: shorter ones stay, and much longer ones go, as by exact quartiles."""
+    def text(i, width):
+        return " ".join(f"{i:04d}{k:04d}".ljust(width, "x") for k in range(12))
+
+    widths = [25 + i % 12 for i in range(400)] + [16, 19, 22, 200, 3000]
+    frame = spark.createDataFrame([(i, text(i, w), "zh", "url") for i, w in enumerate(widths)],
+                                  "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judged(frame).collect()}
+    order = sorted(1000 * w for w in widths)
+    q1, q3 = order[(len(order) + 3) // 4 - 1], order[(3 * len(order) + 3) // 4 - 1]
+    above, below = quality_rules.RATES["length_rate"]
+    low, high = q1 - 3 * (q3 - q1) - below, q3 + 3 * (q3 - q1) + above
+    assert low < 16_000 and 50_000 < high < 200_000
+    assert got == {i: low <= 1000 * w <= high for i, w in enumerate(widths)}
+    # Symbols too: 25 a word are usual, 100 are not.
+    dense = [" ".join(f"{i:04d}{k:04d}" + "#" * (24 + (i + k) % 3) for k in range(12)) for i in range(300)]
+    dense += [" ".join(f"{i:04d}{k:04d}" + "#" * 100 for k in range(12)) for i in (300, 301)]
+    frame = spark.createDataFrame([(i, t, "en", "code") for i, t in enumerate(dense)], "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"] for r in quality_rules.judged(frame).filter("NOT kept").collect()} == {300, 301}
+
+
+def test_bins_have_no_top(spark):
+    values = [0, 4, 5, 19_999, 20_000, 20_009, 39_999, 40_000, 40_019, 40_020, 10**9, 10**15]
+    rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality_rules.bin_of(F.col("v")).alias("bin")).collect()
+    got = {r["v"]: r["bin"] for r in rows}
+    assert [got[v] for v in values[:10]] == [0, 0, 5, 19_995, 20_000, 20_000, 39_990, 40_000, 40_000, 40_020]
+    assert all(0 <= v - b <= v / 2000 + 5 for v, b in got.items())
+
+
 @pytest.mark.parametrize("scores", [quality_classifier.quality_scores, toxicity.toxicity_scores])
 def test_scores_of_odd_rows(docs, none, labels, rows, scores):
     for known in (labels, labels.limit(0)):
