@@ -1,11 +1,11 @@
-"""Exact deduplication through an extendible-hash index on shared files, in DataFrame operations only.
+"""Exact deduplication by an aggregate, its result kept as an extendible-hash index on shared files, in DataFrame operations only.
 
 Texts are hashed.  A directory of ``2 ** depth`` entries, by leading bits of the hash, points to buckets; its depth
 follows from the number of rows, and every entry points to the shallowest bucket that is not overfull, so
 entries of sparse regions share one, and a full bucket is split by one more bit.  The index is
-written with one folder per bucket.  A bucket's entries are made by the tasks that own its hashes: rows
-of one hash and one text, compared byte by byte as the key of an aggregate that combines before its
-shuffle, become one entry; different texts under one hash are a chain of entries.  So a group of copies
+written with one folder per bucket.  The directory decides those folders' names and nothing else: it does not
+double while it is filled, and no row is routed by it.  Which rows are equal is decided by an aggregate, shuffled by hash and
+text: rows of one hash and one text, compared byte by byte as its key and combined before the shuffle, become one entry; different texts under one hash are a chain of entries.  So a group of copies
 of any size is one short row before it moves.
 """
 
