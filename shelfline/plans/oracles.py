@@ -609,6 +609,22 @@ add("stream_sessions", SESSIONS, """
 SELECT user_id, session_start, session_end + INTERVAL 30 MINUTES AS session_end, events FROM sess
 WHERE session_end + INTERVAL 30 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""")
 
+# --- streaming: all windows, those that are open at the end too ---------------------------
+
+add("stream_tumbling_all", "w AS (SELECT *, time_bucket(INTERVAL 15 MINUTES, ts) AS window_start FROM events)", f"""
+SELECT window_start, event_type, count(*) AS events, {avg('CAST(round(value * 100) AS BIGINT)', 2)} AS avg_value FROM w GROUP BY 1, 2""")
+add("stream_hourly_price_all", LISTINGS, f"""
+SELECT date_trunc('hour', snapshot_time) AS hour, product_name, platform, {avg('eff_cents', 2)} AS avg_price,
+  count(*) AS record_count FROM fact GROUP BY 1, 2, 3""")
+add("stream_sliding_all", LISTINGS + """,
+hours AS (SELECT date_trunc('hour', snapshot_time) AS hour, platform, count(*) FILTER (in_stock) AS stocked, count(*) AS n
+  FROM fact GROUP BY 1, 2),
+copies AS (SELECT hour - to_hours(k) AS window_start, platform, stocked, n FROM hours, range(24) AS r(k))""", """
+SELECT window_start, window_start + INTERVAL 24 HOURS AS window_end, platform,
+  CAST(sum(stocked) AS DOUBLE) / sum(n) AS availability_24h, CAST(sum(n) AS BIGINT) AS record_count FROM copies GROUP BY 1, 2, 3""")
+add("stream_sessions_all", SESSIONS, """
+SELECT user_id, session_start, session_end + INTERVAL 30 MINUTES AS session_end, events FROM sess""")
+
 # --- forecasts ----------------------------------------------------------------------------
 
 SERIES = LISTINGS + f""",

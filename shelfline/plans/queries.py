@@ -656,6 +656,28 @@ def stream_sessions(spark, sf):
     return ST.replay(ST.session_windows(_event_stream(spark, sf)), "sessions")
 
 
+@query
+def stream_tumbling_all(spark, sf):
+    end = F.col("window_start") + F.expr("interval 15 minutes")
+    return ST.replay_whole(ST.tumbling_counts, _event_stream(spark, sf), T.read_events(spark, sf), end, "tumbling-all")
+
+
+@query
+def stream_hourly_price_all(spark, sf):
+    end = F.col("hour") + F.expr("interval 1 hour")
+    return ST.replay_whole(ST.hourly_price, _listing_stream(spark, sf), T.listings(spark, sf), end, "hourly-all")
+
+
+@query
+def stream_sliding_all(spark, sf):
+    return ST.replay_whole(ST.sliding_availability, _listing_stream(spark, sf), T.listings(spark, sf), F.col("window_end"), "sliding-all")
+
+
+@query
+def stream_sessions_all(spark, sf):
+    return ST.replay_whole(ST.session_windows, _event_stream(spark, sf), T.read_events(spark, sf), F.col("session_end"), "sessions-all")
+
+
 # --- forecasts and models -----------------------------------------------------------------
 
 def _series(spark, sf):

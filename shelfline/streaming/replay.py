@@ -5,9 +5,10 @@ Batch and stream share the transformations; here are the windowed, stateful ones
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.numbers import MONEY, exact_avg
@@ -42,6 +43,22 @@ def _settings(spark: SparkSession, values: dict[str, str]):
 def replay(result: DataFrame, label: str) -> DataFrame:
     """Runs an append-mode query until its input is used up; result and checkpoint are written
     to the shared folder, so a lost executor or driver resumes from there."""
+    return _run(result, label)[0]
+
+
+def replay_whole(build: Callable[[DataFrame], DataFrame], stream: DataFrame, rows: DataFrame, end: Column,
+                 label: str) -> DataFrame:
+    """``replay`` of ``build(stream)``, and the windows that its last watermark has not closed: those of ``build(rows)``, the
+    same input read at once, whose ``end`` is later.
+
+    Rows that were too late for a closed hour or session, in a replay of several batches, count in the open windows above it."""
+    closed, watermark = _run(build(stream), label)
+    left = build(rows)
+    return closed.unionByName(left if watermark is None else left.filter(end > F.to_timestamp(F.lit(watermark))))
+
+
+def _run(result: DataFrame, label: str) -> tuple[DataFrame, str | None]:
+    """The stored result, and the watermark of the last batch; none without any input."""
     spark = result.sparkSession
     target = new_folder(spark, f"stream-{label}")
     # State on disk rather than on the heap; sessions are merged before the shuffle.
@@ -53,7 +70,9 @@ def replay(result: DataFrame, label: str) -> DataFrame:
         query = (result.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
                  .option("path", f"{target}/rows").option("checkpointLocation", f"{target}/checkpoint").start())
         query.awaitTermination()
-    return spark.read.schema(result.schema).parquet(f"{target}/rows")
+    last = query.lastProgress
+    watermark = last["eventTime"].get("watermark") if last else None
+    return spark.read.schema(result.schema).parquet(f"{target}/rows"), watermark
 
 
 def tumbling_counts(events: DataFrame, delay: str = "10 minutes", width: str = "15 minutes") -> DataFrame:

@@ -69,3 +69,14 @@ def test_sliding_availability_counts_each_row_24_times(spark, tmp_path, listing)
     assert len(first) == 24
     whole = next(r for r in got if r.window_start == START)
     assert whole.record_count == 5 and whole.availability_24h == 3 / 5
+
+
+def test_windows_open_at_the_end_are_added(spark, tmp_path):
+    rows = [(i, at(i * 7), i % 3, "view" if i % 2 else "click", float(i)) for i in range(120)]
+    path = staged(spark, tmp_path, [rows[i:i + 30] for i in range(0, 120, 30)])
+    end = F.col("window_start") + F.expr("interval 15 minutes")
+    batch = spark.read.parquet(path)
+    got = ST.replay_whole(ST.tumbling_counts, ST.stream_of(spark, path, files_per_batch=1), batch, end, "whole")
+    want = ST.tumbling_counts(batch)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.agg(F.sum("events")).first()[0] == 120
