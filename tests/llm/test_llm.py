@@ -374,3 +374,56 @@ def test_pipeline(spark, sf_dir):
     for p in pieces:
         ends[p["sequence_id"]] = ends.get(p["sequence_id"], 0) + p["length"]
     assert sorted(ends.values())[1:] == [2048] * (len(ends) - 1)
+
+
+def test_pipeline_stages_against_plain_versions(spark, sf_dir, library):
+    """Ids and texts that every stage keeps of the same documents."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    texts = {i: r["text"] or "" for i, r in rows.items()}
+    assert len(rows) == docs.count()
+
+    def kept(name):
+        out = stages[name](spark, docs, sf_dir).collect()
+        assert len(out) == len({r["doc_id"] for r in out})
+        return {r["doc_id"]: r for r in out}
+
+    scores = quality_classifier.quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).collect()
+    assert kept("quality") == {r["doc_id"]: rows[r["doc_id"]] for r in scores if r["score"] >= 0.5}
+
+    first = {}
+    for i in sorted(texts):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", texts[i]), i)
+    assert kept("exact_copies") == {i: rows[i] for i in first.values()} != rows
+
+    components = plain_components(texts.items())
+    assert kept("near_copies") == {i: rows[i] for i, (_, c) in components.items() if i == c} != rows
+
+    found = {r["doc_id"]: r["spans"] for r in pii.spans_report(docs).collect()}
+    redacted = kept("personal_data")
+    assert redacted.keys() == rows.keys()
+    for i, text in texts.items():
+        spans = [s.split(":") for s in found[i].split(",") if s]
+        assert set(plain_spans(text).split(",")) - {""} <= {":".join(s) for s in spans}
+        parts, at = [], 0
+        for kind, start, end in ((k, int(a), int(b)) for k, a, b in spans):
+            if start >= at:
+                parts += [text[at:start], f"[{kind.upper()}]"]
+            at = max(at, end)
+        want = "".join(parts) + text[at:] if spans else rows[i]["text"]
+        assert redacted[i]["text"] == want and (not spans or redacted[i]["n_chars"] == len(want))
+    assert any(found.values())
+
+    pieces = {}
+    for p in stages["packing"](spark, docs, sf_dir).collect():
+        pieces.setdefault(p["doc_id"], []).append((p["start"], p["length"], p["ids_crc32"]))
+    assert pieces.keys() == rows.keys()
+    for i, text in texts.items():
+        ids, at = library.encode(text, add_special_tokens=False).ids + [1], 0
+        for start, length, crc in sorted(pieces[i]):
+            assert start == at and crc == zlib.crc32(np.array(ids[start:start + length], "<u4").tobytes())
+            at += length
+        assert at == len(ids)
