@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from shelfline.llm import chat, exact_dedup, packing, pii, quality_classifier, quality_rules, shingle_join, toxicity, warc, word_bpe
+from pyspark.sql import functions as F
+
+from shelfline.llm import (chat, exact_dedup, hard_negatives, packing, periodic_runs, pii, quality_classifier, quality_rules,
+                           shingle_join, simhash_trie, toxicity, warc, word_bpe)
 from shelfline.llm.common import table
 
 
@@ -50,7 +53,21 @@ def op10_toxicity(spark, sf):
     return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_simhash(spark, sf):
+    return simhash_trie.near_duplicates(table(spark, sf, "documents"))
+
+
+def op12_hard_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    return hard_negatives.hard_negatives(rows.select("vec_id", hard_negatives.relabelled(F.col("label"), F.col("vec_id")).alias("label"), "embedding"))
+
+
+def op13_periodic_runs(spark, sf):
+    return periodic_runs.periodic_runs(table(spark, sf, "documents"), digests_only=True, plant=True)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_warc, op3_pii, op4_quality_rules, op5_quality_classifier, op6_word_bpe, op7_shingle_join, op8_exact_dedup,
-    op9_mixture_packing, op10_toxicity)}
-ORACLES: dict[str, str] = {"op1_chat_format": chat.oracle(), "op4_quality_rules": quality_rules.oracle(), "op8_exact_dedup": exact_dedup.ORACLE}
+    op9_mixture_packing, op10_toxicity, op11_simhash, op12_hard_negatives, op13_periodic_runs)}
+ORACLES: dict[str, str] = {"op1_chat_format": chat.oracle(), "op4_quality_rules": quality_rules.oracle(), "op8_exact_dedup": exact_dedup.ORACLE,
+                           "op12_hard_negatives": hard_negatives.oracle()}
