@@ -300,5 +300,5 @@ SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
        s.score AS negative_score
 FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.positive
   AND {FLOOR[0]} * p.positive_score <= {FLOOR[1]} * s.score AND s.score <= p.positive_score
-QUALIFY row_number() OVER w <= {NEGATIVES}
-WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)"""
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= {NEGATIVES}"""
