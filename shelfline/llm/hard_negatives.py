@@ -285,13 +285,13 @@ def oracle() -> str:
     return f"""
 WITH rows AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor({SCALE} * x::DOUBLE)::BIGINT) AS v
+         list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS positive,
-         list_sum(list_transform(list_zip(a.v, b.v), p -> p[1] * p[2]))::BIGINT AS score
+         list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
   FROM rows a JOIN rows b ON a.vec_id % {ANCHOR_EVERY} = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
 positives AS (
   SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE positive
