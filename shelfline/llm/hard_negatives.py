@@ -39,9 +39,10 @@ LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 # -- scores -------------------------------------------------------------------------------------
 
-def whole_numbers(vectors: list) -> np.ndarray:
+def whole_numbers(vectors: pa.ChunkedArray) -> np.ndarray:
     """``floor(SCALE * x)`` of equally long vectors, as doubles."""
-    return np.floor(SCALE * np.array(vectors, np.float64).reshape(len(vectors), -1))
+    values, n = vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False), len(vectors)
+    return np.floor(SCALE * values.reshape(n, len(values) // n if n else 0))
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -146,12 +147,12 @@ def _sides(rows: pa.Table):
     for side in (anchor, ~anchor):
         part = rows.filter(pa.array(side))
         yield (np.array(part.column("vec_id").to_pylist(), np.int64), np.array(part.column("label").to_pylist(), np.int64),
-               whole_numbers(part.column("vector").to_pylist()), part.column("windows").to_pylist())
+               whole_numbers(part.column("vector")), part.column("windows").to_pylist())
 
 
 def _slices(n: int, width: int):
     step = max(1, SCORES // max(1, width))
-    return (slice(at, at + step) for at in range(0, n, step))
+    return (slice(at, at + step) for at in range(0, n if width else 0, step))
 
 
 def _first(score: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:

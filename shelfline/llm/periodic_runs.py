@@ -279,7 +279,7 @@ def _row(doc_id, words: list, schema: pa.Schema) -> list:
     listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()
     row = [doc_id, len(runs), start, length, period, 1000 * length // period if runs else None,
            hashlib.sha256(listed).hexdigest(), hashlib.sha256(text).hexdigest()]
-    return row + [runs, text] if schema is _ALL else row
+    return row + [runs, text] if "runs" in schema.names else row
 
 
 def _runs(schema: pa.Schema, change):
