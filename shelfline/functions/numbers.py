@@ -27,7 +27,7 @@ def scaled(c: Column | str, places: int) -> Column:
     return F.rint(col(c) * F.lit(float(10 ** places))).cast("bigint")
 
 
-def _lossless(c: Column | str, places: int) -> Column:
+def lossless(c: Column | str, places: int) -> Column:
     """The scaled integer if it stands for exactly this value, else null."""
     scale = F.lit(float(10 ** places))
     whole = F.rint(col(c) * scale).try_cast("bigint")
@@ -35,7 +35,7 @@ def _lossless(c: Column | str, places: int) -> Column:
 
 
 def exact_sum(c: Column | str, places: int) -> Column:
-    whole = _lossless(c, places)
+    whole = lossless(c, places)
     exact = F.when(F.count(whole) == F.count(col(c)), F.try_sum(whole) / F.lit(float(10 ** places)))
     return F.coalesce(exact, F.sum(col(c).cast("double")))
 
@@ -43,13 +43,13 @@ def exact_sum(c: Column | str, places: int) -> Column:
 def scaled_sum(c: Column | str, places: int) -> Column:
     """``exact_sum`` times its scale, as a whole double where all values have at most ``places`` decimals:
     sums of such sums are order-independent too."""
-    whole = _lossless(c, places)
+    whole = lossless(c, places)
     exact = F.when(F.count(whole) == F.count(col(c)), F.try_sum(whole)).cast("double")
     return F.coalesce(exact, F.sum(col(c).cast("double")) * F.lit(float(10 ** places)))
 
 
 def exact_avg(c: Column | str, places: int) -> Column:
-    whole = _lossless(c, places)
+    whole = lossless(c, places)
     exact = F.when(F.count(whole) == F.count(col(c)),
                    F.try_divide(F.try_sum(whole), F.count(col(c))) / F.lit(float(10 ** places)))
     return F.coalesce(exact, F.avg(col(c).cast("double")))

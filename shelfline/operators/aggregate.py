@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from shelfline.functions.numbers import (MONEY, PERCENT, RATING, UNIT_PRICE, exact_avg, exact_sum,
                                          scaled_sum, share)
+from shelfline.operators import partials
 
 
 def day():
@@ -65,14 +66,13 @@ def daily_demand(df: DataFrame) -> DataFrame:
         exact_avg("effective_price", MONEY).alias("daily_avg_price"))
 
 
-def hourly_price(prices: DataFrame) -> DataFrame:
-    """Product and platform by hour, rolled up from :func:`price_analytics`.
+def hourly_price(parts: DataFrame) -> DataFrame:
+    """Product and platform by hour, rolled up from the price states of :mod:`partials`.
 
-    average x count is a whole number of cents, so the roll-up equals the average over the rows."""
-    cents = F.sum(F.rint(F.col("avg_price") * F.col("record_count") * 100).cast("bigint"))
-    return prices.groupBy("product_name", "platform", "date", "hour").agg(
-        (cents / F.sum("record_count") / F.lit(100.0)).alias("avg_price"),
-        F.sum("record_count").alias("record_count"))
+    The states carry count and whole sum of the prices that there are, so the roll-up equals the average over the rows."""
+    hours = partials.merged(partials.PRICES, parts, ("product_name", "platform", "date", "hour"), only=("price",))
+    return hours.select("product_name", "platform", "date", "hour", partials.mean("price", MONEY).alias("avg_price"),
+                        F.col("n_rows").alias("record_count"))
 
 
 def category_revenue(df: DataFrame) -> DataFrame:

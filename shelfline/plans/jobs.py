@@ -6,67 +6,50 @@ executor re-reads it instead of recomputing the feeds.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fv
-from shelfline.operators import aggregate, forecast, latest, models, normalise, quality, score, textjobs, trend
+from shelfline.operators import forecast, latest, models, normalise, partials, quality, score, textjobs, trend
+from shelfline.plans import refresh
+from shelfline.plans.refresh import Store
 from shelfline.schema import Feed
 from shelfline.sources import zones
 from shelfline.sources.dimensions import platform_names
 
-AGGREGATES = {
-    "price_analytics": aggregate.price_analytics,
-    "delivery_analytics": aggregate.delivery_analytics,
-    "revenue_analytics": aggregate.revenue_analytics,
-    "stock_analytics": aggregate.stock_analytics,
-}
-
-
-@dataclass(frozen=True)
-class Store:
-    """Where the tables of one deployment are, and the folders of its dated tables."""
-
-    root: str
-    partitions: tuple[str, ...] = zones.PARTITIONS
+AGGREGATES = tuple(partials.SUMMARIES)
 
-    def processed(self, name: str) -> str:
-        return f"{self.root}/processed/{name}"
 
-    def curated(self, name: str) -> str:
-        return f"{self.root}/curated/{name}"
-
-    def model(self, name: str) -> str:
-        return f"{self.root}/models/{name}"
+def _union(spark: SparkSession, feeds: dict[str, tuple[str, Feed]]) -> DataFrame:
+    return normalise.unify([normalise.normalise_feed(normalise.read_feed(spark, path, feed), feed, platform)
+                            for platform, (path, feed) in feeds.items()])
 
 
 def preprocess(spark: SparkSession, feeds: dict[str, tuple[str, Feed]], store: Store) -> dict[str, dict]:
-    """Raw feeds -> unified table -> the four aggregate tables and the gaps of every pack on every platform.
-    ``feeds``: platform -> (path, layout).
+    """Raw feeds -> unified table -> the aggregate tables with their states, and the gaps of every pack on every
+    platform; all from the start.  ``feeds``: platform -> (path, layout).
 
     Row counts are observed during the write; the aggregates scan only the columns they need of
     the stored table.  Returns the counts before and after deduplication."""
-    frames = [normalise.normalise_feed(normalise.read_feed(spark, path, feed), feed, platform)
-              for platform, (path, feed) in feeds.items()]
     before, after = Observation("union"), Observation("unified")
-    union = quality.observed(normalise.unify(frames), before)
-    unified = quality.observed(normalise.deduplicate(union), after)
-    zones.write_zone(unified, store.processed("unified"), store.partitions, rebuild=True)
-    rows = load_unified(spark, store)
-    for name, build in AGGREGATES.items():
-        zones.write_zone(build(rows), store.processed(name), store.partitions, rebuild=True)
-    zones.write_zone(latest.pack_gaps(rows, tuple(feeds)), store.processed("slot_gaps"), ("platform",), rebuild=True)
+    union = quality.observed(_union(spark, feeds), before)
+    refresh.rebuild(quality.observed(normalise.deduplicate(union), after), store)
+    zones.write_zone(latest.pack_gaps(load_unified(spark, store), tuple(feeds)), store.processed("slot_gaps"), ("platform",), rebuild=True)
     return {"union": before.get, "unified": after.get}
 
 
+def preprocess_batch(spark: SparkSession, feeds: dict[str, tuple[str, Feed]], store: Store, batch: int) -> dict[str, int]:
+    """New raw files, of whatever days, into the tables of :func:`preprocess`; only the folders of their rows change.
+    The gaps of packs are left to the full run."""
+    return refresh.refresh(_union(spark, feeds), store, batch)
+
+
 def load_unified(spark: SparkSession, store: Store) -> DataFrame:
-    return normalise.select_canonical(zones.read_zone(spark, store.processed("unified")))
+    return normalise.select_canonical(refresh.read(spark, store, "unified"))
 
 
 def load_recent(spark: SparkSession, store: Store, days: int, as_of: Column | None = None) -> DataFrame:
-    rows = zones.recent(zones.read_zone(spark, store.processed("unified")), days, as_of)
+    rows = zones.recent(refresh.read(spark, store, "unified"), days, as_of)
     return normalise.select_canonical(rows)
 
 

@@ -232,12 +232,14 @@ SELECT platform, count(*) AS rows_in, count(DISTINCT (record_id, snapshot_time))
 
 # --- aggregates ---------------------------------------------------------------------------
 
-add("price_analytics", LISTINGS, f"""
+PRICES = f"""
 SELECT product_name, category, platform, date, hour_of_day AS hour, pack_size, pack_unit,
   {avg('eff_cents', 2)} AS avg_price, min(effective_price) AS min_price, max(effective_price) AS max_price,
   {avg('ppu_e4', 4)} AS avg_price_per_unit, {avg('discount * 100', 2)} AS avg_discount_pct,
   {rnd('stddev_samp(effective_price)', 2)} AS price_stddev, count(*) AS record_count
-FROM fact GROUP BY 1, 2, 3, 4, 5, 6, 7""")
+FROM fact GROUP BY 1, 2, 3, 4, 5, 6, 7"""
+add("price_analytics", LISTINGS, PRICES)
+add("incremental_refresh", LISTINGS, PRICES)
 add("delivery_analytics", CLEAN, """
 SELECT platform, CAST(snapshot_time AS DATE) AS date, hour_of_day, is_weekend, weather, is_raining,
   avg(delivery_minutes) AS avg_delivery_mins, min(delivery_minutes) AS min_delivery_mins,

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from shelfline.operators import aggregate as A
+from shelfline.operators import partials as P
 from shelfline.operators import forecast as FC
 from shelfline.operators import latest as LT
 from shelfline.operators import trend as TR
@@ -48,11 +49,18 @@ def test_revenue_is_the_same_at_every_grain(spark, listing):
 
 def test_hourly_price_from_aggregate_equals_rows(spark, listing):
     df = listing(*[dict(effective_price=float(i * 7 % 31) + 0.01, pack_size=i % 4) for i in range(40)])
-    got = A.hourly_price(A.price_analytics(df)).first()
+    got = A.hourly_price(P.states(P.PRICES, df)).first()
     cents = [(i * 7 % 31) * 100 + 1 for i in range(40)]
     assert got.avg_price == sum(cents) / 40 / 100 and got.record_count == 40
 
 
+def test_hourly_price_of_nulls_and_four_decimals(spark, listing):
+    prices = [(9, 10.0), (9, 20.0), (9, None), (9, 100.0), (10, 1.2345), (11, None)]
+    df = listing(*[dict(hour_of_day=h, effective_price=p, pack_size=i) for i, (h, p) in enumerate(prices)])
+    got = {r.hour: (r.avg_price, r.record_count) for r in A.hourly_price(P.states(P.PRICES, df)).collect()}
+    assert got == {9: (13000 / 3 / 100, 4), 10: (1.2345, 1), 11: (None, 1)}
+
+
 def test_stddev_of_one_row_is_null(spark, listing):
     assert A.price_analytics(listing({})).first().price_stddev is None
 
