@@ -7,7 +7,9 @@ sorted, and everything below is one count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,9 +18,14 @@ SALTS = 32
 MARGIN = 10 / ACCURACY  # ten times the sketch's rank error
 
 
+def _interpolated(fraction: Column, n: Column) -> Column:
+    return fraction * (n - 1)
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, fractions: dict[str, float],
-                      small_group: int = ACCURACY) -> DataFrame:
-    """One row per group, each named fraction as a column, linearly interpolated between ranks.
+                      small_group: int = ACCURACY, place: Callable[[Column, Column], Column] = _interpolated) -> DataFrame:
+    """One row per group, each named fraction as a column, linearly interpolated between ranks.  ``place`` gives the
+    place from 0 of a fraction among ``n`` values; it may be a few ranks off the fraction, not more.
 
     Rows whose key is null are a group of their own.  Groups of up to ``small_group`` rows are sorted whole.  An enclosure that misses the rank
     raises an error; it never gives a wrong value.
@@ -48,8 +55,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, fractions: dic
                         .alias("_v")).agg(F.sum("_c").alias("_c"))
 
     order = Window.partitionBy(*keys, "name").orderBy(F.col("_v").asc_nulls_first())
-    place = F.col("fraction") * (F.col("_n") - 1)
-    part = part.withColumns({"_end": F.sum("_c").over(order), "_place": place})
+    part = part.withColumns({"_end": F.sum("_c").over(order), "_place": place(F.col("fraction"), F.col("_n"))})
     part = part.withColumn("_start", F.col("_end") - F.col("_c"))
 
     def at(rank):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfline import fixed_values as fv
+from shelfline.functions.joins import null_safe_join
 from shelfline.functions.percentiles import exact_percentiles
 from shelfline.operators.aggregate import day
 
@@ -43,7 +44,7 @@ def forecast_overlay(series: DataFrame, horizon_days: int = 1, grain=GRAIN) -> D
     predicted = series.select(*grain, F.date_add("date", horizon_days).alias("date"),
                               F.col("demand").alias("predicted"))
     actual = series.withColumnRenamed("demand", "actual")
-    return actual.join(predicted, [*grain, "date"], "full").select(*grain, "date", "actual", "predicted")
+    return null_safe_join(actual, predicted, [*grain, "date"], "full").select(*grain, "date", "actual", "predicted")
 
 
 def forecast_interval(series: DataFrame, grain=GRAIN) -> DataFrame:
@@ -51,7 +52,7 @@ def forecast_interval(series: DataFrame, grain=GRAIN) -> DataFrame:
     rows = naive_forecast(series, grain).filter("naive_24h is not null")
     rows = rows.withColumn("error", F.col("demand") - F.col("naive_24h"))
     spread = exact_percentiles(rows, list(grain), "error", {"low": 0.05, "high": 0.95})
-    return rows.join(spread, list(grain)).select(
+    return null_safe_join(rows, spread, grain).select(
         *grain, "date", "demand", F.col("naive_24h").alias("predicted"),
         (F.col("naive_24h") + F.col("low")).alias("confidence_lower"),
         (F.col("naive_24h") + F.col("high")).alias("confidence_upper"))
@@ -78,8 +79,8 @@ def forecast_records(trends: DataFrame, errors: DataFrame, risk: DataFrame, gene
                      horizon_hours: int = fv.FORECAST_HORIZON_HOURS) -> DataFrame:
     """One record per product and platform: expected daily demand with its interval, trend and
     stockout risk.  ``trends`` has the last labelled day of each series."""
-    rows = trends.join(errors, ["category", "platform"], "left").join(
-        risk.select("product_name", "platform", "stockout_risk"), ["product_name", "platform"], "left")
+    rows = null_safe_join(trends, errors, ["category", "platform"], "left")
+    rows = null_safe_join(rows, risk.select("product_name", "platform", "stockout_risk"), ["product_name", "platform"], "left")
     demand = F.col("rolling_avg_7d")
     return rows.select(
         "product_name", "platform", generated_at.alias("forecast_generated_at"),
@@ -89,6 +90,31 @@ def forecast_records(trends: DataFrame, errors: DataFrame, risk: DataFrame, gene
         F.lit(BASELINE_VERSION).alias("model_version"))
 
 
+def long_predictions(rows: DataFrame, horizons=HORIZONS) -> DataFrame:
+    """One row per row and horizon: ``horizon``, ``predicted``, ``actual`` (null while it lies ahead)."""
+    options = F.explode(F.array(*[
+        F.struct(F.lit(h).alias("horizon"), F.lit(24 * d).alias("forecast_horizon_hours"), F.col(f"predicted_{h}").alias("predicted"),
+                 F.col(f"demand_in_{h}").cast("double").alias("actual")) for h, d in horizons.items()]))
+    wide = [c for c in rows.columns if not c.startswith(("predicted_", "demand_in_", "naive_"))]
+    return rows.select(*wide, options.alias("_h")).select(*wide, "_h.*")
+
+
+def model_records(predictions: DataFrame, trends: DataFrame, risk: DataFrame, generated_at, location: str, version: str,
+                  grain=("product_name", "category", "platform")) -> DataFrame:
+    """One record per series and horizon, as of the series' last day: predicted demand with its interval, trend and stockout risk.
+
+    ``predictions`` has a row per series, day and horizon with its bounds; ``trends`` one ``trend_label`` per product, category
+    and platform."""
+    newest = predictions.groupBy(*grain, "horizon").agg(F.max("date").alias("date"))
+    rows = null_safe_join(predictions, newest, (*grain, "horizon", "date"))
+    rows = null_safe_join(rows, trends.select(*grain, "trend_label"), grain, "left")
+    rows = null_safe_join(rows, risk.select("product_name", "platform", "stockout_risk"), ("product_name", "platform"), "left")
+    return rows.select(
+        *grain, F.lit(location).alias("location"), generated_at.alias("forecast_generated_at"), "date", "forecast_horizon_hours",
+        F.col("predicted").alias("predicted_demand_index"), "confidence_lower", "confidence_upper", "interval_level", "trend_label",
+        "stockout_risk", F.lit(version).alias("model_version"))
+
+
 def forecast_errors(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """MAPE over positive actuals in percent, RMSE and MAE, in one pass; null where undefined."""
     error = F.col(predicted) - F.col(actual)

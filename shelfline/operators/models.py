@@ -7,21 +7,25 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.storagelevel import StorageLevel
 
 from shelfline import fixed_values as fv
-from shelfline.operators.forecast import HORIZONS, time_split
+from shelfline.operators.forecast import GRAIN, HORIZONS, time_split
 from shelfline.session import ensure_checkpoint_dir, new_folder
 
 INDEXED = {"platform": "platform_idx", "category": "category_idx",
            "product_name": "product_idx", "weather": "weather_idx"}
-HORIZON_FEATURES = ("platform_idx", "category_idx", "day_of_week", "month", "demand", "naive_24h", "naive_72h", "week_avg")
+HORIZON_FEATURES = ("day_of_week", "month", "demand", "naive_24h", "naive_72h", "week_avg")
 # Bins of every feature, whatever the catalogue; ``maxBins`` of the fits overrides it.
 MAX_BINS = 64
 # Rows of the overall mean that a category value's own mean is mixed with.
 PRIOR_ROWS = 10
+# Parts of the training rows; a row is described by the means of the other parts.
+FOLDS = 5
+FOLD_KEYS = {"demand": ("record_id",), "trend": ("product_name", "platform", "date")}
 _TYPES = {
     "units_ordered": "int", "effective_price": "double", "mrp": "double", "price_per_unit": "double",
     "delivery_minutes": "int", "rating": "double", "discount_pct": "double", "seasonal_factor": "double",
@@ -57,6 +61,11 @@ def assembler(features) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
 
 
+def fold_of(key, folds: int = FOLDS) -> Column:
+    """Part of a training row, by a hash of its key: the same however rows are partitioned."""
+    return (F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key])), 1, 8), 16, 10).cast("bigint") % folds).cast("int")
+
+
 class MeanEncoder(Transformer, MLWritable, MLReadable):
     """Category values as the mean of the target among the training rows of that value, joined in.
 
@@ -70,10 +79,17 @@ class MeanEncoder(Transformer, MLWritable, MLReadable):
         self.columns, self.overall, self.means = columns, overall, means
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self._described(dataset, self.means)
+
+    def _described(self, dataset: DataFrame, means: DataFrame, *also: str) -> DataFrame:
         for column, names in self.columns.items():
-            right = self.means.filter(F.col("feature") == column).select(
-                F.col("value").alias("_value"), *[F.col(f"mean_{i}").alias(n) for i, n in enumerate(names)])
-            dataset = dataset.join(right, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
+            right = means.filter(F.col("feature") == column).select(
+                F.col("value").alias("_value"), *[F.col(c).alias(f"_{c}") for c in also],
+                *[F.col(f"mean_{i}").alias(n) for i, n in enumerate(names)])
+            on = F.col(column).eqNullSafe(F.col("_value"))
+            for c in also:
+                on = on & (F.col(c) == F.col(f"_{c}"))
+            dataset = dataset.join(right, on, "left").drop("_value", *[f"_{c}" for c in also])
             dataset = dataset.withColumns({n: F.coalesce(n, F.lit(m)) for n, m in zip(names, self.overall)})
         return dataset
 
@@ -107,26 +123,57 @@ class _MeanReader(MLReader):
         return MeanEncoder(known["columns"], known["overall"], means)
 
 
-def mean_encoder(train: DataFrame, columns: dict[str, str], targets: list) -> MeanEncoder:
-    """Means of the targets per column and value, stored; the driver reads the overall means only.
+def category_cells(rows: DataFrame, columns, fold: Column, targets: list[Column]) -> DataFrame:
+    """Rows and sums of the targets per column, value and fold: all that the means are made of, in one pass."""
+    names = [f"sum_{i}" for i in range(len(targets))]
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns]))
+    rows = rows.select(values.alias("e"), fold.alias("fold"), *[t.cast("double").alias(n) for t, n in zip(targets, names)])
+    return rows.groupBy("e.feature", "e.value", "fold").agg(F.count("sum_0").alias("n"), *[F.sum(n).alias(n) for n in names])
+
+
+def means_of(cells: DataFrame, overall: list[float]) -> DataFrame:
+    """Per column and value, over all folds; values of few rows are drawn to the overall means by ``PRIOR_ROWS``."""
+    sums = [F.sum(f"sum_{i}") for i in range(len(overall))]
+    return cells.groupBy("feature", "value").agg(*[_drawn(x, F.sum("n"), m).alias(f"mean_{i}") for i, (x, m) in enumerate(zip(sums, overall))])
+
+
+def means_of_other_folds(cells: DataFrame, overall: list[float]) -> DataFrame:
+    """Per column, value and fold, over the rows of the other folds.  A window over as many rows as there are folds."""
+    value = Window.partitionBy("feature", "value")
+    rest = [F.sum(f"sum_{i}").over(value) - F.coalesce(f"sum_{i}", F.lit(0.0)) for i in range(len(overall))]
+    n = F.sum("n").over(value) - F.col("n")
+    return cells.select("feature", "value", "fold", *[
+        _drawn(x, n, m).alias(f"mean_{i}") for i, (x, m) in enumerate(zip(rest, overall))])
+
+
+def _drawn(total: Column, n: Column, overall: float) -> Column:
+    return (F.coalesce(total, F.lit(0.0)) + F.lit(PRIOR_ROWS * overall)) / (n + PRIOR_ROWS)
 
-    Values of few rows are drawn to the overall mean by ``PRIOR_ROWS``.  Of several targets the means are
-    numbered."""
+
+def mean_encoder(train: DataFrame, columns: dict[str, str], targets: list[Column], key) -> tuple[MeanEncoder, DataFrame]:
+    """The encoder, whose means are those of all rows, and ``train`` described by the means of the other folds: no
+    row sees its own target.  Of several targets the means are numbered.  The driver reads the overall means only."""
     spark = train.sparkSession
-    names = [f"t{i}" for i in range(len(targets))]
-    rows = train.select(*columns, *[t.cast("double").alias(n) for t, n in zip(targets, names)])
-    overall = [m if m is not None else 0.0 for m in rows.agg(*[F.avg(n) for n in names]).first()]
-    values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns]))
-    means = rows.select(values.alias("e"), *names).groupBy("e.feature", "e.value").agg(*[
-        ((F.sum(n) + PRIOR_ROWS * m) / (F.count(n) + PRIOR_ROWS)).alias(f"mean_{i}") for i, (n, m) in enumerate(zip(names, overall))])
-    path = new_folder(spark, "category-means")
-    means.write.partitionBy("feature").parquet(path)
+    key = key if set(key) <= set(train.columns) else train.columns
+    train = train.withColumn("_fold", fold_of(key))
+    path = new_folder(spark, "category-cells")
+    category_cells(train, columns, F.col("_fold"), targets).write.partitionBy("feature").parquet(path)
+    schema = ", ".join(["value string, fold int, n long", *[f"sum_{i} double" for i in range(len(targets))], "feature string"])
+    cells = spark.read.schema(schema).parquet(path)
+    one = cells.filter(F.col("feature") == next(iter(columns)))  # every row is in one cell of each column
+    overall = [m if m is not None else 0.0 for m in one.agg(*[F.try_divide(F.sum(f"sum_{i}"), F.sum("n")) for i in range(len(targets))]).first()]
+    stored = []
+    for means, label, more in ((means_of(cells, overall), "category-means", ""), (means_of_other_folds(cells, overall), "fold-means", "_fold int, ")):
+        to = new_folder(spark, label)
+        means.withColumnsRenamed({"fold": "_fold"}).write.partitionBy("feature").parquet(to)
+        stored.append(spark.read.schema(more + _means_schema(len(targets))).parquet(to))
     named = {c: [out] if len(targets) == 1 else [f"{out}_{i}" for i in range(len(targets))] for c, out in columns.items()}
-    return MeanEncoder(named, overall, spark.read.schema(_means_schema(len(targets))).parquet(path))
+    encoder = MeanEncoder(named, overall, stored[0])
+    return encoder, encoder._described(train, stored[1], "_fold").drop("_fold")
 
 
-def _fit(train: DataFrame, columns: dict[str, str], features, estimator, labels: StringIndexer | None = None) -> PipelineModel:
-    """``columns``: category column -> its name among the features.  ``labels`` turns a text label into classes;
+def _fit(train: DataFrame, columns: dict[str, str], features, estimator, key, labels: StringIndexer | None = None) -> PipelineModel:
+    """``key``: columns that name a training row.  ``columns``: category column -> its name among the features.  ``labels`` turns a text label into classes;
     then a category value is described by its share of rows in each class."""
     ensure_checkpoint_dir(train.sparkSession)
     stages, ready, targets, after = [], train, [F.col(estimator.getLabelCol())], []
@@ -135,10 +182,10 @@ def _fit(train: DataFrame, columns: dict[str, str], features, estimator, labels:
         stages, ready = [classes], classes.transform(train)
         targets = [(F.col(estimator.getLabelCol()) == i).cast("int") for i in range(len(classes.labels))]
         after = [IndexToString(inputCol="prediction", outputCol="predicted_label", labels=classes.labels)]
-    encoder = mean_encoder(ready, columns, targets)
+    encoder, described = mean_encoder(ready, columns, targets, key)
     means = dict(zip(columns.values(), encoder.columns.values()))
     vectors = assembler(n for f in features for n in means.get(f, [f]))
-    ready = vectors.transform(encoder.transform(ready)).select("features", estimator.getLabelCol())
+    ready = vectors.transform(described).select("features", estimator.getLabelCol())
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator.setCheckpointInterval(10).fit(ready)
@@ -150,25 +197,31 @@ def _fit(train: DataFrame, columns: dict[str, str], features, estimator, labels:
 def fit_demand_model(train: DataFrame, **settings) -> PipelineModel:
     options = {"maxBins": MAX_BINS, **fv.DEMAND_MODEL, "seed": fv.SEED, **settings}
     gbt = GBTRegressor(featuresCol="features", labelCol="units_ordered", **options)
-    return _fit(train, INDEXED, fv.DEMAND_FEATURES, gbt)
+    return _fit(train, INDEXED, fv.DEMAND_FEATURES, gbt, FOLD_KEYS["demand"])
 
 
-def fit_horizon_model(rows: DataFrame, horizon: str, **settings) -> PipelineModel:
+def fit_horizon_model(rows: DataFrame, horizon: str, grain=GRAIN, **settings) -> PipelineModel:
     """Regressor for the demand that :func:`forecast.horizon_table` has ``horizon`` ahead."""
     target = f"demand_in_{horizon}"
     options = {"maxBins": MAX_BINS, **fv.DEMAND_MODEL, "seed": fv.SEED, **settings}
     gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=f"predicted_{horizon}", **options)
-    names = {"platform": "platform_idx", "category": "category_idx"}
-    return _fit(rows.filter(F.col(target).isNotNull()), names, HORIZON_FEATURES, gbt)
+    names = {c: f"{c}_idx" for c in grain}
+    return _fit(rows.filter(F.col(target).isNotNull()), names, [*names.values(), *HORIZON_FEATURES], gbt, (*grain, "date"))
+
+
+def predict_horizons(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
+    """``predicted_<horizon>`` by each model."""
+    for model in models.values():
+        known = rows.columns
+        rows = model.transform(rows)
+        rows = rows.select(*known, *[c for c in rows.columns if c.startswith("predicted_") and c not in known])
+    return rows
 
 
 def forecast_horizons(rows: DataFrame, **settings) -> DataFrame:
     """Demand one and three days ahead, by one model per horizon fitted on the training months."""
     train, _ = time_split(rows)
-    for horizon in HORIZONS:
-        rows = fit_horizon_model(train, horizon, **settings).transform(rows).drop(
-            "platform_idx", "category_idx", "features")
-    return rows
+    return predict_horizons({h: fit_horizon_model(train, h, **settings) for h in HORIZONS}, rows)
 
 
 def fit_trend_model(train: DataFrame, **settings) -> PipelineModel:
@@ -176,7 +229,7 @@ def fit_trend_model(train: DataFrame, **settings) -> PipelineModel:
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", **options)
     label = StringIndexer(inputCol="trend_label", outputCol="label", handleInvalid="keep")
     names = {"platform": "platform_idx", "category": "category_idx"}
-    return _fit(train, names, fv.TREND_FEATURES, forest, label)
+    return _fit(train, names, fv.TREND_FEATURES, forest, FOLD_KEYS["trend"], label)
 
 
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
@@ -202,6 +255,11 @@ def classify_trends(model: PipelineModel, labels: DataFrame, location: str) -> D
         "predicted_label", F.lit(location).alias("location"))
 
 
+def predicted_trends(model: PipelineModel, labels: DataFrame) -> DataFrame:
+    """``labels`` with the predicted label as ``trend_label``, for rankings and records."""
+    return model.transform(labels).select(*[F.col("predicted_label").alias(c) if c == "trend_label" else c for c in labels.columns])
+
+
 def split_and_fit(rows: DataFrame, fit, **settings):
     """Model fitted on the training months, and its predictions for the test month."""
     train, test = time_split(rows)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfline import fixed_values as fv
+from shelfline.functions.joins import null_safe_join
 from shelfline.functions.numbers import RATING, col, exact_avg, round_half_up
 from shelfline.operators.trend import SERIES
 from shelfline.schema import PACK_KEY
@@ -35,7 +36,7 @@ def relative_score(value: Column | str, over) -> Column:
 
 def with_defaults(latest: DataFrame, availability: DataFrame) -> DataFrame:
     """Latest listings plus the recent availability of product and platform, defaults filled in."""
-    rows = latest.join(availability, list(SERIES), "left")
+    rows = null_safe_join(latest, availability, SERIES, "left")
     return rows.withColumns({
         "availability_rate_7d": F.coalesce("availability_rate_7d", F.lit(fv.DEFAULT_AVAILABILITY)),
         "in_stock": F.coalesce("in_stock", F.lit(True)),
@@ -171,7 +172,17 @@ def stockout_risk(df: DataFrame, latest: DataFrame, end: Column, hours: int = 16
                        & (F.col("snapshot_time") <= end))
     sold = recent.groupBy(*SERIES).agg(F.sum("units_ordered").alias("units"))
     stock = latest.groupBy(*SERIES).agg(F.sum("stock_remaining").alias("stock"))
-    rows = stock.join(sold, list(SERIES), "left").withColumn("units", F.coalesce("units", F.lit(0)))
+    rows = null_safe_join(stock, sold, SERIES, "left").withColumn("units", F.coalesce("units", F.lit(0)))
     cover = F.try_divide(F.col("stock") * F.lit(hours), F.col("units"))
     risk = F.when((F.col("stock") == 0) | (cover < limits[0]), "high").when(cover < limits[1], "medium").otherwise("low")
     return rows.withColumns({"hours_of_cover": cover, "stockout_risk": risk})
+
+
+def demand_alerts(latest: DataFrame, predicted: DataFrame, hours: int = fv.STOCKOUT_HOURS[0]) -> DataFrame:
+    """Products that are predicted to run out within ``hours``: stock of product and platform over the demand predicted
+    for the next day (``predicted_demand_index``).  Without a prediction only an empty stock gives an alert."""
+    stock = latest.groupBy(*SERIES).agg(F.sum("stock_remaining").alias("stock"))
+    rows = null_safe_join(stock, predicted.select(*SERIES, "predicted_demand_index"), SERIES, "left")
+    cover = F.try_divide(F.col("stock") * F.lit(24.0), F.col("predicted_demand_index"))
+    alert = F.coalesce((F.col("stock") <= 0) | (cover < hours), F.lit(False))
+    return rows.select(*SERIES, "stock", "predicted_demand_index", cover.alias("predicted_hours_of_cover"), alert.alias("demand_alert"))

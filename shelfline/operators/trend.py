@@ -77,13 +77,17 @@ def top_trending(labels: DataFrame, n: int = 5) -> DataFrame:
         *SERIES, "category", "date", "growth")
 
 
-def top_trending_by_category(labels: DataFrame, n: int = 10) -> DataFrame:
-    rows = latest_trends(labels).filter("trend_label = 'trending'")
+def ranked_trending(last: DataFrame, n: int = 10) -> DataFrame:
+    """The n fastest growing series of each category, of those whose last label is trending."""
     order = Window.partitionBy("category").orderBy(F.desc("growth"), *SERIES)
-    return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select(
+    return last.filter("trend_label = 'trending'").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select(
         "category", "rank", *SERIES, "date", "growth")
 
 
+def top_trending_by_category(labels: DataFrame, n: int = 10) -> DataFrame:
+    return ranked_trending(latest_trends(labels), n)
+
+
 def price_volatility(df: DataFrame, days: int = 7) -> DataFrame:
     """Standard deviation over mean of the daily average price, over calendar days."""
     daily = df.groupBy(*SERIES, day()).agg(exact_avg("effective_price", MONEY).alias("avg_price"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fv
-from shelfline.operators import forecast, latest, models, normalise, partials, quality, score, textjobs, trend
+from shelfline.operators import conformal, forecast, latest, models, normalise, partials, quality, score, textjobs, trend
 from shelfline.plans import refresh
 from shelfline.plans.refresh import Store
 from shelfline.schema import Feed
@@ -54,9 +54,11 @@ def load_recent(spark: SparkSession, store: Store, days: int, as_of: Column | No
 
 
 def train(spark: SparkSession, store: Store, location: str, demand: dict | None = None,
-          trends: dict | None = None) -> dict[str, dict]:
-    """Fits, evaluates, saves and applies both models.  Returns their test scores."""
-    rows = models.ml_features(load_unified(spark, store))
+          trends: dict | None = None, horizons: dict | None = None) -> dict[str, dict]:
+    """Fits, evaluates, saves and applies all models: demand of a listing, trends, and demand one and three days ahead, from
+    which the forecast records are made.  Returns their test scores."""
+    listings = load_unified(spark, store)
+    rows = models.ml_features(listings)
     demand_model, predicted = models.split_and_fit(rows, models.fit_demand_model, **(demand or {}))
     errors = forecast.forecast_errors(predicted, "units_ordered", "prediction").first()
     demand_model.write().overwrite().save(store.model("demand"))
@@ -69,7 +71,54 @@ def train(spark: SparkSession, store: Store, location: str, demand: dict | None
     trend_model.write().overwrite().save(store.model("trend"))
     zones.write_zone(models.classify_trends(trend_model, labels, location), store.curated("trend_labels"),
                      store.partitions, rebuild=True)
-    return {"demand": errors.asDict(), "trend": scores.asDict()}
+    last = zones.stored(trend.latest_trends(models.predicted_trends(trend_model, labels)), "last-trends")
+    zones.write_zone(trend.ranked_trending(last), store.curated("trending"), partitions=(), rebuild=True)
+
+    end = listings.agg(F.max("snapshot_time")).scalar()
+    ahead = train_horizons(store, rows, **(horizons or {}))
+    newest = latest.latest_snapshot(listings)
+    records = zones.stored(forecast.model_records(
+        spark.read.parquet(store.curated("horizon_predictions")), last, score.stockout_risk(listings, newest, end), end, location,
+        fv.DEMAND_MODEL_VERSION, HORIZON_GRAIN), "records")
+    zones.write_zone(records, store.curated("forecast_records"), partitions=(), rebuild=True)
+    zones.write_zone(score.demand_alerts(newest, _of_day(records)), store.curated("demand_alerts"), partitions=(), rebuild=True)
+    return {"demand": errors.asDict(), "trend": scores.asDict(), "horizons": ahead}
+
+
+HORIZON_GRAIN = ("product_name", "category", "platform")
+# A series' own errors, else those of its platform, else all.
+INTERVAL_LEVELS = {"series": HORIZON_GRAIN, "platform": ("platform",), "all": ()}
+
+
+def _of_day(records: DataFrame) -> DataFrame:
+    """Demand predicted for the next day, per product and platform."""
+    return records.filter(F.col("forecast_horizon_hours") == 24).groupBy("product_name", "platform").agg(
+        F.sum("predicted_demand_index").alias("predicted_demand_index"))
+
+
+def train_horizons(store: Store, rows: DataFrame, miss: float = conformal.MISS, **settings) -> dict[str, dict]:
+    """One model per horizon, fitted on the training months; bounds from its errors in the test month; both are saved, and
+    the predictions of all days with their bounds.
+
+    Returns per horizon the errors of the test month, and the share of days of all other months (neither fitted nor used for the
+    bounds) whose demand lay between the bounds."""
+    table = zones.stored(forecast.horizon_table(forecast.demand_series(rows, HORIZON_GRAIN), HORIZON_GRAIN), "horizons")
+    train, _ = forecast.time_split(table)
+    fitted = {h: models.fit_horizon_model(train, h, HORIZON_GRAIN, **settings) for h in forecast.HORIZONS}
+    for h, model in fitted.items():
+        model.write().overwrite().save(store.model(f"demand_{h}"))
+    ahead = zones.stored(forecast.long_predictions(models.predict_horizons(fitted, table)), "horizon-predictions")
+    held = ahead.filter((F.col("month") == fv.TEST_MONTH) & F.col("actual").isNotNull())
+    bounds = conformal.error_bounds(held.withColumn("error", F.col("actual") - F.col("predicted")), INTERVAL_LEVELS, ("horizon",), miss=miss)
+    bounds.write.mode("overwrite").parquet(store.model("horizon_bounds"))
+    bounds = rows.sparkSession.read.parquet(store.model("horizon_bounds"))
+    zones.write_zone(conformal.with_bounds(ahead, bounds, INTERVAL_LEVELS, ("horizon",)), store.curated("horizon_predictions"),
+                     partitions=(), rebuild=True)
+    done = rows.sparkSession.read.parquet(store.curated("horizon_predictions"))
+    others = conformal.coverage(done.filter(~F.col("month").isin(*fv.TRAIN_MONTHS, fv.TEST_MONTH)), "actual", ("horizon",)).collect()
+    covered = {r["horizon"]: r["coverage"] for r in others}
+    return {h: {**forecast.forecast_errors(held.filter(F.col("horizon") == h), "actual", "predicted").first().asDict(),
+                "coverage": covered.get(h)} for h in fitted}
 
 
 def compare(spark: SparkSession, store: Store, sliders=fv.DEFAULT_WEIGHTS, as_of: Column | None = None) -> None:

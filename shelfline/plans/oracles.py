@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from shelfline import fixed_values as fv
 from shelfline.operators.forecast import BASELINE_VERSION
+from shelfline.operators.models import FOLDS, INDEXED, PRIOR_ROWS
 from shelfline.operators.textjobs import intent_expressions
 from shelfline.plans.queries import PROFILES
 from shelfline.schema import CANONICAL
@@ -650,6 +651,20 @@ spread AS (SELECT category, platform, quantile_cont(demand - naive_24h, 0.05) AS
 SELECT category, platform, date, demand, naive_24h AS predicted, {rnd('naive_24h + low')} AS confidence_lower,
   {rnd('naive_24h + high')} AS confidence_upper FROM naive JOIN spread USING (category, platform)
 WHERE naive_24h IS NOT NULL""")
+add("conformal_interval", NAIVE + f""",
+held AS (SELECT *, demand - naive_24h AS error FROM naive WHERE naive_24h IS NOT NULL AND month(date) = {fv.TEST_MONTH}),
+sorted AS (SELECT 'series' AS level, category, platform, list_sort(list(error)) AS e FROM held GROUP BY 2, 3
+  UNION ALL SELECT 'platform', NULL, platform, list_sort(list(error)) FROM held GROUP BY 3
+  UNION ALL SELECT 'all', NULL, NULL, list_sort(list(error)) FROM held HAVING count(*) > 0),
+-- Of n errors those at ranks floor((n + 1) / 20) and ceil(19 (n + 1) / 20).
+bounds AS (SELECT level, category, platform, e[(len(e) + 1) // 20] AS low, e[(19 * (len(e) + 1) + 19) // 20] AS high
+  FROM sorted WHERE len(e) >= 19)""", """
+SELECT n.category, n.platform, n.date, n.demand, CAST(naive_24h AS DOUBLE) AS predicted,
+  greatest(0e0, naive_24h + coalesce(s.low, p.low, a.low)) AS confidence_lower,
+  greatest(0e0, naive_24h + coalesce(s.high, p.high, a.high)) AS confidence_upper, coalesce(s.level, p.level, a.level) AS interval_level
+FROM naive n LEFT JOIN bounds s ON s.level = 'series' AND s.category = n.category AND s.platform = n.platform
+LEFT JOIN bounds p ON p.level = 'platform' AND p.platform = n.platform LEFT JOIN bounds a ON a.level = 'all'
+WHERE naive_24h IS NOT NULL""")
 _TREND_CTES = TRENDING[len(LISTINGS):]
 add("forecast_record", LATEST + _TREND_CTES + f""",
 errors AS (SELECT category, platform, daily_demand - avg(daily_demand) OVER (PARTITION BY product_name, platform ORDER BY date
@@ -676,3 +691,20 @@ per AS (SELECT label, (SELECT count(*) FROM base WHERE trend_label = label) AS a
   (SELECT count(*) FROM base WHERE predicted = label AND trend_label = label) AS h FROM names)""", f"""
 SELECT {rnd('CAST(sum(h) AS DOUBLE) / sum(a)')} AS accuracy,
   {rnd('sum(CAST(2 * h AS DOUBLE) / (a + p) * a) / sum(a)')} AS weighted_f1, CAST(sum(a) AS BIGINT) AS n FROM per""")
+
+# --- models -------------------------------------------------------------------------------
+
+_CATEGORIES = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value, fold, units_ordered FROM train" for c in INDEXED)
+add("category_means", ENRICHED + f""",
+train AS (SELECT *, CAST(CAST('0x' || substr(md5(record_id), 1, 8) AS BIGINT) % {FOLDS} AS INTEGER) AS fold
+  FROM rich WHERE month IN {fv.TRAIN_MONTHS}),
+overall AS (SELECT avg(units_ordered) AS mean FROM train),
+cells AS (SELECT feature, value, fold, count(*) AS n, sum(units_ordered) AS units FROM ({_CATEGORIES}) GROUP BY 1, 2, 3),
+rest AS (SELECT feature, value, fold, sum(n) OVER w - n AS n, sum(units) OVER w - units AS units FROM cells
+  WINDOW w AS (PARTITION BY feature, value))""", f"""
+SELECT feature, value, fold, {rnd(f'(units + {PRIOR_ROWS} * mean) / (n + {PRIOR_ROWS})', 6)} AS mean_of_others FROM rest, overall""")
+add("demand_alert", LATEST + _TREND_CTES + "," + _COVER, f"""
+SELECT product_name, platform, stock, {rnd('rolling_avg_7d')} AS predicted_demand_index,
+  {rnd('stock * 24e0 / nullif(rolling_avg_7d, 0)')} AS predicted_hours_of_cover,
+  coalesce(stock <= 0 OR stock * 24e0 / nullif(rolling_avg_7d, 0) < {fv.STOCKOUT_HOURS[0]}, false) AS demand_alert
+FROM stock LEFT JOIN (SELECT * FROM last_day WHERE nr = 1) t USING (product_name, platform)""")

@@ -11,6 +11,7 @@ from shelfline import fixed_values as fv
 from shelfline.functions import listing as L
 from shelfline.functions.numbers import round_half_up
 from shelfline.operators import aggregate as A
+from shelfline.operators import conformal as CF
 from shelfline.operators import enrich as E
 from shelfline.operators import forecast as FC
 from shelfline.operators import latest as LT
@@ -22,6 +23,7 @@ from shelfline.operators import score as S
 from shelfline.operators import textjobs as X
 from shelfline.operators import trend as TR
 from shelfline.operators import usage as U
+from shelfline.plans import jobs as J
 from shelfline.plans import refresh as RF
 from shelfline.plans.refresh import Store
 from shelfline.session import new_folder
@@ -756,6 +758,46 @@ def indexed_features(spark, sf):
     return rows.select("record_id", *M.INDEXED.values(), F.size(vector_to_array("features")).alias("n_features"))
 
 
+@query
+def category_means(spark, sf):
+    """What the regressor sees of a category value: the mean target of the other folds' training rows."""
+    train = FC.time_split(M.ml_features(T.unified_listings(spark, sf)))[0]
+    target = F.col("units_ordered")
+    cells = Z.stored(M.category_cells(train, M.INDEXED, M.fold_of(M.FOLD_KEYS["demand"]), [target]), "category-cells")
+    overall = train.agg(F.avg(target)).first()[0] or 0.0
+    return _rounded(M.means_of_other_folds(cells, [overall]).withColumnRenamed("mean_0", "mean_of_others"), "mean_of_others", places=6)
+
+
+@query
+def conformal_interval(spark, sf):
+    """Yesterday's demand as the forecast, bounds from its errors in the test month."""
+    ahead = FC.naive_forecast(_series(spark, sf)).filter("naive_24h IS NOT NULL").withColumn("month", F.month("date"))
+    ahead = Z.stored(ahead.withColumn("predicted", F.col("naive_24h").cast("double")), "naive")
+    held = ahead.filter(F.col("month") == fv.TEST_MONTH).withColumn("error", F.col("demand") - F.col("predicted"))
+    levels = {"series": FC.GRAIN, "platform": ("platform",), "all": ()}
+    return CF.with_bounds(ahead, Z.stored(CF.error_bounds(held, levels), "bounds"), levels).select(
+        *FC.GRAIN, "date", "demand", "predicted", "confidence_lower", "confidence_upper", "interval_level")
+
+
+@query
+def demand_alert(spark, sf):
+    """Stock against the mean demand of the last seven rows."""
+    rows = T.listings(spark, sf)
+    trends = TR.latest_trends(TR.trend_labels(rows)).withColumn("predicted_demand_index", F.col("rolling_avg_7d"))
+    return _rounded(S.demand_alerts(LT.latest_snapshot(rows), trends), "predicted_demand_index", "predicted_hours_of_cover")
+
+
+@query
+def forecast_record_model(spark, sf):
+    """Forecast records of the horizon models, with intervals from the test month."""
+    store = Store(new_folder(spark, "trained"))
+    rows = M.ml_features(T.unified_listings(spark, sf))
+    J.train_horizons(store, rows)
+    end, newest = TR.latest_time(rows), LT.latest_snapshot(rows)
+    return FC.model_records(spark.read.parquet(store.curated("horizon_predictions")), TR.latest_trends(TR.trend_labels(rows)),
+                            S.stockout_risk(rows, newest, end), end, T.LOCATION, fv.DEMAND_MODEL_VERSION, J.HORIZON_GRAIN)
+
+
 @query
 def demand_forecast(spark, sf):
     rows = M.ml_features(T.unified_listings(spark, sf))

@@ -129,7 +129,7 @@ def test_answers(spark, store):
 
 def test_models_fit_save_and_score(spark, store):
     out, _, _ = store
-    scores = jobs.train(spark, out, T.LOCATION, demand={"maxIter": 2}, trends={"numTrees": 3})
+    scores = jobs.train(spark, out, T.LOCATION, demand={"maxIter": 2}, trends={"numTrees": 3}, horizons={"maxIter": 2})
     assert scores["demand"]["mape"] > 0 and 0 <= scores["trend"]["accuracy"] <= 1
     forecasts = spark.read.parquet(out.curated("demand_forecasts"))
     rows = M.ml_features(jobs.load_unified(spark, out))
@@ -164,8 +164,8 @@ def test_models_of_ten_thousand_products(spark, listing, tmp_path):
         assert out.count() == 20_000 and out.agg(F.max(F.abs(F.col("prediction") - F.col("units_ordered")))).first()[0] < 0.5
     unseen = back.transform(M.ml_features(listing(dict(product_name="new"), dict(product_name=None))))
     assert unseen.count() == 2
-    labels = spark.range(20_000).selectExpr(
-        "'alpha' AS platform", "concat('c', id % 10000) AS category", "4 AS month", "1.0D AS daily_demand", "1.0D AS daily_avg_price",
+    labels = spark.range(20_000).selectExpr(  # rows of trends have a product and a day; their folds hang on these
+        "'alpha' AS platform", "'p' AS product_name", "date_add(date'2024-04-01', cast(id AS int)) AS date", "concat('c', id % 10000) AS category", "4 AS month", "1.0D AS daily_demand", "1.0D AS daily_avg_price",
         "1.0D AS rolling_avg_7d", "CASE id % 2 WHEN 0 THEN 'stable' ELSE 'trending' END AS trend_label")
     trends = M.save_and_reload(M.fit_trend_model(labels, numTrees=5, maxDepth=3), str(tmp_path / "trend"))
     assert trends.transform(labels).filter("predicted_label = trend_label").count() == 20_000
@@ -176,3 +176,30 @@ def test_bins_do_not_follow_the_catalogue(spark, listing):
         df = M.ml_features(listing(*[dict(product_name=f"p{i % products}", units_ordered=i % 5) for i in range(600)]))
         assert M.fit_demand_model(df, maxIter=1, maxDepth=1).stages[-1].getOrDefault("maxBins") == M.MAX_BINS
     assert M.fit_demand_model(df, maxIter=1, maxDepth=1, maxBins=40).stages[-1].getOrDefault("maxBins") == 40
+
+
+def test_no_row_sees_its_own_target(spark):
+    """Unique categories and a random target: nothing to learn, so the means of the other folds must not tell the target."""
+    rows = spark.range(2000).selectExpr("concat('r', id) AS record_id", "concat('c', id) AS own", "concat('g', id % 4) AS four",
+                                        "pmod(xxhash64(id), 1000) / 10.0 AS y")
+    encoder, train = M.mean_encoder(rows, {"own": "own_mean", "four": "four_mean"}, [F.col("y")], ("record_id",))
+    assert train.count() == 2000 and train.columns == [*rows.columns, "own_mean", "four_mean"]
+    spread = train.agg(F.stddev("own_mean"), F.corr("own_mean", "y"), F.corr("four_mean", "y")).first()
+    assert spread[0] < 1e-9 or abs(spread[1]) < 0.05  # 1.0 with the means of all rows
+    assert abs(spread[2]) < 0.1
+    scored = encoder.transform(rows)  # outside training a value has the mean of all its rows
+    assert scored.agg(F.corr("own_mean", "y")).first()[0] > 0.999
+
+
+def test_means_of_other_folds(spark):
+    data = [(f"r{i}", f"c{i % 3}" if i % 7 else None, float(i % 11), i % 2) for i in range(100)]
+    rows = spark.createDataFrame(data, "record_id string, c string, y double, z int")
+    encoder, train = M.mean_encoder(rows, {"c": "m"}, [F.col("y"), F.col("z")], ("record_id",))
+    folds = dict(rows.select("record_id", M.fold_of(["record_id"])).collect())
+    assert set(folds.values()) == set(range(M.FOLDS))
+    overall = [sum(r[k] for r in data) / 100 for k in (2, 3)]
+    got = {r.record_id: (r.m_0, r.m_1) for r in train.collect()}
+    for i, c, _, _ in data:
+        others = [r for r in data if r[1] == c and folds[r[0]] != folds[i]]
+        want = [(sum(r[k] for r in others) + M.PRIOR_ROWS * o) / (len(others) + M.PRIOR_ROWS) for k, o in zip((2, 3), overall)]
+        assert got[i] == pytest.approx(want)
