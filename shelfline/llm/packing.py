@@ -19,13 +19,14 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from shelfline.llm.common import batches, no_collector, rows_of, small_batches, spread_join, stored, whole_text
-from shelfline.llm.word_bpe import VOCABULARY, chunks, encoder
+from shelfline.llm.word_bpe import VOCABULARY, Chunks, WordBPE, encoder
 
 SEQUENCE_TOKENS = 2048
 WINDOW_SEQUENCES = 64
@@ -35,6 +36,8 @@ BLOCK_DOCS = 20_000
 # Windows whose totals one task adds up.
 WINDOW_BLOCK = 1024
 CACHE_CHUNKS = 700_000
+# Text whose words are put into one dictionary.
+SLICE_BYTES = 4_000_000
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("doc_tokens", pa.int64()),
                      ("tokens", pa.binary())])
@@ -43,6 +46,49 @@ def _width(path: str) -> str:
     return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 65536 else "<u4"
 
 
+def _gathered(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to at least ``SLICE_BYTES`` of text, so that a word is looked up for many texts at once."""
+    held, size = [], 0
+    for batch in iterator:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+        if size >= SLICE_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about ``SLICE_BYTES`` of text; a longer text is a slice of its own."""
+    size, at = 0, 0
+    for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+        if size and size + n > SLICE_BYTES:
+            yield batch.slice(at, i - at)
+            size, at = 0, i
+        size += n
+    if at < len(batch):
+        yield batch.slice(at)
+
+
+def _encoded(texts: pa.Array, bpe: WordBPE, encoded: Chunks, width: str) -> list[bytes]:
+    """Ids of every text.  The words of all texts become numbers of a dictionary, only its entries are encoded, and the
+    ids are gathered by these numbers."""
+    words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+    numbered = words.flatten().dictionary_encode()
+    entries = numbered.dictionary.to_pylist()
+    bpe.learn([w for w in entries if w not in encoded])
+    known = [encoded[w] if w else b"" for w in entries]
+    length = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    ids = np.frombuffer(b"".join(known), "<i4").astype(width)
+    word = numbered.indices.to_numpy(zero_copy_only=False)
+    ends = np.cumsum(length[word])
+    first = (np.cumsum(length) - length)[word] - (ends - length[word])
+    out = ids[np.repeat(first, length[word]) + np.arange(ends[-1] if len(ends) else 0)]
+    cuts = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+    return [out[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
+
+
 def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """``doc_id``, ``source``, ``doc_tokens`` and ``tokens`` (bytes) of every document, the end id last."""
     small_batches(docs.sparkSession)
@@ -50,16 +96,15 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     step = int(width[-1])
 
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, encoded = encoder(path, CACHE_CHUNKS)
-        end = np.array([end_id], "<i4").tobytes()
+        bpe, encoded = encoder(path, CACHE_CHUNKS)
+        end = np.array([end_id], width).tobytes()
         with no_collector():
-            for doc_ids, sources, texts in rows_of(iterator, "doc_id", "source", "text"):
-                tokens = []
-                for text in texts:
-                    ids = b"".join(map(encoded.__getitem__, chunks(text))) + end
+            for batch in _gathered(iterator):
+                for rows in _slices(batch):
+                    tokens = [t + end for t in _encoded(rows.column("text"), bpe, encoded, width)]
                     encoded.trim()
-                    tokens.append(np.frombuffer(ids, "<i4").astype(width).tobytes())
-                yield batches(_TOKENS.names, [doc_ids, sources, [len(t) // step for t in tokens], tokens], _TOKENS)
+                    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("source"), pa.array([len(t) // step for t in tokens], pa.int64()),
+                                                      pa.array(tokens, pa.binary())], schema=_TOKENS)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        whole_text().alias("text"))

@@ -32,6 +32,9 @@ VOCABULARY = "word_bpe_49k.json"
 SCAN_LIMIT = 96
 CACHE_CHUNKS = 400_000
 LONGEST_CACHED = 64
+# Words that are merged as rows of one matrix: so many letters, so many words.
+LONGEST_LEARNED = 24
+MERGED_TOGETHER = 2048
 # Characters that str.split() takes as white space and the vocabulary's splitter does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _OTHER_SPLIT = re.compile("[ \t\n\r\x0b\x0c]+")
@@ -74,6 +77,7 @@ class WordBPE:
         library = Tokenizer.from_file(path)
         self._normal, self._split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self._words: dict[str, bytes] = {}
+        self._sorted: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     # -- merging ---------------------------------------------------------------------------
     def merge(self, word: str) -> list[str]:
@@ -132,6 +136,82 @@ class WordBPE:
                 self._words[word] = ids
         return ids
 
+    # -- many words at once ------------------------------------------------------------------
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merges as sorted whole numbers (left id, right id), their ranks, and the id that each rank makes."""
+        if self._sorted is None:
+            keys = np.array([(self.ids[a] << 32) | self.ids[b] for a, b in self.ranks], np.int64)
+            ranks = np.fromiter(self.ranks.values(), np.int64, len(keys))
+            made = np.empty(len(keys) + 1, np.int64)
+            made[ranks] = [self.ids[a + b] for a, b in self.ranks]
+            order = np.argsort(keys)
+            self._sorted = np.append(keys[order], np.iinfo(np.int64).max), np.append(ranks[order], len(keys)), made
+        return self._sorted
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys, ranks, _ = self._pairs()
+        key = (left << 32) | right
+        at = np.searchsorted(keys, key)
+        return np.where((keys[at] == key) & (left >= 0) & (right >= 0), ranks[at], len(self.ranks))
+
+    def merge_many(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are not empty, little-endian 32-bit integers; words of about one length are merged together."""
+        order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable").tolist()
+        out = [b""] * len(words)
+        for at in range(0, len(order), MERGED_TOGETHER):
+            part = order[at:at + MERGED_TOGETHER]
+            for i, ids in zip(part, self._merge_rows([words[i] for i in part])):
+                out[i] = ids
+        return out
+
+    def _merge_rows(self, words: list[str]) -> list[bytes]:
+        """The rank arrays of the words are the rows of a matrix, and every round deletes in each row the boundary of its leftmost smallest rank and refreshes the two ranks beside it."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        parts = np.full((len(words), size.max(initial=1)), -1, np.int64)
+        numbers = self.ids
+        flat = np.array([numbers[c] for w in words for c in w[:-1]] or [], np.int64)
+        row = np.repeat(np.arange(len(words)), size - 1)
+        parts[row, np.arange(len(flat)) - np.repeat(np.cumsum(size - 1) - (size - 1), size - 1)] = flat
+        parts[np.arange(len(words)), size - 1] = [numbers[w[-1] + self.end] for w in words]
+        ranks = self._ranks_of(parts[:, :-1], parts[:, 1:])
+        none, made = len(self.ranks), self._pairs()[2]
+        live, done = np.arange(len(words)), parts.copy()
+        place = np.arange(parts.shape[1])
+        while len(live) and ranks.shape[1]:
+            at = ranks.argmin(1)
+            least = ranks[np.arange(len(live)), at]
+            ended = least == none
+            done[live[ended]] = parts[ended]
+            live, parts, ranks, at, least = (x[~ended] for x in (live, parts, ranks, at, least))
+            if not len(live):
+                break
+            parts[np.arange(len(live)), at] = made[least]
+            move = place[:-1] + (place[:-1] > at[:, None])  # all places behind the deleted boundary move up by one
+            parts[:, :-1] = np.take_along_axis(parts, move, 1)
+            parts[:, -1] = -1
+            ranks[:, :-1] = np.take_along_axis(ranks, place[:-2] + (place[:-2] >= at[:, None]), 1)
+            ranks[:, -1] = none
+            i = np.arange(len(live))
+            ranks[i, at] = self._ranks_of(parts[i, at], parts[i, at + 1])
+            i, at = i[at > 0], at[at > 0]
+            ranks[i, at - 1] = self._ranks_of(parts[i, at - 1], parts[i, at])
+        kept = done >= 0
+        ends = np.cumsum(kept.sum(1)) * 4
+        data = done[kept].astype("<i4").tobytes()
+        return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def learn(self, new_chunks: list[str]) -> None:
+        """Puts the short words of chunks of visible Latin-1 text into the store of words, merging them together."""
+        words = set()
+        for chunk in new_chunks:
+            if _LATIN.fullmatch(chunk):
+                words.update(_LATIN_WORDS.findall(chunk.lower()))
+        names = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES) for w in words]
+        names = [w for w in names if w not in self._words and len(w) <= LONGEST_LEARNED]
+        if len(self._words) + len(names) > CACHE_CHUNKS:
+            self._words.clear()
+        self._words.update(zip(names, self.merge_many(names)))
+
     # -- chunks and texts -------------------------------------------------------------------
     def chunk_ids(self, chunk: str) -> bytes:
         """Ids of text without ASCII white space; an added token is found before normalising."""

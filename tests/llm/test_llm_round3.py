@@ -260,3 +260,26 @@ def test_queries_cover_their_tables(spark, sf_dir):
     groups = plain_groups([(i, j) for i, p in prints.items() for j, q in prints.items() if (p ^ q).bit_count() <= 4], docs)
     got = QUERIES["op11_simhash"](spark, sf_dir).collect()
     assert {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in got} == {(i, f"{prints[i]:016x}", groups[i]) for i in docs}
+
+
+# -- words merged together -------------------------------------------------------------------------
+
+def test_words_merged_together_and_texts_by_dictionary():
+    """Rank arrays as rows of a matrix give the merges of the single ones; texts encoded through a dictionary of their words, too."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from shelfline.llm import packing, word_bpe
+
+    bpe, encoded = word_bpe.encoder(public_tokenizers.path(word_bpe.VOCABULARY))
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choice("etaoinshrdlu" if rng.random() < .8 else "xyz0!é")[0] for _ in range(rng.randrange(1, 24))) for _ in range(3000)})
+    words = [w for w in words if w.isascii()] + ["a", "the", "a" * 24]
+    got = [np.frombuffer(x, "<i4").tolist() for x in bpe.merge_many(words)]
+    assert got == [[bpe.ids[t] for t in bpe.merge(w)] for w in words] and bpe.merge_many([]) == []
+    texts = ["", " ", "a\x1cb \x1f c", "  lead\t\ntrail  ", "x" * 300 + " é你好 ß'll " * 50, "<|endoftext|> 'll", " ".join(words)]
+    rows = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    whole = packing._encoded(rows.column("text"), bpe, encoded, "<u2")
+    assert [np.frombuffer(x, "<u2").tolist() for x in whole] == [bpe.encode(t) for t in texts]
+    assert packing._encoded(rows.column("text").slice(3), bpe, encoded, "<u2") == whole[3:]
+    assert [len(b) for b in packing._slices(rows)] == [7] and [len(b) for b in packing._gathered([rows, rows.slice(2)])] == [12]
