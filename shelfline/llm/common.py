@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +56,22 @@ def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], spread: str
     return left.join(right, condition, how).drop("_salt", "_right_salt", *names.values())
 
 
+# Rows of a side that is broadcast on purpose; rows of ids and digests have under 100 bytes.
+MOST_BROADCAST = 400_000
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """A stored table of ids, to be broadcast if counting shows it to be small; beyond that the join shuffles."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
+def with_plain_names(docs: DataFrame, known: Iterable[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)``, which keeps the columns of ``docs``, while those that it does not know have names of no meaning:
+    whatever a caller's column is called, it meets no column that ``work`` adds."""
+    plain = docs.toDF(*[c if c in known else f"extra{i}" for i, c in enumerate(docs.columns)])
+    return work(plain).toDF(*docs.columns)
+
+
 def batches(names: list[str], columns: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, schema.field(n).type) for n, c in zip(names, columns)],
                                       schema=schema)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfline.llm.common import SPACE_CLASS, spread_join, stored, whole_text
+from shelfline.llm.common import SPACE_CLASS, if_small, spread_join, stored, whole_text, with_plain_names
 from shelfline.session import new_folder
 
 HASH_BITS = 64
@@ -111,11 +111,16 @@ def exact_groups(docs: DataFrame, bits: int = HASH_BITS, capacity: int = CAPACIT
 
 def one_per_text(docs: DataFrame, bits: int = HASH_BITS, capacity: int = CAPACITY) -> DataFrame:
     """Rows of ``docs``, all columns, that ``exact_groups`` keeps.  Of rows that repeat the kept id and its text one stays."""
+    return with_plain_names(docs, ("doc_id", "text"), lambda rows: _one_per_text(rows, bits, capacity))
+
+
+def _one_per_text(docs: DataFrame, bits: int, capacity: int) -> DataFrame:
     groups = exact_groups(docs, bits, capacity)
     dropped = stored(groups.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("keep_id").alias("_keep"),
-                                                      F.col("text_sha256").alias("_print")), "copies")
-    rows = docs.withColumn("_sha", F.sha2(normalised(), 256))
-    others = dropped.filter("NOT _id <=> _keep").select("_id", "_print").distinct()
+                                                      F.unhex("text_sha256").alias("_print")), "copies")
+    rows = docs.withColumn("_sha", F.unhex(F.sha2(normalised(), 256)))
+    # Whole texts are shuffled only where the ids of the copies are too many to be sent to them.
+    others = if_small(stored(dropped.filter("NOT _id <=> _keep").select("_id", "_print").distinct(), "other-copies"))
     rows = rows.join(others, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_print")), "left_anti")
     repeated = dropped.filter("_id <=> _keep").select("_id", "_print").distinct()
     if repeated.isEmpty():

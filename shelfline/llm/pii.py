@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import whole_text
+from shelfline.llm.common import whole_text, with_plain_names
 from shelfline.llm.quality_rules import let
 
 # Kinds in the order of the contract.  A match may begin where the last one ended (\G) or where no run of its characters is under way.
@@ -275,6 +275,10 @@ def redacted(docs: DataFrame, model: Trees | None = None) -> DataFrame:
     def finish(state):
         return F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
 
+    return with_plain_names(docs, ("doc_id", "text", "n_chars"), lambda rows: _replaced(rows, model, start, step, finish))
+
+
+def _replaced(docs: DataFrame, model: Trees | None, start: Column, step, finish) -> DataFrame:
     rows = with_spans(docs, model)
     new = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, finish)).otherwise(F.col("text"))
     rows = rows.withColumn("text", new)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from shelfline.llm.common import small_batches, stored
+from shelfline.llm.common import small_batches, stored, with_plain_names
 
 SHRINKAGE = 0.1
 # Bins and reach of the histogram that calibrates the difference of log densities.
@@ -195,4 +195,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 3, remaind
 def accepted(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1) -> DataFrame:
     """Rows of ``docs``, all columns, that the classifier does not reject."""
     model = train(docs, labels, modulus, remainder)
-    return score(docs, model, "_score").filter("_score >= 0.5").drop("_score")
+    return with_plain_names(docs, ("doc_id", "text"), lambda rows: score(rows, model, "_score").filter("_score >= 0.5").drop("_score"))

@@ -26,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import batches, connected, no_collector, rows_of, small_batches, spread_join, stored, whole_text
+from shelfline.llm.common import (batches, connected, if_small, no_collector, rows_of, small_batches, spread_join, stored,
+                                  whole_text, with_plain_names)
 
 WORDS = 5
 # Similarity as a fraction of whole numbers.
@@ -381,6 +382,9 @@ def similar_components(docs: DataFrame, width: int = WORDS, link=LINK) -> DataFr
 
 def one_per_component(docs: DataFrame, width: int = WORDS, link=LINK) -> DataFrame:
     """Rows of ``docs``, all columns, less those whose id is not the smallest of its component."""
-    parts = similar_components(docs, width, link)
-    dropped = stored(parts.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct(), "near-copies")
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    def kept(rows: DataFrame) -> DataFrame:
+        parts = similar_components(rows, width, link)
+        dropped = stored(parts.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct(), "near-copies")
+        return rows.join(if_small(dropped), F.col("doc_id") == F.col("_dropped"), "left_anti")
+
+    return with_plain_names(docs, ("doc_id", "text"), kept)

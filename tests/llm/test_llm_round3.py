@@ -283,3 +283,34 @@ def test_words_merged_together_and_texts_by_dictionary():
     assert [np.frombuffer(x, "<u2").tolist() for x in whole] == [bpe.encode(t) for t in texts]
     assert packing._encoded(rows.column("text").slice(3), bpe, encoded, "<u2") == whole[3:]
     assert [len(b) for b in packing._slices(rows)] == [7] and [len(b) for b in packing._gathered([rows, rows.slice(2)])] == [12]
+
+
+def test_stages_keep_columns_of_any_name(spark, monkeypatch):
+    """Columns called as the stages call their own; with ids sent to the texts, and with a shuffle."""
+    import corpus_pipeline
+
+    from shelfline.llm import common
+
+    names = ["_x", "_score", "_id", "_print", "_sha", "_dropped", "_spans", "_keep", "_c", "extra2", "kept"]
+    base = prose(1, 120)
+    texts = [base, base, base + "  ", base.replace(base.split()[60], "other", 1), prose(2, 80), None, "mail a.b@example.com now " + prose(3, 40)]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int")
+    from shelfline.llm import exact_dedup, pii, quality_classifier, shingle_join
+
+    for most in (common.MOST_BROADCAST, 0):
+        monkeypatch.setattr(common, "MOST_BROADCAST", most)
+        for stage, ids in ((exact_dedup.one_per_text, {0, 2, 3, 4, 5, 6}), (shingle_join.one_per_component, {0, 4, 5, 6}), (pii.redacted, set(range(7))),
+                           (lambda d: quality_classifier.accepted(d, labels), None)):
+            out = stage(docs)
+            found = {r["doc_id"]: r for r in out.collect()}
+            assert out.columns == docs.columns and (ids is None or found.keys() == ids)
+            assert all(r[n] == f"{n}{i}" for i, r in found.items() for n in names)
+    assert "[EMAIL]" in found_text(pii.redacted(docs), 6)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_copies", "near_copies", "personal_data", "packing"]
+
+
+def found_text(df, i):
+    return {r["doc_id"]: r["text"] for r in df.collect()}[i]
