@@ -35,9 +35,9 @@ END_ID = 1
 BLOCK_DOCS = 20_000
 # Windows whose totals one task adds up.
 WINDOW_BLOCK = 1024
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS = 500_000
 # Text whose words are put into one dictionary.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 3_000_000
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("doc_tokens", pa.int64()),
                      ("tokens", pa.binary())])
@@ -77,14 +77,14 @@ def _encoded(texts: pa.Array, bpe: WordBPE, encoded: Chunks, width: str) -> list
     words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     numbered = words.flatten().dictionary_encode()
     entries = numbered.dictionary.to_pylist()
-    bpe.learn([w for w in entries if w not in encoded])
+    bpe.learn(entries, encoded)
     known = [encoded[w] if w else b"" for w in entries]
     length = np.fromiter(map(len, known), np.int64, len(known)) // 4
     ids = np.frombuffer(b"".join(known), "<i4").astype(width)
     word = numbered.indices.to_numpy(zero_copy_only=False)
     ends = np.cumsum(length[word])
-    first = (np.cumsum(length) - length)[word] - (ends - length[word])
-    out = ids[np.repeat(first, length[word]) + np.arange(ends[-1] if len(ends) else 0)]
+    first = ((np.cumsum(length) - length)[word] - (ends - length[word])).astype(np.int32)  # far fewer ids than 2^31 a slice
+    out = ids[np.repeat(first, length[word]) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
     cuts = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
     return [out[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
 

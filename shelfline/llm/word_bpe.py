@@ -200,17 +200,31 @@ class WordBPE:
         data = done[kept].astype("<i4").tobytes()
         return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
-    def learn(self, new_chunks: list[str]) -> None:
-        """Puts the short words of chunks of visible Latin-1 text into the store of words, merging them together."""
-        words = set()
-        for chunk in new_chunks:
-            if _LATIN.fullmatch(chunk):
-                words.update(_LATIN_WORDS.findall(chunk.lower()))
-        names = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES) for w in words]
-        names = [w for w in names if w not in self._words and len(w) <= LONGEST_LEARNED]
-        if len(self._words) + len(names) > CACHE_CHUNKS:
-            self._words.clear()
-        self._words.update(zip(names, self.merge_many(names)))
+    def learn(self, chunks: list[str], known: Chunks) -> None:
+        """Puts the ids of new chunks of visible Latin-1 text into ``known``; their new words are merged together."""
+        split, store, ids = [], self._words, {}
+        for chunk in chunks:
+            if chunk in known:
+                continue
+            if chunk.isascii() and chunk.isalpha():  # one word, without the splitting pattern
+                split.append((chunk, [chunk.lower()]))
+            elif _LATIN.fullmatch(chunk) and "<|" not in chunk:
+                split.append((chunk, _LATIN_WORDS.findall(chunk.lower())))
+        names = {w: w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES) for _, words in split for w in words}
+        fresh = [(w, name) for w, name in names.items() if name not in store and len(name) <= LONGEST_LEARNED]
+        merged = self.merge_many([name for _, name in fresh])
+        for w, name in names.items():
+            if name in store:
+                ids[w] = store[name]
+        if len(store) + len(fresh) > CACHE_CHUNKS:
+            store.clear()
+        for (w, name), data in zip(fresh, merged):
+            ids[w] = store[name] = data
+        for w, name in names.items():
+            if w not in ids:
+                ids[w] = self._word(name)
+        for chunk, words in split:
+            known.put(chunk, ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words]))
 
     # -- chunks and texts -------------------------------------------------------------------
     def chunk_ids(self, chunk: str) -> bytes:
@@ -253,7 +267,9 @@ class Chunks(dict):
         self.make, self.most, self.long = make, most, 0
 
     def __missing__(self, chunk):
-        value = self.make(chunk)
+        return self.put(chunk, self.make(chunk))
+
+    def put(self, chunk, value):
         self[chunk] = value
         self.long += len(chunk) if len(chunk) > LONGEST_CACHED else 0
         return value
