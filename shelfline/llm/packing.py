@@ -79,6 +79,7 @@ def _encoded(texts: pa.Array, bpe: WordBPE, encoded: Chunks, width: str) -> list
     entries = numbered.dictionary.to_pylist()
     bpe.learn(entries, encoded)
     known = [encoded[w] if w else b"" for w in entries]
+    encoded.trim(entries)
     length = np.fromiter(map(len, known), np.int64, len(known)) // 4
     ids = np.frombuffer(b"".join(known), "<i4").astype(width)
     word = numbered.indices.to_numpy(zero_copy_only=False)
@@ -102,7 +103,6 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             for batch in _gathered(iterator):
                 for rows in _slices(batch):
                     tokens = [t + end for t in _encoded(rows.column("text"), bpe, encoded, width)]
-                    encoded.trim()
                     yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("source"), pa.array([len(t) // step for t in tokens], pa.int64()),
                                                       pa.array(tokens, pa.binary())], schema=_TOKENS)
 

@@ -274,10 +274,14 @@ class Chunks(dict):
         self.long += len(chunk) if len(chunk) > LONGEST_CACHED else 0
         return value
 
-    def trim(self) -> None:
+    def trim(self, lately=()) -> None:
+        """``lately``: chunks just used; those that are short stay."""
         if len(self) > self.most or self.long > 1_000_000:
+            kept = {c: self[c] for c in lately if len(c) <= LONGEST_CACHED and c in self}
             self.clear()
             self.long = 0
+            if len(kept) <= self.most // 2:
+                self.update(kept)
 
 
 _ENCODERS: dict[str, tuple[WordBPE, Chunks]] = {}
