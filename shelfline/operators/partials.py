@@ -36,7 +36,7 @@ class Summary(NamedTuple):
 
 # -- of rows ------------------------------------------------------------------------------------
 
-def _state(name: str, m: Measure) -> dict[str, Column]:
+def state_columns(name: str, m: Measure) -> dict[str, Column]:
     c = F.col(m.column)
     out = {f"{name}_n": F.count(c)}
     if m.places is None:
@@ -59,7 +59,7 @@ def states(summary: Summary, rows: DataFrame) -> DataFrame:
     """One state per group of ``rows``."""
     found = {"n_rows": F.count(F.lit(1))}
     for name, m in summary.measures.items():
-        found |= _state(name, m)
+        found |= state_columns(name, m)
     return rows.groupBy(*[F.expr(e).alias(k) for k, e in summary.keys.items()]).agg(*[c.alias(n) for n, c in found.items()])
 
 

@@ -590,43 +590,37 @@ marks AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED
   - INTERVAL 30 MINUTES AS watermark FROM batched GROUP BY batch)""", """
 SELECT event_id, ts, arrived, batch, watermark FROM batched JOIN marks USING (batch) WHERE ts < watermark""")
 
-# --- streaming: the batch equivalent, without windows still open at the end ----------------
-
-add("stream_tumbling", "w AS (SELECT *, time_bucket(INTERVAL 15 MINUTES, ts) AS window_start FROM events)", f"""
-SELECT window_start, event_type, count(*) AS events, {avg('CAST(round(value * 100) AS BIGINT)', 2)} AS avg_value FROM w
-WHERE window_start + INTERVAL 15 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES GROUP BY 1, 2""")
-add("stream_hourly_price", LISTINGS, f"""
-SELECT date_trunc('hour', snapshot_time) AS hour, product_name, platform, {avg('eff_cents', 2)} AS avg_price,
-  count(*) AS record_count FROM fact
-WHERE date_trunc('hour', snapshot_time) + INTERVAL 1 HOUR <= (SELECT max(snapshot_time) FROM fact) - INTERVAL 1 HOUR
-GROUP BY 1, 2, 3""")
-add("stream_sliding", LISTINGS + """,
-hours AS (SELECT date_trunc('hour', snapshot_time) AS hour, platform, count(*) FILTER (in_stock) AS stocked, count(*) AS n
-  FROM fact GROUP BY 1, 2),
-copies AS (SELECT hour - to_hours(k) AS window_start, platform, stocked, n FROM hours, range(24) AS r(k))""", """
-SELECT window_start, window_start + INTERVAL 24 HOURS AS window_end, platform,
-  CAST(sum(stocked) AS DOUBLE) / sum(n) AS availability_24h, CAST(sum(n) AS BIGINT) AS record_count FROM copies
-WHERE window_start + INTERVAL 24 HOURS <= (SELECT max(snapshot_time) FROM fact) - INTERVAL 1 HOUR GROUP BY 1, 2, 3""")
-add("stream_dedup", "e AS (SELECT * FROM events)", "SELECT event_id, ts, user_id, event_type, value FROM e")
-add("stream_sessions", SESSIONS, """
-SELECT user_id, session_start, session_end + INTERVAL 30 MINUTES AS session_end, events FROM sess
-WHERE session_end + INTERVAL 30 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""")
-
 # --- streaming: all windows, those that are open at the end too ---------------------------
 
-add("stream_tumbling_all", "w AS (SELECT *, time_bucket(INTERVAL 15 MINUTES, ts) AS window_start FROM events)", f"""
+add("stream_tumbling", "w AS (SELECT *, time_bucket(INTERVAL 15 MINUTES, ts) AS window_start FROM events)", f"""
 SELECT window_start, event_type, count(*) AS events, {avg('CAST(round(value * 100) AS BIGINT)', 2)} AS avg_value FROM w GROUP BY 1, 2""")
-add("stream_hourly_price_all", LISTINGS, f"""
+add("stream_hourly_price", LISTINGS, f"""
 SELECT date_trunc('hour', snapshot_time) AS hour, product_name, platform, {avg('eff_cents', 2)} AS avg_price,
   count(*) AS record_count FROM fact GROUP BY 1, 2, 3""")
-add("stream_sliding_all", LISTINGS + """,
+add("stream_sliding", LISTINGS + """,
 hours AS (SELECT date_trunc('hour', snapshot_time) AS hour, platform, count(*) FILTER (in_stock) AS stocked, count(*) AS n
   FROM fact GROUP BY 1, 2),
 copies AS (SELECT hour - to_hours(k) AS window_start, platform, stocked, n FROM hours, range(24) AS r(k))""", """
 SELECT window_start, window_start + INTERVAL 24 HOURS AS window_end, platform,
   CAST(sum(stocked) AS DOUBLE) / sum(n) AS availability_24h, CAST(sum(n) AS BIGINT) AS record_count FROM copies GROUP BY 1, 2, 3""")
-add("stream_sessions_all", SESSIONS, """
+add("stream_sessions", SESSIONS, """
 SELECT user_id, session_start, session_end + INTERVAL 30 MINUTES AS session_end, events FROM sess""")
+add("stream_dedup", "e AS (SELECT * FROM events)", "SELECT event_id, ts, user_id, event_type, value FROM e")
+for _name in ("stream_tumbling", "stream_hourly_price", "stream_sliding", "stream_sessions"):
+    ORACLES[f"{_name}_all"] = ORACLES[_name]
+add("stream_sliding_product", LISTINGS + """,
+hours AS (SELECT date_trunc('hour', snapshot_time) AS hour, product_name, platform, count(*) FILTER (in_stock) AS stocked,
+  count(in_stock) AS n FROM fact GROUP BY 1, 2, 3)""", f"""
+SELECT hour - INTERVAL 23 HOURS AS window_start, hour + INTERVAL 1 HOUR AS window_end, product_name, platform,
+  CAST(sum(stocked) OVER w AS DOUBLE) / sum(n) OVER w AS availability_24h, {big('sum(n) OVER w')} AS record_count FROM hours
+WINDOW w AS (PARTITION BY product_name, platform ORDER BY hour RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW)""")
+add("stream_late_rows", """
+arrivals AS (SELECT event_id, ts, event_type,
+  CAST(floor((CAST(ts + to_hours(CAST(event_id * 37 % 91 AS BIGINT)) AS DATE) - DATE '1970-01-01') / 7) AS BIGINT) AS part FROM events),
+parts AS (SELECT part, row_number() OVER (ORDER BY part) - 1 AS batch,
+  max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM arrivals GROUP BY part)""", """
+SELECT event_id, ts, event_type, part, batch FROM arrivals JOIN parts USING (part)
+WHERE time_bucket(INTERVAL 15 MINUTES, ts) + INTERVAL 15 MINUTES <= newest - INTERVAL 10 MINUTES""")
 
 # --- forecasts ----------------------------------------------------------------------------
 

@@ -30,6 +30,7 @@ from shelfline.session import new_folder
 from shelfline.sources import dimensions as D
 from shelfline.sources import testtables as T
 from shelfline.sources import zones as Z
+from shelfline.streaming import ledger as LG
 from shelfline.streaming import replay as ST
 
 QUERIES = {}
@@ -645,53 +646,65 @@ def _listing_stream(spark, sf):
     return T.listings(spark, sf, ST.stream_of(spark, f"{sf}/lineitem.parquet"))
 
 
+def _windows(stream, table, label):
+    """All windows of the stream, the open ones too, from the stored states of its batches."""
+    path = new_folder(stream.sparkSession, f"stream-{label}")
+    LG.run(stream, table, path)
+    return LG.results(stream.sparkSession, table, path)
+
+
 @query
 def stream_tumbling(spark, sf):
-    return ST.replay(ST.tumbling_counts(_event_stream(spark, sf)), "tumbling")
+    return _windows(_event_stream(spark, sf), LG.tumbling_counts(), "tumbling")
 
 
 @query
 def stream_hourly_price(spark, sf):
-    return ST.replay(ST.hourly_price(_listing_stream(spark, sf)), "hourly")
+    return _windows(_listing_stream(spark, sf), LG.hourly_price(), "hourly")
 
 
 @query
 def stream_sliding(spark, sf):
-    return ST.replay(ST.sliding_availability(_listing_stream(spark, sf)), "sliding")
-
-
-@query
-def stream_dedup(spark, sf):
-    copies = F.when(F.col("event_id") % 97 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    events = _event_stream(spark, sf).withColumn("copy", F.explode(copies)).drop("copy")
-    return ST.replay(ST.deduplicated(events), "dedup").select("event_id", "ts", "user_id", "event_type", "value")
+    return _windows(_listing_stream(spark, sf), LG.sliding_availability(), "sliding")
 
 
 @query
-def stream_sessions(spark, sf):
-    return ST.replay(ST.session_windows(_event_stream(spark, sf)), "sessions")
+def stream_sliding_product(spark, sf):
+    return _windows(_listing_stream(spark, sf), LG.sliding_availability(by_product=True), "sliding-product")
 
 
 @query
-def stream_tumbling_all(spark, sf):
-    end = F.col("window_start") + F.expr("interval 15 minutes")
-    return ST.replay_whole(ST.tumbling_counts, _event_stream(spark, sf), T.read_events(spark, sf), end, "tumbling-all")
+def stream_late_rows(spark, sf):
+    """Events that arrive up to 90 hours late, files and a call per week of arrival: the stream goes on where the
+    call before ended, and the rows of windows that were closed by then are found in the sink of late rows."""
+    lag = F.make_dt_interval(hours=((F.col("event_id") * 37) % 91).cast("int"))
+    events = T.read_events(spark, sf).withColumn("part", F.floor(F.unix_date(F.to_date(F.col("ts") + lag)) / 7))
+    inbox, path = new_folder(spark, "arrivals"), new_folder(spark, "stream-late")
+    table = LG.tumbling_counts()
+    for part in sorted(r.part for r in events.select("part").distinct().collect()):
+        events.filter(F.col("part") == part).write.mode("append").parquet(inbox)
+        LG.run(spark.readStream.schema(events.schema).parquet(inbox), table, path)
+    late = LG.late_rows(spark, path)
+    if late is None:
+        late = events.limit(0).withColumn("batch", F.lit(0).cast("long"))
+    return late.select("event_id", "ts", "event_type", "part", "batch")
 
 
 @query
-def stream_hourly_price_all(spark, sf):
-    end = F.col("hour") + F.expr("interval 1 hour")
-    return ST.replay_whole(ST.hourly_price, _listing_stream(spark, sf), T.listings(spark, sf), end, "hourly-all")
+def stream_dedup(spark, sf):
+    copies = F.when(F.col("event_id") % 97 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    events = _event_stream(spark, sf).withColumn("copy", F.explode(copies)).drop("copy")
+    return ST.replay(ST.deduplicated(events), "dedup").select("event_id", "ts", "user_id", "event_type", "value")
 
 
 @query
-def stream_sliding_all(spark, sf):
-    return ST.replay_whole(ST.sliding_availability, _listing_stream(spark, sf), T.listings(spark, sf), F.col("window_end"), "sliding-all")
+def stream_sessions(spark, sf):
+    return _windows(_event_stream(spark, sf), LG.session_windows(), "sessions")
 
 
-@query
-def stream_sessions_all(spark, sf):
-    return ST.replay_whole(ST.session_windows, _event_stream(spark, sf), T.read_events(spark, sf), F.col("session_end"), "sessions-all")
+# The names that the queries over all windows had before.
+for _name in ("stream_tumbling", "stream_hourly_price", "stream_sliding", "stream_sessions"):
+    QUERIES[f"{_name}_all"] = QUERIES[_name]
 
 
 # --- forecasts and models -----------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.numbers import MONEY, exact_avg
-from shelfline.session import is_local, new_folder
+from shelfline.session import new_folder
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -22,6 +22,7 @@ def stream_of(spark: SparkSession, path: str, files_per_batch: int | None = None
 
     The path is given as a pattern that matches only itself: a stream source takes a plain path
     for a folder, while a pattern may match a single file too."""
+    path = path.rstrip("/")
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -64,8 +65,6 @@ def _run(result: DataFrame, label: str) -> tuple[DataFrame, str | None]:
     # State on disk rather than on the heap; sessions are merged before the shuffle.
     values = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
               "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
-    if is_local(spark) and int(spark.conf.get("spark.sql.shuffle.partitions")) > 64:
-        values["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
     with _settings(spark, values):
         query = (result.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
                  .option("path", f"{target}/rows").option("checkpointLocation", f"{target}/checkpoint").start())
