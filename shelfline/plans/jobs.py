@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fv
-from shelfline.operators import conformal, forecast, latest, models, normalise, partials, quality, score, textjobs, trend
+from shelfline.operators import conformal, envelope, forecast, latest, models, normalise, partials, quality, score, textjobs, trend
 from shelfline.plans import refresh
 from shelfline.plans.refresh import Store
 from shelfline.schema import Feed
@@ -122,7 +122,8 @@ def train_horizons(store: Store, rows: DataFrame, miss: float = conformal.MISS,
 
 
 def compare(spark: SparkSession, store: Store, sliders=fv.DEFAULT_WEIGHTS, as_of: Column | None = None) -> None:
-    """Ranks the platforms of every pack and stores the nested records.
+    """Ranks the platforms of every pack and stores the nested records, and the ranges of each slider that a platform wins, so
+    that a moved slider is a lookup.
 
     The latest rows come from the whole table, since a pack may not have been listed for long;
     availability reads the last days only."""
@@ -130,7 +131,8 @@ def compare(spark: SparkSession, store: Store, sliders=fv.DEFAULT_WEIGHTS, as_of
     current = zones.stored(latest.latest_snapshot(rows, as_of), "latest")
     end = current.agg(F.max("snapshot_time")).scalar() if as_of is None else as_of
     available = trend.availability_7d(load_recent(spark, store, 7, as_of), end)
-    scorable = score.with_defaults(score.impute_rating(current, rows), available)
+    scorable = zones.stored(score.with_defaults(score.impute_rating(current, rows), available), "scorable")
+    zones.write_zone(envelope.winner_ranges(scorable, sliders), store.curated("slider_ranges"), partitions=())
     records = score.recommend(score.score_platforms(scorable, sliders))
     zones.write_zone(records, store.curated("platform_comparison"), partitions=())
 

@@ -480,6 +480,22 @@ ranked AS (SELECT *, {_composite('wp', 'wd', 'wq')} AS composite_score FROM sub,
 SELECT {_PACK}, profile, platform AS winner, composite_score FROM (
   SELECT *, row_number() OVER (PARTITION BY {_PACK}, profile ORDER BY composite_score DESC, platform) AS nr FROM ranked)
 WHERE nr = 1""")
+_POINTS = {"price": "ps", "delivery": "ds", "quality": "qs"}
+_LINES = " UNION ALL ".join(
+    f"SELECT {_PACK}, platform, '{n}' AS slider, {_POINTS[n]} AS slope, " + " + ".join(
+        f"{w} * {_POINTS[o]}" for o, w in zip(_POINTS, fv.DEFAULT_WEIGHTS) if o != n) + " AS base FROM points" for n in _POINTS)
+add("slider_ranges", SUBSCORES + f""",
+points AS (SELECT {_PACK}, platform, {", ".join(f"CAST(floor({c} * 10000 + 5e-1) AS BIGINT) AS {c}" for c in _POINTS.values())}
+  FROM sub WHERE ps IS NOT NULL AND ds IS NOT NULL AND qs IS NOT NULL),
+lines AS ({_LINES}),
+grid AS (SELECT *, setting * slope + base AS score FROM lines, range(101) AS r(setting)),
+won AS (SELECT * FROM grid QUALIFY row_number() OVER (PARTITION BY {_PACK}, slider, setting ORDER BY score DESC, platform) = 1),
+changes AS (SELECT *, lag(platform) OVER w AS before, lag(slope) OVER w AS slope_before, lag(base) OVER w AS base_before FROM won
+  WINDOW w AS (PARTITION BY {_PACK}, slider ORDER BY setting) QUALIFY before IS NULL OR before <> platform)""", f"""
+SELECT {_PACK}, slider, CAST(row_number() OVER w - 1 AS INTEGER) AS range_no, platform AS winner, setting AS from_setting,
+  coalesce(lead(setting) OVER w - 1, 100) AS to_setting,
+  CAST(base_before - base AS DOUBLE) / nullif(slope - slope_before, 0) AS meets_at
+FROM changes WINDOW w AS (PARTITION BY {_PACK}, slider ORDER BY setting)""")
 _COVER = f"""
 sold AS (SELECT product_name, platform, {big('sum(units_ordered)')} AS units FROM fact
   WHERE snapshot_time > {_RECENT.format(7)} GROUP BY 1, 2),

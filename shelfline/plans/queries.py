@@ -13,6 +13,7 @@ from shelfline.functions.numbers import round_half_up
 from shelfline.operators import aggregate as A
 from shelfline.operators import conformal as CF
 from shelfline.operators import enrich as E
+from shelfline.operators import envelope as EV
 from shelfline.operators import forecast as FC
 from shelfline.operators import latest as LT
 from shelfline.operators import models as M
@@ -536,6 +537,11 @@ def weight_sensitivity(spark, sf):
     return S.weight_sensitivity(_scorable(spark, sf), PROFILES)
 
 
+@query
+def slider_ranges(spark, sf):
+    return EV.winner_ranges(_scorable(spark, sf))
+
+
 @query
 def stockout_risk(spark, sf):
     rows = T.listings(spark, sf)
