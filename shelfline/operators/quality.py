@@ -9,6 +9,10 @@ from pyspark.sql.window import Window
 from shelfline import fixed_values as fv
 from shelfline.schema import CANONICAL
 
+SKETCH_BITS = 14
+# Three standard errors of a merged sketch of this size.
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
 
 def audit(unified: DataFrame, deduplicated: DataFrame) -> DataFrame:
     """Rows before and after deduplication, products, first and last time, per platform."""
@@ -23,6 +27,28 @@ def audit(unified: DataFrame, deduplicated: DataFrame) -> DataFrame:
     return out.withColumn("freshness_hours", F.timestamp_diff("HOUR", F.col("last_time"), newest))
 
 
+def audit_states(rows: DataFrame, *keys: str | Column) -> DataFrame:
+    """What the overall audit needs of each group of rows, as states that can be merged: counts, extremes and a sketch of the
+    product names (2^SKETCH_BITS bytes at most), in one pass and without a shuffle of names."""
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("snapshot_time").alias("first_time"), F.max("snapshot_time").alias("last_time"),
+        F.count_if(F.col("delivery_minutes").isNull()).alias("unparsed_minutes"),
+        F.hll_sketch_agg("product_name", F.lit(SKETCH_BITS)).alias("product_sketch"))
+
+
+def audit_overall(states: DataFrame) -> DataFrame:
+    """Per platform, and over all (``is_overall``, platform null): rows, first and last time, unparsed minutes, distinct products.
+
+    ``states``: those of :func:`audit_states` by any keys with ``platform``.  ``products`` is an estimate that three times
+    in a thousand is off by more than ``SKETCH_ERROR``; everything else is exact.  Null products are not counted."""
+    overall = F.grouping("platform") == 1
+    return states.rollup("platform").agg(
+        overall.alias("is_overall"), F.when(overall, F.count_distinct("platform")).otherwise(F.lit(1)).alias("platforms"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"),
+        F.coalesce(F.sum("unparsed_minutes"), F.lit(0)).alias("unparsed_minutes"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("product_sketch")), F.lit(0)).alias("products"))
+
+
 def observed(df: DataFrame, observation) -> DataFrame:
     """Counts taken while another job writes ``df``; no job of their own."""
     return df.observe(observation, F.count(F.lit(1)).alias("rows"),

@@ -74,7 +74,7 @@ def train(spark: SparkSession, store: Store, location: str, demand: dict | None
     last = zones.stored(trend.latest_trends(models.predicted_trends(trend_model, labels)), "last-trends")
     zones.write_zone(trend.ranked_trending(last), store.curated("trending"), partitions=(), rebuild=True)
 
-    end = listings.agg(F.max("snapshot_time")).scalar()
+    end = refresh.newest(spark, store)
     ahead = train_horizons(store, rows, **(horizons or {}))
     newest = latest.latest_snapshot(listings)
     records = zones.stored(forecast.model_records(

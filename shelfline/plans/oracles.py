@@ -130,6 +130,11 @@ JOIN (SELECT platform, count(*) AS rows_out, count(DISTINCT product_name) AS pro
   max(snapshot_time) AS last_time, count(*) FILTER (delivery_minutes IS NULL) AS unparsed_minutes
   FROM clean GROUP BY 1) b ON a.platform = b.platform, (SELECT max(snapshot_time) AS newest FROM clean)""")
 
+add("audit_overall", LISTINGS, """
+SELECT platform, grouping(platform) = 1 AS is_overall, count(DISTINCT platform) AS platforms, count(*) AS n_rows,
+  min(snapshot_time) AS first_time, max(snapshot_time) AS last_time, count(*) FILTER (delivery_minutes IS NULL) AS unparsed_minutes,
+  count(DISTINCT product_name) AS exact_products, true AS within_bound FROM fact GROUP BY ROLLUP (platform)""")
+
 # --- normalisation ------------------------------------------------------------------------
 
 for _name, _platform in (("normalise_a", "alpha"), ("normalise_b", "beta"), ("normalise_c", "gamma")):

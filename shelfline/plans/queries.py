@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline import fixed_values as fv
 from shelfline.functions import listing as L
+from shelfline.functions.joins import null_safe_join
 from shelfline.functions.numbers import round_half_up
 from shelfline.operators import aggregate as A
 from shelfline.operators import conformal as CF
@@ -119,6 +120,18 @@ def audit_summary(spark, sf):
     return Q.audit(union, N.deduplicate(union))
 
 
+@query
+def audit_overall(spark, sf):
+    """Summaries per day and platform, merged; the estimate of products is held against an exact count."""
+    rows = T.listings(spark, sf)
+    parts = Z.stored(Q.audit_states(rows, F.to_date("snapshot_time").alias("date"), "platform"), "audit-states")
+    exact = rows.rollup("platform").agg(
+        (F.grouping("platform") == 1).alias("is_overall"), F.count_distinct("product_name").alias("exact_products"))
+    both = null_safe_join(Q.audit_overall(parts), exact, ["platform", "is_overall"], "left")
+    near = F.abs(F.col("products") - F.col("exact_products")) <= F.lit(Q.SKETCH_ERROR) * F.col("exact_products")
+    return both.withColumn("within_bound", near).drop("products")
+
+
 # --- normalisation ------------------------------------------------------------------------
 
 @query

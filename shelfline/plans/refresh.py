@@ -20,11 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.operators import normalise, partials
+from shelfline.operators import normalise, partials, quality
 from shelfline.schema import DEDUP_KEY
 from shelfline.sources import zones
 
-_MARK = "superseded"
+_MARK, _AUDIT = "superseded", "states_audit"
 _TYPES = {**zones.PARTITION_TYPES, "batch": T.LongType()}
 
 
@@ -88,6 +88,18 @@ def _write_states(rows: DataFrame, store, rebuild: bool) -> None:
     for name, summary in partials.SUMMARIES.items():
         by_batch = summary._replace(keys={**summary.keys, "batch": "batch"})
         zones.write_zone(partials.states(by_batch, rows), store.processed(f"states_{name}"), _folders(store), rebuild)
+    summary = quality.audit_states(rows, *dict.fromkeys((*_folders(store), "platform")))
+    zones.write_zone(summary, store.processed(_AUDIT), _folders(store), rebuild)
+
+
+def audit(spark: SparkSession, store) -> DataFrame:
+    """The overall audit of the rows that count, from the summaries of the folders."""
+    return quality.audit_overall(read(spark, store, _AUDIT))
+
+
+def newest(spark: SparkSession, store) -> Column:
+    """Time of the newest row, from the summaries of the folders; the rows are not read."""
+    return read(spark, store, _AUDIT).agg(F.max("last_time")).scalar()
 
 
 def _write_tables(spark: SparkSession, store, touched: list | None) -> None:

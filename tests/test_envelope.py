@@ -72,6 +72,6 @@ def test_nulls_ties_and_empty(spark):
     got = EV.winner_ranges(same).collect()
     assert {(r.slider, r.winner, r.from_setting, r.to_setting) for r in got} == {(s, "alpha", 0, 100) for s in EV.SLIDERS}
     assert EV.winner_ranges(spark.createDataFrame([], FIELDS)).count() == 0
-    assert EV.winner_ranges(rows(spark, ("alpha", None, 9, 4.0, 1.0, True))).count() == 0
+    assert EV.winner_ranges(rows(spark, ("alpha", 3.0, 9, None, 1.0, True))).count() == 0
     with pytest.raises(ValueError, match="whole"):
         EV.winner_ranges(same, (0.5, 1, 1))
