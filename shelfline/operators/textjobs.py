@@ -13,6 +13,7 @@ from shelfline.functions.numbers import col
 # Unicode digits and spaces, and only \n ends a line for ".".
 _FLAGS = "(?dU)"
 PIECE = 64  # positions of a text that one row of the name search covers
+TABLE_BITS = 20  # the table that positions are tried against has 2^20 bits, 128 kB
 
 
 def intent_expressions(platforms) -> dict[str, str]:
@@ -53,7 +54,8 @@ def platform_mention(text: Column | str, aliases: dict[str, tuple[str, ...]]) ->
     return F.when(F.size(array) > 0, array)
 
 
-def product_mention(questions: DataFrame, catalogue: DataFrame, word_boundaries: bool = False) -> DataFrame:
+def product_mention(questions: DataFrame, catalogue: DataFrame, word_boundaries: bool = False,
+                    table_bits: int = TABLE_BITS) -> DataFrame:
     """Adds ``product``: the longest catalogue name that occurs in the text, null if none does.
 
     Names of equal length are taken by ``position`` if the catalogue has it, then by name.  Null and
@@ -61,9 +63,11 @@ def product_mention(questions: DataFrame, catalogue: DataFrame, word_boundaries:
 
     A name is looked up by its seed, as many of its first letters as the largest power of two that
     it has, so that names of all lengths need few seed lengths and a short name does not weaken the
-    seeds of the others.  Every distinct text offers its seeds at each position; seeds meet names by
-    equality, and what follows the position decides.  Long texts are first cut into pieces that overlap
-    by the longest name, so the cost is linear in the text.
+    seeds of the others.  Long texts are cut into pieces that overlap by the longest name, so the cost is linear in the text.
+    Every distinct text tries its seeds at each position against a table of 2^``table_bits`` bits, which lets through the
+    seeds of names and as large a share of the others as it has bits set (a tenth with 100,000 names); only these reach a join.  There
+    seeds meet names by equality, and what follows the position decides.  With more names than bits the table
+    sorts out less, and the result is the same.
     """
     order = ["position", "product_name"] if "position" in catalogue.columns else ["product_name"]
     key = F.lower("product_name")
@@ -87,14 +91,34 @@ def product_mention(questions: DataFrame, catalogue: DataFrame, word_boundaries:
         F.lit(1), F.least(F.lit(PIECE), F.length("piece")))).alias("at"))
     ahead = spots.select("_text", "seeds", F.substring("piece", F.col("at"), F.col("longest")).alias("ahead"))
     offered = ahead.select("_text", "ahead", F.explode("seeds").alias("n")).filter(F.length("ahead") >= F.col("n"))
-    hits = offered.withColumn("seed", F.substring("ahead", F.lit(1), F.col("n"))).join(names, "seed").filter(
-        F.startswith("ahead", "key"))
+    offered = offered.withColumn("seed", F.substring("ahead", F.lit(1), F.col("n"))).filter(
+        _in_table("seed", _bit_table(names, table_bits), table_bits))
+    hits = offered.join(names, "seed").filter(F.startswith("ahead", "key"))
     best = hits.groupBy("_text").agg(
         F.min(F.struct((-F.length("product_name")).alias("shorter"), *[F.col(c) for c in order])).alias("b"))
     best = best.select("_text", F.col("b.product_name").alias("product"))
     return questions.withColumn("_text", F.sha2("text", 256)).join(best, "_text", "left").drop("_text")
 
 
+def _slot(seed: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(seed), F.lit(1 << bits).cast("bigint"))
+
+
+def _bit_table(names: DataFrame, bits: int) -> Column:
+    """Bits of the hashes of all seeds, as one array of 2^(bits - 6) longs."""
+    one = F.lit(1).cast("bigint")
+    some = names.select(F.shiftright(_slot("seed", bits), 6).alias("word"),
+                        F.call_function("shiftleft", one, (_slot("seed", bits) % 64).cast("int")).alias("bit"))
+    none = names.sparkSession.range(1 << bits - 6).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bit"))
+    table = none.unionByName(some).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    rows = F.array_sort(F.collect_list(F.struct("word", "bits")))
+    return table.agg(F.transform(rows, lambda w: w["bits"])).scalar()
+
+
+def _in_table(seed: str, table: Column, bits: int) -> Column:
+    return F.getbit(F.get(table, F.shiftright(_slot(seed, bits), 6).cast("int")), (_slot(seed, bits) % 64).cast("int")) == 1
+
+
 def _padded(text: Column) -> Column:
     """Words separated and surrounded by single spaces."""
     return F.concat(F.lit(" "), F.regexp_replace(text, r"(?U)[^\w-]+", " "), F.lit(" "))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline.operators import textjobs as X
 
@@ -118,3 +119,26 @@ def test_empty_catalogue(spark):
 def test_counts(spark):
     parsed = frame(spark, ["cheap", "cheap", "fast"]).withColumn("intent", X.intent_label("text", ALIASES))
     assert {r.intent: r.questions for r in X.intent_counts(parsed).collect()} == {"find_cheapest": 2, "check_delivery": 1}
+
+
+@pytest.mark.parametrize("count,bits", [(1, 20), (64, 20), (64, 6), (100_000, 20), (100_000, 8)])
+def test_any_number_of_names_and_any_table(spark, count, bits):
+    """Equal to a plain search, with a table that sorts out nearly all positions and with one that has all bits set."""
+    rng = random.Random(count)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randint(3, 12)))
+    names = sorted({word() for _ in range(count)})
+    texts = [" ".join(rng.choice(names) if rng.random() < 0.2 else word() for _ in range(12)) for _ in range(40)] + ["", "é", names[0]]
+    want, known = {}, set(names)
+    for i, t in enumerate(texts):
+        found = {t[a:b] for a in range(len(t)) for b in range(a + 3, a + 13)} & known
+        want[str(i)] = min(found, key=lambda n: (-len(n), n)) if found else None
+    catalogue = spark.createDataFrame([(n,) for n in names], "product_name string")
+    got = X.product_mention(frame(spark, texts), catalogue, table_bits=bits).collect()
+    assert {r.question_id: r["product"] for r in got} == want
+
+
+def test_few_positions_reach_the_join(spark):
+    names = spark.createDataFrame([(f"product number {i}",) for i in range(500)], "product_name string").withColumn("seed", F.substring("product_name", 1, 8))
+    seeds = spark.range(100_000).select(F.md5(F.col("id").cast("string")).alias("seed"))
+    let = seeds.filter(X._in_table("seed", X._bit_table(names, X.TABLE_BITS), X.TABLE_BITS)).count()
+    assert let <= 5 and names.filter(X._in_table("seed", X._bit_table(names, X.TABLE_BITS), X.TABLE_BITS)).count() == 500
