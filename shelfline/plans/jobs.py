@@ -49,8 +49,10 @@ def load_unified(spark: SparkSession, store: Store) -> DataFrame:
 
 
 def load_recent(spark: SparkSession, store: Store, days: int, as_of: Column | None = None) -> DataFrame:
-    rows = zones.recent(refresh.read(spark, store, "unified"), days, as_of)
-    return normalise.select_canonical(rows)
+    """Rows of the last days' folders; which these are, the summaries of the folders tell, where batches were written."""
+    rows = refresh.read(spark, store, "unified")
+    end = refresh.newest(spark, store) if as_of is None and "batch" in rows.columns else as_of
+    return normalise.select_canonical(zones.recent(rows, days, end))
 
 
 def train(spark: SparkSession, store: Store, location: str, demand: dict | None = None,
@@ -123,14 +125,16 @@ def train_horizons(store: Store, rows: DataFrame, miss: float = conformal.MISS,
 
 def compare(spark: SparkSession, store: Store, sliders=fv.DEFAULT_WEIGHTS, as_of: Column | None = None) -> None:
     """Ranks the platforms of every pack and stores the nested records, and the ranges of each slider that a platform wins, so
-    that a moved slider is a lookup.
+    that a moved slider is a lookup; also the risk of running out of stock.
 
     The latest rows come from the whole table, since a pack may not have been listed for long;
     availability reads the last days only."""
     rows = load_unified(spark, store)
     current = zones.stored(latest.latest_snapshot(rows, as_of), "latest")
     end = current.agg(F.max("snapshot_time")).scalar() if as_of is None else as_of
-    available = trend.availability_7d(load_recent(spark, store, 7, as_of), end)
+    recent = load_recent(spark, store, 7, as_of)
+    available = trend.availability_7d(recent, end)
+    zones.write_zone(score.stockout_risk(recent, current, end), store.curated("stockout_risk"), partitions=())
     scorable = zones.stored(score.with_defaults(score.impute_rating(current, rows), available), "scorable")
     zones.write_zone(envelope.winner_ranges(scorable, sliders), store.curated("slider_ranges"), partitions=())
     records = score.recommend(score.score_platforms(scorable, sliders))

@@ -98,7 +98,11 @@ def audit(spark: SparkSession, store) -> DataFrame:
 
 
 def newest(spark: SparkSession, store) -> Column:
-    """Time of the newest row, from the summaries of the folders; the rows are not read."""
+    """Time of the newest row, from the summaries of the folders; the rows are not read.  A table that was written without
+    batches has no summaries, so there it is a maximum over the rows."""
+    rows = zones.read_zone(spark, store.processed("unified"), _TYPES)
+    if "batch" not in rows.columns:
+        return rows.agg(F.max("snapshot_time")).scalar()
     return read(spark, store, _AUDIT).agg(F.max("last_time")).scalar()
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline.operators import quality as Q
-from shelfline.plans import refresh
+from shelfline.plans import jobs, refresh
 from shelfline.plans.refresh import Store
 
 DAY = datetime(2024, 4, 1, 9)
@@ -58,3 +58,8 @@ def test_batches_change_the_summaries(spark, tmp_path, listing):
     assert by_platform(refresh.audit(spark, store)) == want and want["all"].n_rows == whole.count()
     newest = spark.range(1).select(refresh.newest(spark, store)).first()[0]
     assert newest == DAY + timedelta(days=3)
+    # The bound comes from the summaries: the only scan of the rows is the one with the folder filter.
+    recent = jobs.load_recent(spark, store, 1)
+    plan = spark._jvm.PythonSQLUtils.explainString(recent._jdf.queryExecution(), "formatted")
+    assert "/states_audit]" in plan and plan.count("/processed/unified]") == 1
+    assert recent.count() == whole.filter(F.col("snapshot_time") >= F.lit(DAY + timedelta(days=2))).count()

@@ -66,6 +66,8 @@ def test_recent_reads_only_the_last_folders(spark, tmp_path, listing):
     assert jobs.load_recent(spark, out, 3, F.lit(datetime(2024, 4, 10, 12))).agg(F.max("snapshot_time")).first()[0] == datetime(2024, 4, 10, 9)
     jobs.compare(spark, out)
     entry = spark.read.parquet(out.curated("platform_comparison")).first().platforms[0]
+    assert spark.read.parquet(out.curated("slider_ranges")).count() == 3
+    assert [r.stockout_risk for r in spark.read.parquet(out.curated("stockout_risk")).collect()] == ["low"]
     whole = TR.availability_7d(jobs.load_unified(spark, out)).first().availability_rate_7d
     assert entry.availability_rate_7d == whole == 3 / 7
 
