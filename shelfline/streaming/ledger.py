@@ -81,7 +81,8 @@ def take(rows: DataFrame, batch: int, table: WindowTable, path: str) -> None:
     if seen["late"]:
         flagged.filter("is_late").drop("is_late").write.mode("overwrite").parquet(f"{path}/late/batch={batch}")
     latest = max((v for v in (newest, seen["newest"]) if v is not None), default=None)
-    (spark.createDataFrame([(latest, watermark, seen["in_time"], seen["late"])], _LEDGER).coalesce(1)
+    line = {"newest_us": latest, "watermark_us": watermark, "rows_in_time": seen["in_time"], "rows_late": seen["late"]}
+    (spark.range(0, 1, 1, 1).select(*[F.lit(v).cast("long").alias(n) for n, v in line.items()])
      .write.mode("overwrite").parquet(f"{path}/ledger/batch={batch}"))
 
 
