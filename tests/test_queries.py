@@ -13,7 +13,7 @@ from check_oracle import compare, duck_views  # noqa: E402
 from shelfline.plans.oracles import ORACLES  # noqa: E402
 from shelfline.plans.queries import QUERIES  # noqa: E402
 
-MODELS = {"indexed_features", "demand_forecast", "trend_classify", "horizon_forecast"}
+MODELS = {"indexed_features", "demand_forecast", "trend_classify", "horizon_forecast", "forecast_record_model"}
 
 
 @pytest.fixture(scope="module")
