@@ -95,6 +95,35 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: st
                       *[F.col(f"_hit.{v}").alias(f"ref_{v}") for v in values])
 
 
+def as_of_join_each(rows: DataFrame, keys: list[str], by: str, members: tuple[str, ...], time: str, values: dict[str, str],
+                    slot: str = "day") -> DataFrame:
+    """Every row against the latest row strictly before it of each of ``members`` (values of column ``by``), its own included:
+    one result row per row and member, with ``ref_<by>``, ``ref_time`` and ``ref_<name>`` for ``values``: name -> column.
+
+    As in :func:`as_of_join` rows meet in one window per (keys, time slot), and at one instant the largest values count.  But
+    a row enters once, being asked and looked up at the same time: it finds all members in one pass, and is repeated per
+    member after that.  The slots' ends come from the same shuffle; there is one row per key and slot of them, which is why slots are longer."""
+    cell = F.struct(*keys, F.date_trunc(slot, time).alias("_slot"))
+    others = [c for c in rows.columns if c not in keys]
+    # A struct of the keys is never null, so rows with null keys meet in plain joins.
+    laid = rows.select(cell.alias("_cell"), *others).repartition("_cell")
+    at = F.struct(F.col(time).alias("t"), *[F.col(c).alias(v) for v, c in values.items()])
+    seen = [F.max(F.when(F.col(by) == m, at)) for m in members]
+    ends = laid.groupBy("_cell").agg(*[s.alias(f"_last{i}") for i, s in enumerate(seen)])
+    before = Window.partitionBy(*[F.col("_cell")[k] for k in keys]).orderBy(F.col("_cell")["_slot"]).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(F.col("_cell").alias("_c"), *[
+        F.last(f"_last{i}", ignorenulls=True).over(before).alias(f"_first{i}") for i in range(len(members))])
+    # Rows without a time come before all others.
+    order = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(-(1 << 62)))
+    earlier = Window.partitionBy("_cell").orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+    hits = laid.select("_cell", *others, *[s.over(earlier).alias(f"_hit{i}") for i, s in enumerate(seen)])
+    out = hits.join(carried, F.col("_cell") == F.col("_c"))
+    per_member = F.array(*[F.struct(F.lit(m).alias("member"), F.coalesce(f"_hit{i}", f"_first{i}").alias("hit")) for i, m in enumerate(members)])
+    out = out.select("_cell", *others, F.explode(per_member).alias("_ref"))
+    return out.select(*[F.col("_cell")[k].alias(k) for k in keys], F.col("_ref.member").alias(f"ref_{by}"), *others,
+                      F.col("_ref.hit.t").alias("ref_time"), *[F.col(f"_ref.hit.{v}").alias(f"ref_{v}") for v in values])
+
+
 def series_gaps(df: DataFrame, keys: list[str], platforms: tuple[str, ...], step_seconds: int = fv.SLOT_MINUTES * 60,
                 time: str = "snapshot_time", first: Column | None = None, last: Column | None = None) -> DataFrame:
     """Grid steps at which a series was not observed, as ranges of epoch steps.

@@ -486,10 +486,8 @@ def asof_price(spark, sf):
 def asof_price_all(spark, sf):
     """Every row of every platform against the earlier prices of each platform, its own included."""
     rows = T.listings(spark, sf).select("record_id", "product_name", "platform", "snapshot_time", "effective_price")
-    left = rows.withColumn("ref_platform", F.explode(F.array(*map(F.lit, T.PLATFORMS))))
-    right = rows.select("product_name", F.col("platform").alias("ref_platform"), "snapshot_time",
-                        F.col("effective_price").alias("price"), F.col("record_id").alias("id"))
-    return LT.as_of_join(left, right, ["product_name", "ref_platform"], "snapshot_time", "snapshot_time", ["price", "id"])
+    return LT.as_of_join_each(rows, ["product_name"], "platform", T.PLATFORMS, "snapshot_time",
+                              {"price": "effective_price", "id": "record_id"})
 
 
 # --- scoring ------------------------------------------------------------------------------

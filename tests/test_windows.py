@@ -95,6 +95,36 @@ def test_as_of_join_against_brute_force(spark):
             assert got[i] == (max(before) if before else (None, None))
 
 
+def test_as_of_each_against_brute_force(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.choice(["x", "y", None]),
+             rng.choice([None] + [START + timedelta(hours=3 * rng.randrange(60))] * 9), i, rng.choice([None, 1, 2])) for i in range(250)]
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, "k string, p string, t timestamp, id int, price int").repartition(5)
+    out = LT.as_of_join_each(df, ["k"], "p", ("x", "y"), "t", {"price": "price", "id": "id"})
+    assert out.columns == ["k", "ref_p", "p", "t", "id", "price", "ref_time", "ref_price", "ref_id"]
+
+    def low(*values):  # null before everything
+        return tuple((v is not None, v if v is not None else 0) for v in values)
+
+    def time(t):
+        return t.timestamp() if t else None
+
+    want = []
+    for k, p, t, i, price in rows:
+        for m in ("x", "y"):
+            found = [(time(rt), rp, ri, rt) for rk, p2, rt, ri, rp in rows if rk == k and p2 == m and low(time(rt)) < low(time(t))]
+            best = max(found, key=lambda r: low(*r[:3]), default=(None,) * 4)
+            want.append((k, m, p, t, i, price, best[3], best[1], best[2]))
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+
+
+def test_as_of_each_shuffles_rows_once_before_it_repeats_them(spark, sf_dir):
+    from shelfline.plans.queries import QUERIES
+    plan = spark._jvm.PythonSQLUtils.explainString(QUERIES["asof_price_all"](spark, sf_dir)._jdf.queryExecution(), "simple")
+    assert 0 <= plan.index("Generate") < plan.index("Window") and "Union" not in plan
+
+
 def test_gaps_against_brute_force(spark, listing):
     rng = random.Random(3)
     seen = {(p, q, rng.randrange(40)) for p in "xy" for q in ("alpha", "beta") for _ in range(12)} - {("y", "beta", 5)}
