@@ -13,16 +13,18 @@ PARTITIONS = ("date", "platform")
 PARTITION_TYPES = {"date": T.DateType(), "platform": T.StringType()}
 
 
-def write_zone(df: DataFrame, path: str, partitions: tuple[str, ...] = PARTITIONS, rebuild: bool = False) -> None:
+def write_zone(df: DataFrame, path: str, partitions: tuple[str, ...] = PARTITIONS, rebuild: bool = False,
+               rebalance: bool = True) -> None:
     """Overwrites the partitions that ``df`` holds; with ``rebuild`` the whole table, so that no
     partition stays that the rows no longer have.
 
     Rebalancing by the partition columns gives each folder few files; unlike a repartition it
-    lets adaptive execution cut a folder with very many rows into several tasks."""
+    lets adaptive execution cut a folder with very many rows into several tasks.  Rows for few folders, or that come
+    folder by folder, do without: then each task writes a file per folder that it has rows of."""
     out = df.withColumn("date", F.to_date("snapshot_time")) if "date" in partitions and "date" not in df.columns else df
-    if partitions:
+    if partitions and rebalance:
         out = out.hint("rebalance", *partitions)
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static" if rebuild else "dynamic")
+    writer = out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "static" if rebuild else "dynamic")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
@@ -49,7 +51,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     executor is lost, and of a size that the planner knows, so that it broadcasts them in joins
     only if they are below its limit."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

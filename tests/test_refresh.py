@@ -108,6 +108,24 @@ def test_batches_equal_a_full_run(spark, listing, rows, tmp_path):
         refresh.refresh(listing(*day), store, 0)
 
 
+def test_batches_leave_other_days_of_a_folder_alone(spark, listing, rows, tmp_path):
+    store, full = jobs.Store(str(tmp_path / "store"), ("platform",)), jobs.Store(str(tmp_path / "full"), ("platform",))
+    late = [some(random.Random(3), 700 + i, 1 + 6 * (i % 2)) for i in range(12)]  # of a stored day and of a new one
+    lower = {**rows[6], "location": "A first copy"}
+    refresh.rebuild(N.deduplicate(listing(*rows)), store)
+    before = {n: _files(store, n) for n in jobs.AGGREGATES}
+    refresh.refresh(listing(*late), store, 1)
+    assert all(before[n] <= _files(store, n) for n in jobs.AGGREGATES)
+    days = {r.date for r in spark.read.parquet(*[f for f in _files(store, "daily_demand") - before["daily_demand"]]).select("date").collect()}
+    assert days == {(DAY + timedelta(days=d)).date() for d in (1, 7)}
+    assert refresh.refresh(listing(lower, late[0]), store, 2)["rewritten"] == 1
+    refresh.refresh(listing(*late), store, 1)
+    refresh.rebuild(N.deduplicate(listing(*rows, *late, lower)), full)
+    kept, want = _tables(spark, store), _tables(spark, full)
+    for name in want:
+        assert rows_of(kept[name].drop("batch")) == rows_of(want[name].drop("batch")), name
+
+
 def test_refresh_reads_touched_folders_only(spark, listing, rows, tmp_path):
     store = jobs.Store(str(tmp_path / "store"))
     refresh.rebuild(N.deduplicate(listing(*rows)), store)
