@@ -72,22 +72,24 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _encoded(texts: pa.Array, bpe: WordBPE, encoded: Chunks, width: str) -> list[bytes]:
-    """Ids of every text.  The words of all texts become numbers of a dictionary, only its entries are encoded, and the
-    ids are gathered by these numbers."""
+    """Ids of every text.  The words of all texts become numbers of a dictionary, only its entries are encoded, and their
+    ids (as bytes) are taken by these numbers, one after the other."""
     words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     numbered = words.flatten().dictionary_encode()
     entries = numbered.dictionary.to_pylist()
     bpe.learn(entries, encoded)
     known = [encoded[w] if w else b"" for w in entries]
     encoded.trim(entries)
-    length = np.fromiter(map(len, known), np.int64, len(known)) // 4
     ids = np.frombuffer(b"".join(known), "<i4").astype(width)
-    word = numbered.indices.to_numpy(zero_copy_only=False)
-    ends = np.cumsum(length[word])
-    first = ((np.cumsum(length) - length)[word] - (ends - length[word])).astype(np.int32)  # far fewer ids than 2^31 a slice
-    out = ids[np.repeat(first, length[word]) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
-    cuts = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
-    return [out[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
+    ends = np.zeros(len(known) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, known), np.int64, len(known)) // 4 * ids.itemsize, out=ends[1:])
+    by_entry = pa.Array.from_buffers(pa.large_binary(), len(known), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+    stream = by_entry.take(numbered.indices)
+    _, bounds, data = stream.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[stream.offset:stream.offset + len(stream) + 1] if len(stream) else np.zeros(1, np.int64)
+    data = memoryview(data or b"")
+    cuts = bounds[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+    return [bytes(data[i:j]) for i, j in zip(cuts[:-1], cuts[1:])]
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
@@ -99,12 +101,17 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, encoded = encoder(path, CACHE_CHUNKS)
         end = np.array([end_id], width).tobytes()
-        with no_collector():
-            for batch in _gathered(iterator):
-                for rows in _slices(batch):
-                    tokens = [t + end for t in _encoded(rows.column("text"), bpe, encoded, width)]
-                    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("source"), pa.array([len(t) // step for t in tokens], pa.int64()),
-                                                      pa.array(tokens, pa.binary())], schema=_TOKENS)
+        try:
+            with no_collector():
+                for batch in _gathered(iterator):
+                    for rows in _slices(batch):
+                        tokens = [t + end for t in _encoded(rows.column("text"), bpe, encoded, width)]
+                        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("source"),
+                                                          pa.array([len(t) // step for t in tokens], pa.int64()),
+                                                          pa.array(tokens, pa.binary())], schema=_TOKENS)
+        finally:  # workers live on between stages: what a task learnt (100 MB and more) would stay through all of them
+            encoded.empty()
+            bpe.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        whole_text().alias("text"))

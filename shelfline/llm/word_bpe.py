@@ -200,29 +200,38 @@ class WordBPE:
         data = done[kept].astype("<i4").tobytes()
         return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
+    def forget(self) -> None:
+        """Drops the words met so far."""
+        self._words.clear()
+
     def learn(self, chunks: list[str], known: Chunks) -> None:
         """Puts the ids of new chunks of visible Latin-1 text into ``known``; their new words are merged together."""
-        split, store, ids = [], self._words, {}
-        for chunk in chunks:
-            if chunk in known:
-                continue
-            if chunk.isascii() and chunk.isalpha():  # one word, without the splitting pattern
-                split.append((chunk, [chunk.lower()]))
-            elif _LATIN.fullmatch(chunk) and "<|" not in chunk:
-                split.append((chunk, _LATIN_WORDS.findall(chunk.lower())))
-        names = {w: w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES) for _, words in split for w in words}
-        fresh = [(w, name) for w, name in names.items() if name not in store and len(name) <= LONGEST_LEARNED]
+        store = self._words
+        new = [c for c in chunks if c not in known]
+        plain = [c for c in new if c.isascii() and c.isalpha()]  # one word each, without the splitting pattern
+        lowered = list(map(str.lower, plain))
+        split = [(c, _LATIN_WORDS.findall(c.lower())) for c in new
+                 if not (c.isascii() and c.isalpha()) and "<|" not in c and _LATIN.fullmatch(c)]
+        names = dict(zip(lowered, lowered))
+        for _, words in split:
+            for w in words:
+                if w not in names:
+                    names[w] = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES)
+        ids = {w: store[name] for w, name in names.items() if name in store}
+        fresh = [(w, name) for w, name in names.items() if w not in ids and len(name) <= LONGEST_LEARNED]
         merged = self.merge_many([name for _, name in fresh])
-        for w, name in names.items():
-            if name in store:
-                ids[w] = store[name]
         if len(store) + len(fresh) > CACHE_CHUNKS:
             store.clear()
         for (w, name), data in zip(fresh, merged):
             ids[w] = store[name] = data
-        for w, name in names.items():
-            if w not in ids:
-                ids[w] = self._word(name)
+        if len(ids) < len(names):
+            for w, name in names.items():
+                if w not in ids:
+                    ids[w] = self._word(name)
+        for chunk, w in zip(plain, lowered):
+            known[chunk] = ids[w]
+            if len(chunk) > LONGEST_CACHED:
+                known.long += len(chunk)
         for chunk, words in split:
             known.put(chunk, ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words]))
 
@@ -274,12 +283,15 @@ class Chunks(dict):
         self.long += len(chunk) if len(chunk) > LONGEST_CACHED else 0
         return value
 
+    def empty(self) -> None:
+        self.clear()
+        self.long = 0
+
     def trim(self, lately=()) -> None:
         """``lately``: chunks just used; those that are short stay."""
         if len(self) > self.most or self.long > 1_000_000:
             kept = {c: self[c] for c in lately if len(c) <= LONGEST_CACHED and c in self}
-            self.clear()
-            self.long = 0
+            self.empty()
             if len(kept) <= self.most // 2:
                 self.update(kept)
 

@@ -314,3 +314,37 @@ def test_stages_keep_columns_of_any_name(spark, monkeypatch):
 
 def found_text(df, i):
     return {r["doc_id"]: r["text"] for r in df.collect()}[i]
+
+
+def test_packing_leaves_nothing_in_its_workers(spark):
+    import public_tokenizers
+
+    from shelfline.llm import packing
+    docs = spark.createDataFrame([(i, f"word{i} others, and more{i}", "a") for i in range(40)], "doc_id long, text string, source string")
+    packing.tokenize(docs.repartition(4), public_tokenizers.path(packing.VOCABULARY)).count()
+
+    def held(iterator):
+        import pandas as pd
+
+        from shelfline.llm import word_bpe
+        for _ in iterator:
+            yield pd.DataFrame({"n": [sum(len(c) + len(b._words) for b, c in word_bpe._ENCODERS.values())]})
+
+    assert {r.n for r in spark.range(64).repartition(16).mapInPandas(held, "n long").collect()} == {0}
+
+
+def test_packing_ids_of_slices_equal_the_library(spark):
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from shelfline.llm import packing
+    from shelfline.llm.word_bpe import encoder
+    path = public_tokenizers.path(packing.VOCABULARY)
+    texts = ["", "Two words, Two WORDS", " \t", "caf\xe9 na\xefve don't x2 <|endoftext|> \u6f22\u5b57 a\x1cb", "z" * 300, "end."]
+    library, (bpe, known) = Tokenizer.from_file(path), encoder(path, packing.CACHE_CHUNKS)
+    for part in (pa.array(texts), pa.array(texts).slice(1, 4), pa.array(texts[:1]), pa.array([], pa.string())):
+        got = packing._encoded(part, bpe, known, "<u2")
+        assert [list(memoryview(g).cast("H")) for g in got] == [library.encode(t, add_special_tokens=False).ids for t in part.to_pylist()]
+    known.empty()
+    bpe.forget()
