@@ -352,7 +352,9 @@ def similar_components(docs: DataFrame, width: int = WORDS, link=LINK) -> DataFr
     again = stored(_whole_prefixes(docs, _table_of(spark, unclear, "doc_id"), frequent, width, link), "shingle-keys")
     # A document that only shares its bit with an unclear one is in both; that does no harm.
     keys_ddl = "node long, key long"
-    keys = _from_sets(sets, frequent, link, _KEYS, keys_ddl, lambda i, node, keys: _keys(keys, node, None)).union(again)
+    # An element that one document alone has among its lowest, and no whole prefix has, is nobody's link: it is not shuffled again.
+    held = _table_of(spark, several.select("key").union(again.select("key")), "key")
+    keys = _from_sets(sets, frequent, link, _KEYS, keys_ddl, lambda i, node, keys: _keys(keys, node, held)).union(again)
     # One hub per element that several nodes have.
     hubs = stored(keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most")).filter(
         "hub <> _most").select(F.col("key").alias("_key"), "hub"), "shingle-hubs")
