@@ -1,12 +1,13 @@
 """Exact Jaccard self-join of documents on word shingles, by size-banded tiles with bitmap signatures.
 
-A document is the sorted array of hashes of its distinct shingles.  Equal sets are one node.  Two sets
-that link share one of the first ``n - ceil(similarity * n) + 1`` elements of each under any common order of all
-elements; the order puts elements that are frequent in the corpus last, so few prefixes meet by chance.
-Frequent are elements that several documents have among their lowest hashes; of each document somewhat more than
-a prefix is kept for that count, and the few documents in which too much of it is frequent are read again.
-Nodes that share prefix elements form clusters (connected through one hub per element: no pairs are
-made).  Inside a cluster, nodes go to tiles by size band, and only tiles of equal or adjacent bands
+A document is the sorted array of hashes of its distinct shingles.  Equal sets are one node.  The range of hashes is
+cut into parts, so many for each class of sizes.  Two sets that link differ in few elements, so in few parts, and they
+share one of the first parts, whole, of each under any common order of parts by what they hold; the order puts parts
+with many elements first and does not count elements that are frequent in the corpus.  A chosen part nearly always holds
+two elements or more, so sets that share single shingles or a common passage by chance seldom meet.  Small sets, and the
+few whose elements fill too few parts, meet by single elements (the first ``n - ceil(similarity * n) + 1``) instead.
+What is frequent is read off a part of the documents; it only orders, so no link depends on it.
+Nodes that share a part (its digest is a key) form clusters (connected through one hub per key: no pairs are made).  Inside a cluster, nodes go to tiles by size band, and only tiles of equal or adjacent bands
 are compared.  A tile comparison bounds every overlap from above by the bit counts of hashed bitmaps and
 intersects the sorted arrays exactly where the bound does not exclude a link.  Nodes of a tile that are already
 connected are not compared again, and a tile returns a spanning forest of its links, so a large group of
@@ -18,6 +19,7 @@ Elements are 64-bit hashes; that two different shingles of one comparison collid
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfline.llm.common import (batches, connected, if_small, no_collector, rows_of, small_batches, spread_join, stored,
                                   whole_text, with_plain_names)
@@ -33,13 +36,20 @@ WORDS = 5
 # Similarity as a fraction of whole numbers.
 LINK = (80, 100)
 # Frequent elements are kept as bits of a table of fixed size (8 MB), which is all that is broadcast; two elements on one
-# bit cost time only.  Frequent is what several documents have; where those elements would fill more than a share of the
-# table, only the most frequent of them are, so clusters grow but links stay the same.
+# bit cost time only.  Frequent is what several of every FREQUENT_OF distinct texts have; where those elements would fill more
+# than a share of the table, only the most frequent of them are.
 TABLE_BITS = 1 << 26
 TABLE_SHARE = 16
 MOST_COUNTED = 1000
-# Hashes kept of a document: so many halves of its prefix length, and some.
-KEPT_HALVES, KEPT_MORE = 3, 8
+FREQUENT_OF = 32
+# First size of each class but the first, whose sets are not cut.  A set is cut into PART_SHARE of the first size of its class, so
+# a part holds 1.1 to 2.7 elements on average.
+CLASSES = [16]
+while CLASSES[-1] < 1 << 40:
+    CLASSES.append(CLASSES[-1] * 12 // 5)
+PART_SHARE = (10, 11)
+# Bits of a key and of the short name of a set.
+KEY_BITS, NODE_BITS = 48, 40
 # What one tile holds.
 TILE_DOCS, TILE_ELEMENTS = 512, 1_000_000
 # Nodes whose exact overlaps with one node are taken at a time.
@@ -129,9 +139,8 @@ def _marked(table: np.ndarray, elements: np.ndarray) -> np.ndarray:
 
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("node", pa.int64()),
-                   ("low", pa.list_(pa.int64()))])
-_KEYS = pa.schema([("node", pa.int64()), ("key", pa.int64())])
-_IDS = pa.schema([("doc_id", pa.int64())])
+                   ("keys", pa.list_(pa.int64()))])
+_ELEMENTS = pa.schema([("elements", pa.list_(pa.int64()))])
 _ARRAYS = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("elements", pa.binary())])
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -142,7 +151,7 @@ def _print(elements: np.ndarray) -> bytes | None:
 
 def _node(printed: bytes) -> int:
     """Short name of a set while clusters are sought; two sets of one name would only be compared needlessly."""
-    return int.from_bytes(printed[:8], "little", signed=True)
+    return int.from_bytes(printed[:8], "little") >> (64 - NODE_BITS)
 
 
 def _passed(docs: DataFrame, schema: pa.Schema, ddl: str, make) -> DataFrame:
@@ -159,65 +168,61 @@ def _passed(docs: DataFrame, schema: pa.Schema, ddl: str, make) -> DataFrame:
     return rows.mapInArrow(run, ddl)
 
 
-def _sets(docs, width, link):
-    def make(doc_id, text, hashes):
-        x = shingles(text, hashes, width)
-        printed = _print(x)
-        low = x[:prefix_length(len(x), link) * KEPT_HALVES // 2 + KEPT_MORE].view(np.int64)
-        return [(doc_id, len(x), printed, _node(printed) if printed else None, low)]
-
-    return _passed(docs, _SETS, "doc_id long, n long, print binary, node long, low array<long>", make)
-
+def _key(digests: np.ndarray, kind: int) -> np.ndarray:
+    return _mixed(digests * _MIX[0] + np.uint64(kind)) >> np.uint64(64 - KEY_BITS)
 
-def _prefix(low: np.ndarray, n: int, late: np.ndarray, link) -> np.ndarray | None:
-    """First elements in the order (frequent last, then by hash) from the lowest hashes; None if these do not tell."""
-    p = prefix_length(n, link)
-    early = low[~late]
-    if len(early) >= p:
-        return early[:p]
-    return np.concatenate([early, low[late]])[:p] if len(low) == n else None
 
+def keys_of(x: np.ndarray, late: np.ndarray, link=LINK) -> np.ndarray:
+    """Keys of a set, of which two sets that link have one in common.  ``late`` marks the frequent elements.
 
-def _from_sets(sets: DataFrame, frequent, link, schema, ddl, make) -> DataFrame:
-    """Rows that ``make(doc_id, node, prefix or None)`` returns for every document that has elements and an id."""
-    def run(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in iterator:
-            ids, sizes, nodes = (batch.column(c).to_pylist() for c in ("doc_id", "n", "node"))
-            lows = batch.column("low")
-            ends, values = lows.offsets.to_numpy(), lows.values.to_numpy().view(np.uint64)
-            late = _marked(frequent, values)
-            rows = []
-            for i, n, node, a, b in zip(ids, sizes, nodes, ends, ends[1:]):
-                if n and i is not None:
-                    rows += make(i, node, _prefix(values[a:b], n, late[a:b], link))
-            yield batches(schema.names, list(zip(*rows)) if rows else [[]] * len(schema.names), schema)
+    Of two linked sets, ``a * union <= b * intersection``, so they differ in ``(n + n') * (b - a) / (a + b)`` elements at most
+    and in no more parts.  Where one of them has more parts with elements than that, a part is equal in both, and the first
+    of these in the common order has fewer than that many others before it in either.  Where both have not, both give elements."""
+    a, b = link
+    n, keys, single = len(x), [], False
+    if not n:
+        return np.empty(0, np.int64)
+    most = (n + n * b // a) * (b - a) // (a + b)
+    # A partner may be of a lower class; the class of the smaller of the two counts.
+    for k in range(bisect_right(CLASSES, -(-n * a // b)), bisect_right(CLASSES, n) + 1):
+        if not k:
+            single = True
+            continue
+        parts = np.uint64(min(CLASSES[k - 1], 1 << 31) * PART_SHARE[0] // PART_SHARE[1])
+        part = (x >> np.uint64(32)) * parts >> np.uint64(32)  # rises with x
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        rare = np.add.reduceat((~late).astype(np.int64), starts)
+        first = np.argsort(-rare, kind="stable")[:most + 1]
+        keys.append(_key(np.add.reduceat(_mixed(x * _MIX[2]), starts)[first], k))
+        single = single or len(starts) <= most
+    if single:
+        keys.append(_key(np.concatenate([x[~late], x[late]])[:prefix_length(n, link)], 0))
+    return np.concatenate(keys).astype(np.int64)
+
+
+def _sets(docs, frequent, width, link):
+    def make(doc_id, text, hashes):
+        x = shingles(text, hashes, width)
+        printed = _print(x)
+        return [(doc_id, len(x), printed, _node(printed) if printed else None, keys_of(x, _marked(frequent, x), link))]
 
-    return sets.select("doc_id", "n", "node", "low").mapInArrow(run, ddl)
+    return _passed(docs, _SETS, "doc_id long, n long, print binary, node long, keys array<long>", make)
 
 
-def _keys(keys: np.ndarray | None, node: int, shared) -> list:
-    """(node, element) rows; with a table, of marked elements only."""
-    if keys is None:
-        return []
-    keys = keys if shared is None else keys[_marked(shared, keys)]
-    return [(node, k) for k in keys.view(np.int64).tolist()]
+def _frequent(docs, width) -> np.ndarray:
+    """Table of the elements that several of one in FREQUENT_OF distinct texts have."""
+    some = docs.select(whole_text().alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(FREQUENT_OF)) == 0).distinct()
+    some = _passed(some.select(F.lit(0).alias("doc_id"), "text"), _ELEMENTS, "elements array<long>",
+                   lambda _, text, hashes: [(shingles(text, hashes, width).view(np.int64),)])
+    counts = some.select(F.explode("elements").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
+    several = stored(counts.filter("docs > 1"), "shingle-counts")
+    return _table_of(docs.sparkSession, several.filter(F.col("docs") > _bound(several)), "key")
 
 
 def _marked_id(table: np.ndarray, doc_id) -> bool:
     return doc_id is not None and bool(_marked(table, np.array([doc_id], np.int64).view(np.uint64))[0])
 
 
-def _whole_prefixes(docs, wanted, frequent, width, link):
-    """(node, element) rows of the documents marked in ``wanted``, from their texts."""
-    def make(doc_id, text, hashes):
-        if not _marked_id(wanted, doc_id):
-            return []
-        x = shingles(text, hashes, width)
-        return _keys(_prefix(x, len(x), _marked(frequent, x), link), _node(_print(x)), None) if len(x) else []
-
-    return _passed(docs, _KEYS, "node long, key long", make)
-
-
 def _arrays(docs, wanted, width):
     def make(doc_id, text, hashes):
         if not _marked_id(wanted, doc_id):
@@ -340,27 +345,15 @@ def similar_components(docs: DataFrame, width: int = WORDS, link=LINK) -> DataFr
     Rows of one id are linked with each other.  Only ``doc_id`` and ``text`` are read.
     """
     spark = docs.sparkSession
-    sets = stored(_sets(docs, width, link), "shingle-sets")
+    sets = stored(_sets(docs, _frequent(docs, width), width, link), "shingle-sets")
     nodes = stored(sets.filter("print IS NOT NULL AND doc_id IS NOT NULL").groupBy("print").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("node").alias("node"), F.count(F.lit(1)).alias("copies")),
         "shingle-nodes")
 
-    counts = sets.select(F.explode("low").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
-    several = stored(counts.filter("docs > 1"), "shingle-counts")
-    frequent = _table_of(spark, several.filter(F.col("docs") > _bound(several)), "key")
-    unclear = _from_sets(sets, frequent, link, _IDS, "doc_id long", lambda i, node, keys: [(i,)] if keys is None else [])
-    again = stored(_whole_prefixes(docs, _table_of(spark, unclear, "doc_id"), frequent, width, link), "shingle-keys")
-    # A document that only shares its bit with an unclear one is in both; that does no harm.
-    keys_ddl = "node long, key long"
-    # An element that one document alone has among its lowest, and no whole prefix has, is nobody's link: it is not shuffled again.
-    held = _table_of(spark, several.select("key").union(again.select("key")), "key")
-    keys = _from_sets(sets, frequent, link, _KEYS, keys_ddl, lambda i, node, keys: _keys(keys, node, held)).union(again)
-    # One hub per element that several nodes have.
-    hubs = stored(keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most")).filter(
-        "hub <> _most").select(F.col("key").alias("_key"), "hub"), "shingle-hubs")
-    shared = _table_of(spark, hubs, "_key")
-    few = _from_sets(sets, frequent, link, _KEYS, keys_ddl, lambda i, node, keys: _keys(keys, node, shared)).union(again)
-    near = few.join(hubs, F.col("key") == F.col("_key")).select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    # One hub per key that several nodes have.  Rows are shuffled once, whatever the share of keys that meet.
+    rows = sets.filter("print IS NOT NULL AND doc_id IS NOT NULL").select(F.explode("keys").alias("key"), "node")
+    so_far = Window.partitionBy("key").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = rows.select(F.col("node").alias("u"), F.first("node").over(so_far).alias("v")).filter("u <> v")
     clusters = connected(near, "clusters").withColumnsRenamed({"node": "_node", "component": "cluster"})
     members = stored(nodes.join(clusters, F.col("node") == F.col("_node")).select("rep", "print", "n", "cluster"), "cluster-members")
 

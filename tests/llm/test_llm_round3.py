@@ -348,3 +348,47 @@ def test_packing_ids_of_slices_equal_the_library(spark):
         assert [list(memoryview(g).cast("H")) for g in got] == [library.encode(t, add_special_tokens=False).ids for t in part.to_pylist()]
     known.empty()
     bpe.forget()
+
+
+# -- 7: keys by which sets meet -------------------------------------------------------------------
+
+def test_linked_sets_have_a_key_in_common():
+    """Sets at the very edge of a link, of any size, with any elements frequent; also where all elements fall into one part."""
+    from shelfline.llm import shingle_join as J
+    rng = np.random.default_rng(5)
+    tables = [lambda x: np.zeros(len(x), bool), lambda x: x % np.uint64(3) != 0, lambda x: np.ones(len(x), bool)]
+    for link in ((80, 100), (50, 100), (100, 100)):
+        a, b = link
+        for trial in range(700):
+            n = int(np.exp(rng.uniform(0, 6.5))) + 1
+            top = np.uint64(1) << np.uint64(40 if trial % 5 == 0 else 63)  # small hashes: one part holds all
+            pool = np.unique(rng.integers(0, top, 3 * n, dtype=np.uint64))
+            rng.shuffle(pool)
+            gone = rng.integers(0, n * (b - a) // b + 1)
+            more = ((n - gone) * b - a * n) // a
+            x, y = np.sort(pool[:n]), np.sort(pool[gone:n + more])
+            both = len(np.intersect1d(x, y))
+            assert b * both >= a * (len(x) + len(y) - both)
+            for late in tables:
+                assert np.intersect1d(J.keys_of(x, late(x), link), J.keys_of(y, late(y), link)).size, (link, n, gone, more)
+
+
+def test_texts_that_share_common_phrases_do_not_become_one_cluster(spark, monkeypatch):
+    """Every text has phrases of a small stock, so each shares some shingles with many others; only copies meet."""
+    from shelfline.llm import shingle_join as J
+    rng = random.Random(8)
+    stock = [" ".join(f"p{k}w{i}" for i in range(5)) for k in range(400)]
+    texts = [" ".join(rng.choice(stock) if rng.random() < 0.6 else f"own{d}x{i}" for i in range(40)) for d in range(300)]
+    texts += [t + f" tail{k}" for k, t in enumerate(texts[:20])]
+    found, real = {}, J.connected
+
+    def counted(edges, label):
+        out = stored(real(edges, label), "counted")
+        found[label] = out.groupBy("component").count().agg({"count": "max"}).first()[0]
+        return out
+
+    monkeypatch.setattr(J, "connected", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in J.similar_components(docs).collect()}
+    assert got == {i: i % 300 if i >= 300 else i for i in range(320)}
+    assert found["clusters"] <= 8
