@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from shelfline.llm.common import batches, no_collector, rows_of, small_batches, spread_join, stored, whole_text
-from shelfline.llm.word_bpe import VOCABULARY, Chunks, WordBPE, encoder
+from shelfline.llm.word_bpe import VOCABULARY, Chunks, WordBPE, byte_array, encoder, parts_of
 
 SEQUENCE_TOKENS = 2048
 WINDOW_SEQUENCES = 64
@@ -76,14 +76,9 @@ def _encoded(texts: pa.Array, bpe: WordBPE, encoded: Chunks, width: str) -> list
     ids (as bytes) are taken by these numbers, one after the other."""
     words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     numbered = words.flatten().dictionary_encode()
-    entries = numbered.dictionary.to_pylist()
-    bpe.learn(entries, encoded)
-    known = [encoded[w] if w else b"" for w in entries]
-    encoded.trim(entries)
-    ids = np.frombuffer(b"".join(known), "<i4").astype(width)
-    ends = np.zeros(len(known) + 1, np.int64)
-    np.cumsum(np.fromiter(map(len, known), np.int64, len(known)) // 4 * ids.itemsize, out=ends[1:])
-    by_entry = pa.Array.from_buffers(pa.large_binary(), len(known), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+    ends, ids = parts_of(bpe.ids_of_chunks(numbered.dictionary, encoded))
+    ids = ids.view("<i4").astype(width)
+    by_entry = byte_array(np.diff(ends) // 4 * ids.itemsize, ids.tobytes())
     stream = by_entry.take(numbered.indices)
     _, bounds, data = stream.buffers()
     bounds = np.frombuffer(bounds, np.int64)[stream.offset:stream.offset + len(stream) + 1] if len(stream) else np.zeros(1, np.int64)

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -53,6 +54,60 @@ def _byte_alphabet() -> dict[int, str]:
 
 
 _BYTES = _byte_alphabet()
+_RAW = {c: b for b, c in _BYTES.items()}
+# Bytes of visible Latin-1 text but ', and the kind of a character (letter 0, number 1, other 2) of one byte and of two (C2 and C3 first).
+_VISIBLE = np.array([0x21 <= b <= 0x7E and b != 0x27 or 0x80 <= b <= 0xBF or b in (0xC2, 0xC3) for b in range(256)])
+
+
+def _kind(c: str) -> int:
+    return 0 if re.fullmatch("[a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]", c) else 1 if re.fullmatch("[0-9\xb2\xb3\xb9\xbc-\xbe]", c) else 2
+
+
+_KINDS = np.array([_kind(chr(b)) if b < 0x80 else 2 for b in range(256)])
+_KINDS_2 = np.array([_kind(chr(b)) for b in range(0x80, 0x100)])
+
+
+def parts_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds from 0 on and bytes of an array of large binaries."""
+    _, bounds, data = values.buffers()
+    if not len(values):
+        return np.zeros(1, np.int64), np.empty(0, np.uint8)
+    bounds = np.frombuffer(bounds, np.int64)[values.offset:values.offset + len(values) + 1]
+    data = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if data else np.empty(0, np.uint8)
+    return bounds - bounds[0], data
+
+
+def byte_array(sizes: np.ndarray, data: bytes) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
+class IdArrays:
+    """Distinct entries and their ids, both as arrays of bytes.  Long entries are not kept, and over ``most`` only those last met."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.empty()
+
+    def __len__(self):
+        return len(self.entries)
+
+    def empty(self) -> None:
+        self.entries = self.ids = pa.array([], pa.large_binary())
+
+    def of(self, entries: pa.Array, make) -> pa.Array:
+        at = pc.index_in(entries, value_set=self.entries).fill_null(-1).to_numpy().astype(np.int64)
+        fresh = entries.filter(pa.array(at < 0))
+        made = make(fresh)
+        at[at < 0] = len(self) + np.arange(len(fresh))
+        found = pa.concat_arrays([self.ids, made]).take(pa.array(at))
+        if len(self) + len(fresh) > self.most:
+            self.empty()
+            fresh, made = (entries, found) if len(entries) <= self.most // 2 else (self.entries, self.ids)
+        short = pc.less_equal(pc.binary_length(fresh), LONGEST_CACHED)
+        self.entries = pa.concat_arrays([self.entries, fresh.filter(short)])
+        self.ids = pa.concat_arrays([self.ids, made.filter(short)])
+        return found
 
 
 class WordBPE:
@@ -78,6 +133,8 @@ class WordBPE:
         self._normal, self._split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self._words: dict[str, bytes] = {}
         self._sorted: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self._byte_ids: tuple[np.ndarray, np.ndarray] | None = None
+        self.chunk_arrays, self.word_arrays = IdArrays(CACHE_CHUNKS), IdArrays(CACHE_CHUNKS)
 
     # -- merging ---------------------------------------------------------------------------
     def merge(self, word: str) -> list[str]:
@@ -155,85 +212,115 @@ class WordBPE:
         return np.where((keys[at] == key) & (left >= 0) & (right >= 0), ranks[at], len(self.ranks))
 
     def merge_many(self, words: list[str]) -> list[bytes]:
-        """Ids of words that are not empty, little-endian 32-bit integers; words of about one length are merged together."""
-        order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable").tolist()
-        out = [b""] * len(words)
+        """Ids of words (byte alphabet) that are not empty, little-endian 32-bit integers."""
+        raw = [bytes(map(_RAW.__getitem__, w)) for w in words]
+        return self._merged(pa.array(raw, pa.large_binary())).to_pylist()
+
+    def _merged(self, words: pa.Array) -> pa.Array:
+        """Ids (bytes) of words (UTF-8, in lower case, not empty); words of about one length are merged together."""
+        bounds, data = parts_of(words)
+        size = np.diff(bounds)
+        order = np.argsort(size, kind="stable")
+        counts, ids = [np.empty(0, np.int64)], []
         for at in range(0, len(order), MERGED_TOGETHER):
             part = order[at:at + MERGED_TOGETHER]
-            for i, ids in zip(part, self._merge_rows([words[i] for i in part])):
-                out[i] = ids
-        return out
-
-    def _merge_rows(self, words: list[str]) -> list[bytes]:
+            place = np.arange(size[part[-1]])
+            inside = place < size[part][:, None]
+            letters = data[np.where(inside, bounds[part][:, None] + place, 0)]
+            inner, last = self._letters()
+            last_one = place == size[part][:, None] - 1
+            done = self._merge_rows(np.where(inside, np.where(last_one, last[letters], inner[letters]), -1))
+            kept = done >= 0
+            counts.append(kept.sum(1))
+            ids.append(done[kept].astype("<i4"))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return byte_array(np.concatenate(counts) * 4, b"".join([x.tobytes() for x in ids])).take(pa.array(back))
+
+    def _letters(self) -> tuple[np.ndarray, np.ndarray]:
+        """Id of every byte inside a word and at its end."""
+        if self._byte_ids is None:
+            self._byte_ids = (np.array([self.ids[_BYTES[b]] for b in range(256)]),
+                              np.array([self.ids[_BYTES[b] + self.end] for b in range(256)]))
+        return self._byte_ids
+
+    def _merge_rows(self, parts: np.ndarray) -> np.ndarray:
         """The rank arrays of the words are the rows of a matrix, and every round deletes in each row the boundary of its leftmost smallest rank and refreshes the two ranks beside it."""
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        parts = np.full((len(words), size.max(initial=1)), -1, np.int64)
-        numbers = self.ids
-        flat = np.array([numbers[c] for w in words for c in w[:-1]] or [], np.int64)
-        row = np.repeat(np.arange(len(words)), size - 1)
-        parts[row, np.arange(len(flat)) - np.repeat(np.cumsum(size - 1) - (size - 1), size - 1)] = flat
-        parts[np.arange(len(words)), size - 1] = [numbers[w[-1] + self.end] for w in words]
         ranks = self._ranks_of(parts[:, :-1], parts[:, 1:])
         none, made = len(self.ranks), self._pairs()[2]
-        live, done = np.arange(len(words)), parts.copy()
+        live, done = np.arange(len(parts)), parts.copy()
         place = np.arange(parts.shape[1])
         while len(live) and ranks.shape[1]:
             at = ranks.argmin(1)
             least = ranks[np.arange(len(live)), at]
             ended = least == none
-            done[live[ended]] = parts[ended]
-            live, parts, ranks, at, least = (x[~ended] for x in (live, parts, ranks, at, least))
-            if not len(live):
-                break
-            parts[np.arange(len(live)), at] = made[least]
-            move = place[:-1] + (place[:-1] > at[:, None])  # all places behind the deleted boundary move up by one
-            parts[:, :-1] = np.take_along_axis(parts, move, 1)
+            if ended.any():
+                done[live[ended]] = parts[ended]
+                live, parts, ranks, at, least = (x[~ended] for x in (live, parts, ranks, at, least))
+                if not len(live):
+                    break
+            i = np.arange(len(live))
+            parts[i, at] = made[least]
+            behind = place[:-1] > at[:, None]  # all places behind the deleted boundary move up by one
+            parts[:, :-1] = np.where(behind, parts[:, 1:], parts[:, :-1])
             parts[:, -1] = -1
-            ranks[:, :-1] = np.take_along_axis(ranks, place[:-2] + (place[:-2] >= at[:, None]), 1)
+            ranks[:, :-1] = np.where(behind[:, :-1] | (place[:-2] == at[:, None]), ranks[:, 1:], ranks[:, :-1])
             ranks[:, -1] = none
-            i = np.arange(len(live))
             ranks[i, at] = self._ranks_of(parts[i, at], parts[i, at + 1])
             i, at = i[at > 0], at[at > 0]
             ranks[i, at - 1] = self._ranks_of(parts[i, at - 1], parts[i, at])
-        kept = done >= 0
-        ends = np.cumsum(kept.sum(1)) * 4
-        data = done[kept].astype("<i4").tobytes()
-        return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        return done
 
     def forget(self) -> None:
         """Drops the words met so far."""
         self._words.clear()
-
-    def learn(self, chunks: list[str], known: Chunks) -> None:
-        """Puts the ids of new chunks of visible Latin-1 text into ``known``; their new words are merged together."""
-        store = self._words
-        new = [c for c in chunks if c not in known]
-        plain = [c for c in new if c.isascii() and c.isalpha()]  # one word each, without the splitting pattern
-        lowered = list(map(str.lower, plain))
-        split = [(c, _LATIN_WORDS.findall(c.lower())) for c in new
-                 if not (c.isascii() and c.isalpha()) and "<|" not in c and _LATIN.fullmatch(c)]
-        names = dict(zip(lowered, lowered))
-        for _, words in split:
-            for w in words:
-                if w not in names:
-                    names[w] = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES)
-        ids = {w: store[name] for w, name in names.items() if name in store}
-        fresh = [(w, name) for w, name in names.items() if w not in ids and len(name) <= LONGEST_LEARNED]
-        merged = self.merge_many([name for _, name in fresh])
-        if len(store) + len(fresh) > CACHE_CHUNKS:
-            store.clear()
-        for (w, name), data in zip(fresh, merged):
-            ids[w] = store[name] = data
-        if len(ids) < len(names):
-            for w, name in names.items():
-                if w not in ids:
-                    ids[w] = self._word(name)
-        for chunk, w in zip(plain, lowered):
-            known[chunk] = ids[w]
-            if len(chunk) > LONGEST_CACHED:
-                known.long += len(chunk)
-        for chunk, words in split:
-            known.put(chunk, ids[words[0]] if len(words) == 1 else b"".join([ids[w] for w in words]))
+        self.chunk_arrays.empty()
+        self.word_arrays.empty()
+
+    def ids_of_chunks(self, chunks: pa.Array, known: Chunks) -> pa.Array:
+        """Ids (bytes) of distinct chunks (large strings), empty ones too; what is new is learnt for the next call."""
+        return self.chunk_arrays.of(chunks.cast(pa.large_binary()), lambda new: self._ids_of_new(new, known))
+
+    def _ids_of_new(self, chunks: pa.Array, known: Chunks) -> pa.Array:
+        """Chunks of visible Latin-1 text without ' or <| are split and merged as arrays of bytes, others one by one."""
+        bounds, data = parts_of(chunks)
+        before = np.concatenate([[0], data[:-1]]).astype(np.uint8)
+        odd = ~_VISIBLE[data] | ((before == 0xC2) & (data < 0xA1)) | ((before == ord("<")) & (data == ord("|")))
+        count = np.concatenate([[0], np.cumsum(odd)])
+        single = count[bounds[1:]] > count[bounds[:-1]]
+        one_by_one = [known[c.decode()] for c in chunks.filter(pa.array(single)).to_pylist()]
+        known.trim()
+        size = np.diff(bounds)
+        data = data[np.repeat(~single, size)]
+        size = size[~single]
+        starts = np.concatenate([[0], np.cumsum(size)])
+        # Lower case: A-Z, and from U+00C0 to U+00DE all but the multiplication sign.
+        before = np.concatenate([[0], data[:-1]]).astype(np.uint8)
+        upper = ((data >= 65) & (data <= 90)) | ((before == 0xC3) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97))
+        data = data + upper.astype(np.uint8) * np.uint8(32)
+        # Words as the splitting pattern finds them: runs of letters, single numbers, runs of others.
+        at = np.flatnonzero((data & 0xC0) != 0x80)
+        after = np.concatenate([data[1:], [0]])[at]
+        kind = np.where(data[at] < 0x80, _KINDS[data[at]], _KINDS_2[(data[at] & 1) * 64 + (after & 0x3F)])
+        first = np.zeros(len(data) + 1, bool)
+        first[starts] = True
+        cut = first[at] | (kind == 1) | (np.concatenate([[-1], kind[:-1]]) != kind)
+        cuts = np.append(at[cut], len(data))
+        words = byte_array(np.diff(cuts), data.tobytes()).dictionary_encode()
+        ids = self.word_arrays.of(words.dictionary, self._ids_of_words).take(words.indices)
+        ends, ids = parts_of(ids)
+        done = byte_array(np.diff(ends[np.searchsorted(cuts, starts)]), ids.tobytes())
+        place = np.empty(len(single), np.int64)
+        place[~single], place[single] = np.arange(len(done)), len(done) + np.arange(len(one_by_one))
+        return pa.concat_arrays([done, pa.array(one_by_one, pa.large_binary())]).take(pa.array(place))
+
+    def _ids_of_words(self, words: pa.Array) -> pa.Array:
+        long = np.diff(parts_of(words)[0]) > LONGEST_LEARNED
+        short = self._merged(words.filter(pa.array(~long)))
+        rest = [self._word(w.decode("latin-1").translate(_BYTES)) for w in words.filter(pa.array(long)).to_pylist()]
+        place = np.empty(len(long), np.int64)
+        place[~long], place[long] = np.arange(len(short)), len(short) + np.arange(len(rest))
+        return pa.concat_arrays([short, pa.array(rest, pa.large_binary())]).take(pa.array(place))
 
     # -- chunks and texts -------------------------------------------------------------------
     def chunk_ids(self, chunk: str) -> bytes:

@@ -392,3 +392,29 @@ def test_texts_that_share_common_phrases_do_not_become_one_cluster(spark, monkey
     got = {r["doc_id"]: r["component_id"] for r in J.similar_components(docs).collect()}
     assert got == {i: i % 300 if i >= 300 else i for i in range(320)}
     assert found["clusters"] <= 8
+
+
+# -- 9: words as arrays ---------------------------------------------------------------------------
+
+@pytest.mark.parametrize("most", [0, 5, 900, 10**6])
+def test_chunks_encoded_as_arrays_equal_single_ones(most):
+    """Every visible Latin-1 character and what the array form leaves to the single one, with stores that overflow."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from shelfline.llm import word_bpe
+    bpe = word_bpe.WordBPE(public_tokenizers.path(word_bpe.VOCABULARY))
+    bpe.chunk_arrays, bpe.word_arrays = word_bpe.IdArrays(most), word_bpe.IdArrays(most)
+    known, plain = word_bpe.Chunks(bpe.chunk_ids), word_bpe.WordBPE(public_tokenizers.path(word_bpe.VOCABULARY))
+    rng, letters = random.Random(4), [chr(c) for c in [*range(33, 127), *range(161, 256)]]
+    odd = ["don't", "'ll", "<|endoftext|>", "a<|b", "<", "|x", "漢字", "a\x1cb", "\x7f", "\xa0", "\x80\x9f", "İx", "é", "z" * 300, "\xc9" * 40, "", "\xd7\xf7\xb5\xdf"]
+    for _ in range(3):
+        chunks = list(dict.fromkeys(odd + letters + ["".join(rng.choice(letters if rng.random() < 0.4 else "etaoinSHR,.1\xe9\xc8") for _ in range(rng.randrange(1, 30)))
+                                                     for _ in range(700)]))
+        rng.shuffle(chunks)
+        got = bpe.ids_of_chunks(pa.array(chunks, pa.large_string()), known).to_pylist()
+        assert got == [plain.chunk_ids(c) if c else b"" for c in chunks]
+        assert len(bpe.chunk_arrays) <= max(most, 0) and len(bpe.word_arrays) <= max(most, 0)
+    assert bpe.ids_of_chunks(pa.array([], pa.large_string()), known).to_pylist() == []
+    bpe.forget()
+    assert len(bpe.chunk_arrays) == len(bpe.word_arrays) == 0
