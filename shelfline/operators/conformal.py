@@ -54,7 +54,10 @@ def with_bounds(rows: DataFrame, bounds: DataFrame, levels: dict[str, tuple[str,
     for name, group in levels.items():
         one = bounds.filter(F.col("level") == name).select(
             *by, *group, F.struct("low", "high", "level").alias(f"_{name}"))
-        rows = null_safe_join(rows, one, (*by, *group), "left")
+        if by or group:
+            rows = null_safe_join(rows, one, (*by, *group), "left")
+        else:  # one row or none: a value, not a join without keys
+            rows = rows.withColumn(f"_{name}", one.agg(F.max(f"_{name}").alias("_one")).scalar())
     chosen = F.coalesce(*[F.col(f"_{name}") for name in levels])
     return rows.select(*columns, F.greatest(F.lit(0.0), F.col(predicted) + chosen["low"]).alias("_low"), chosen.alias("_chosen")).select(
         *columns, F.when(F.col("_chosen").isNotNull(), F.col("_low")).alias("confidence_lower"),

@@ -119,3 +119,14 @@ def test_training_writes_records(spark, listing, tmp_path):
         assert r.location == "Old Town" and r.forecast_generated_at == days[-1] and r.date == days[-1].date()
     assert {r[0] for r in spark.read.parquet(store.curated("demand_alerts")).select("product_name").collect()} == {"Milk", None}
     assert spark.read.parquet(store.curated("trending")).columns[:2] == ["category", "rank"]
+
+
+def test_bounds_over_all_rows_are_a_value_not_a_join(spark):
+    rows = spark.createDataFrame([("A", "alpha", 5.0), (None, "beta", 1.0)], "category string, platform string, predicted double")
+    bounds = spark.createDataFrame([("all", None, None, -2.0, 3.0, 20)], "level string, category string, platform string, low double, high double, n long")
+    out = CF.with_bounds(rows, bounds, LEVELS)
+    assert {tuple(r)[2:] for r in out.collect()} == {(5.0, 3.0, 8.0, "all"), (1.0, 0.0, 4.0, "all")}
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    none = CF.with_bounds(rows, bounds.filter("false"), LEVELS)
+    assert {tuple(r)[2:] for r in none.collect()} == {(5.0, None, None, None), (1.0, None, None, None)}
